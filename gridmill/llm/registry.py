@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from gridmill.llm import decontamination, mixing
+from gridmill.llm import decontamination, mixing, secrets, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op4_tokens": tokens.op4_tokens,
+    "op8_secrets": secrets.op8_secrets,
     "op9_decontamination": decontamination.op9_decontamination,
 }
 ORACLE_SQL = {
     "op1_mixing": mixing.OP1_SQL,
+    "op8_secrets": secrets.OP8_SQL,
     "op9_decontamination": decontamination.OP9_SQL,
 }
