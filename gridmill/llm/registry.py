@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from gridmill.llm import decontamination, mixing, secrets, tokens
+from gridmill.llm import decontamination, mixing, secrets, similarity, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op3_similarity": similarity.op3_similarity,
     "op4_tokens": tokens.op4_tokens,
     "op8_secrets": secrets.op8_secrets,
     "op9_decontamination": decontamination.op9_decontamination,
