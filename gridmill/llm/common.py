@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +61,33 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def marks(keys: DataFrame, key: str, log_bits: int = 24) -> Broadcast:
+    """A bitmap of 2**log_bits places with the places of 64-bit hashes marked: 2 MB, whatever
+    their number. More hashes only make it let more through."""
+    place = F.col(key).bitwiseAND(F.lit((1 << log_bits) - 1)) + 1
+    parts = keys.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits"))
+    out = bytearray(1 << (log_bits - 3))
+    for row in parts.toLocalIterator():
+        at = (row["bucket"] - 1) * 4096
+        out[at : at + len(row["bits"])] = row["bits"]
+    return keys.sparkSession.sparkContext.broadcast(bytes(out))
+
+
+def marked(rows: DataFrame, key: str, found: Broadcast, yes: bool = True) -> DataFrame:
+    """Rows whose hash has its place marked (or, without ``yes``, the others): all that
+    match, and some that don't, so that a join has less to shuffle."""
+    at = rows.columns.index(key)
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(found.value, np.uint8)
+        for batch in batches:
+            place = batch.column(at).to_numpy().view(np.uint64) & np.uint64(len(bits) * 8 - 1)
+            hit = (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(hit.astype(bool) if yes else ~hit.astype(bool)))
+
+    return rows.mapInArrow(test, rows.schema)
+
+
 def held_in_fold(doc_id: str, folds: int, fold: int) -> Column:
     """Whether a document lies in the fold crc32(id as text) mod ``folds``; null ids are text ''."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds == fold

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridmill.llm import decontamination, mixing, secrets, similarity, tokens
+from gridmill.llm import decontamination, mixing, repeats, secrets, similarity, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_tokens": tokens.op4_tokens,
     "op8_secrets": secrets.op8_secrets,
     "op9_decontamination": decontamination.op9_decontamination,
+    "op10_repeats": repeats.op10_repeats,
 }
 ORACLE_SQL = {
     "op1_mixing": mixing.OP1_SQL,

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import keep, scratch, table, text_hash, utf8
+from gridmill.llm.common import keep, marked, marks, scratch, table, text_hash, utf8
 from gridmill.llm.links import components
 
 WORDS = 5
@@ -249,31 +249,19 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
 
 
-def _asked_for(marks):
-    def keep_asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Texts whose hash is marked, each once a task."""
-        bits, done = np.frombuffer(marks.value, np.uint8), set()
-        for batch in batches:
-            h = batch.column(0).to_numpy()
-            at = h.view(np.uint64) & _U(len(bits) * 8 - 1)
-            marked = np.flatnonzero(bits[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8) & 1)
-            new = [i for i in marked.tolist() if h[i] not in done and not done.add(h[i])]
-            if new:
-                yield batch.take(pa.array(new))
-
-    return keep_asked
+def _each_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts by their hash, each once a task."""
+    done: set[int] = set()
+    for batch in batches:
+        new = [i for i, h in enumerate(batch.column(0).to_pylist()) if h not in done and not done.add(h)]
+        if new:
+            yield batch.take(pa.array(new))
 
 
-def node_texts(docs: DataFrame, nodes: DataFrame, text: str = "text", log_bits: int = 24) -> DataFrame:
+def node_texts(docs: DataFrame, nodes: DataFrame, text: str = "text") -> DataFrame:
     """(node, text) of each of ``nodes`` (node, text_hash)."""
-    spark = docs.sparkSession
-    place = F.col("text_hash").bitwiseAND(F.lit((1 << log_bits) - 1))
-    parts = nodes.select(place.alias("p")).groupBy(F.expr("bitmap_bucket_number(p + 1)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p + 1))").alias("bits"))
-    marks = bytearray(1 << (log_bits - 3))
-    for row in parts.toLocalIterator():  # 2 MB in all, whatever the number of nodes
-        at = (row["bucket"] - 1) * 4096
-        marks[at : at + len(row["bits"])] = row["bits"]
-    found = docs.select(text_hash(text).alias("text_hash"), F.col(text).alias("text")).mapInArrow(_asked_for(spark.sparkContext.broadcast(bytes(marks))), "text_hash long, text string")
+    rows = docs.select(text_hash(text).alias("text_hash"), F.col(text).alias("text"))
+    found = marked(rows, "text_hash", marks(nodes, "text_hash")).mapInArrow(_each_once, "text_hash long, text string")
     return found.join(nodes, "text_hash").dropDuplicates(["node"]).select("node", "text")
 
 
