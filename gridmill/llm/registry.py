@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from gridmill.llm import decontamination, mixing, repeats, secrets, similarity, tokens
+from gridmill.llm import decontamination, mixing, perplexity, repeats, secrets, similarity, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_perplexity": perplexity.op2_perplexity,
     "op3_similarity": similarity.op3_similarity,
     "op4_tokens": tokens.op4_tokens,
     "op8_secrets": secrets.op8_secrets,
