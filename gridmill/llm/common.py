@@ -17,7 +17,20 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of rows that a task hands to Python at a time.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep what Python holds of a task small, also where texts are long."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name)
+    if not held.rstrip("bB").isdigit() or not 0 < int(held.rstrip("bB")) <= BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -56,6 +69,11 @@ def text_hash(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())
 
 
+def row_hash(text: str = "text") -> Column:
+    """A row's identity in one number; rows with the same id and text share it."""
+    return F.xxhash64(F.col("doc_id"), F.col("doc_id").isNull(), text_hash(text))
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; a null is empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import WORD, keep, scratch, table
+from gridmill.llm.common import WORD, keep, row_hash, scratch, table
 
 WEIGHTS = (1, 2, 3)
 REPEATS = 3
@@ -70,14 +70,14 @@ def _time_range(finish: Column) -> Column:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, seed: str = SEED, text: str = "text") -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken and position of each document.
+    """doc_id, row, source, size, source_size, target, copies, taken and position of each document.
 
-    ``position`` is the place in the source's order, so a run can be repeated or extended.
+    ``row`` is the document's row hash; ``position`` is the place in the source's order, so a run can be repeated or extended.
     """
     spark = docs.sparkSession
     folder = scratch(spark, "mix")
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(docs["doc_id"].cast("string"), F.lit(""))))
-    sized = keep(docs.select("doc_id", "source", document_sizes(docs, text).alias("size"), order.alias("order")), f"{folder}/sized")
+    sized = keep(docs.select("doc_id", "source", document_sizes(docs, text).alias("size"), order.alias("order"), row_hash(text).alias("row")), f"{folder}/sized")
     targets = keep(source_targets(sized, weights, repeats), f"{folder}/targets")
 
     ranged = sized.withColumn("range", F.conv(F.substring("order", 1, 3), 16, 10).cast("int"))
@@ -91,7 +91,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, seed: str = SE
         within.join(offsets, within["source"].eqNullSafe(offsets["of_source"]) & (within["range"] == offsets["of_range"]))
         .join(named, F.col("source").eqNullSafe(named["target_source"]))
         .withColumn("position", F.col("offset") + F.col("within"))
-        .select("doc_id", "source", "size", "source_size", "rank", "budget", "target", "position")
+        .select("doc_id", "row", "source", "size", "source_size", "rank", "budget", "target", "position")
     )
     queued = keep(queued, f"{folder}/queued")
 
@@ -117,7 +117,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, seed: str = SE
                 taken = taken | (same & ((time < last["finish"]) | ((time == last["finish"]) & (F.col("rank") <= last["rank"]))))
             takes.append((F.col("size") > 0) & taken)
     count = sum((F.when(x, 1).otherwise(0) for x in takes[1:]), F.when(takes[0], 1).otherwise(0))
-    return queued.withColumn("copies", count.cast("long")).withColumn("taken", F.col("copies") * F.col("size")).select("doc_id", "source", "size", "source_size", "target", "copies", "taken", "position")
+    return queued.withColumn("copies", count.cast("long")).withColumn("taken", F.col("copies") * F.col("size")).select("doc_id", "row", "source", "size", "source_size", "target", "copies", "taken", "position")
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
@@ -126,18 +126,13 @@ def op1_mixing(spark, sf_dir: str) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """The mixture itself: every document as often as it is taken, with its own columns.
-
-    Rows equal in id and source but not in text share a place in the order by their
-    size; the join therefore goes by id, source and size, and gives each distinct
-    such row its copies once.
-    """
-    plan = mix(docs, weights, repeats).groupBy(F.col("doc_id").alias("of_id"), F.col("source").alias("of_source"), F.col("size").alias("of_size"))
-    plan = plan.agg(F.sort_array(F.collect_list("copies")).alias("all_copies"))
-    rows = docs.withColumn("_size", document_sizes(docs))
-    same = rows["doc_id"].eqNullSafe(F.col("of_id")) & rows["source"].eqNullSafe(F.col("of_source")) & (rows["_size"] == F.col("of_size"))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "source", "_size").orderBy("text"))
-    joined = rows.withColumn("_nth", nth).join(plan, same).where(F.element_at("all_copies", F.col("_nth")) > 0)
-    return joined.select(*[joined[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.element_at("all_copies", F.col("_nth")).cast("int"))).alias("_copy")).drop("_copy")
+    Of repeated rows each gets its own number of copies."""
+    plan = mix(docs, weights, repeats).where("copies > 0").groupBy(F.col("row").alias("_row"), F.col("source").alias("_of")).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies"))
+    joined = docs.withColumn("_row", row_hash()).join(plan, "_row").where(F.col("source").eqNullSafe(F.col("_of")))
+    nth = F.row_number().over(Window.partitionBy("_row").orderBy("source"))
+    first = F.min("_nth").over(Window.partitionBy("_row", "source"))
+    placed = joined.withColumn("_nth", nth).withColumn("_nth", F.col("_nth") - first + 1).where(F.col("_nth") <= F.size("_copies"))
+    return placed.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.element_at("_copies", F.col("_nth")).cast("int"))).alias("_copy")).drop("_copy")
 
 
 OP1_SQL = r"""

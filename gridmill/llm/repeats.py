@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import keep, marked, marks, scratch, table, utf8
+from gridmill.llm.common import keep, marked, marks, row_hash, scratch, table, utf8
 
 LENGTH = 400
 GRAM = 32
@@ -352,7 +352,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """(row, first, last): bytes that repeated strings cover; spans of a row may overlap.
 
-    ``row`` is :func:`row_hash` of the document.
+    ``row`` is the document's :func:`row_hash`.
     """
     spark = docs.sparkSession
     folder = scratch(spark, "repeats")
@@ -383,10 +383,6 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     return keep(spans.distinct(), f"{folder}/spans")
 
 
-def row_hash(text: str = "text"):
-    return F.xxhash64(F.col("doc_id"), F.col("doc_id").isNull(), F.coalesce(F.col(text), F.lit("")))
-
-
 def _removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = utf8(batch.column(1))

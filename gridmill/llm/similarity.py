@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import keep, marked, marks, scratch, table, text_hash, utf8
+from gridmill.llm.common import keep, marked, marks, row_hash, scratch, table, text_hash, utf8
 from gridmill.llm.links import components
 
 WORDS = 5
@@ -323,13 +323,13 @@ def keep_one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the least id, then the least text hash;
     rows with empty sets all stay."""
     found = near_duplicates(docs, text)
-    keepers = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("one")).select("one.doc_id", "one.text_hash", F.lit(1).alias("copies"))
-    empty = found.where("component IS NULL").groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies"))
-    stay = keepers.unionByName(empty).withColumnsRenamed({"doc_id": "_of", "text_hash": "_of_hash"})
-    rows = docs.withColumn("_hash", text_hash(text))
-    joined = rows.join(stay, rows["doc_id"].eqNullSafe(stay["_of"]) & (rows["_hash"] == stay["_of_hash"]))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_hash").orderBy(F.lit(0)))
-    return joined.withColumn("_nth", nth).where("_nth <= copies").select(*docs.columns)
+    found = found.withColumn("row", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text_hash"))
+    keepers = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "row")).alias("one")).select("one.row", F.lit(1).alias("copies"))
+    empty = found.where("component IS NULL").groupBy("row").agg(F.count("*").alias("copies"))
+    stay = keepers.unionByName(empty).withColumnsRenamed({"row": "_row", "copies": "_copies"})
+    joined = docs.withColumn("_row", row_hash(text)).join(stay, "_row")
+    nth = F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(0)))
+    return joined.withColumn("_nth", nth).where("_nth <= _copies").select(*docs.columns)
 
 
 def op3_similarity(spark, sf_dir: str) -> DataFrame:
