@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from gridmill.llm import decontamination, media, mixing, perplexity, repeats, secrets, similarity, tokens, toxicity
+from gridmill.llm import decontamination, media, mixing, perplexity, pii, repeats, secrets, similarity, tokens, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_perplexity": perplexity.op2_perplexity,
     "op3_similarity": similarity.op3_similarity,
     "op4_tokens": tokens.op4_tokens,
+    "op5_pii": pii.op5_pii,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_media": media.op7_media,
     "op8_secrets": secrets.op8_secrets,
