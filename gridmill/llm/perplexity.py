@@ -49,6 +49,8 @@ FOLDS, HELD_OUT = 7, 2
 START, END = b" <s>", b" </s>"  # no words: they hold a blank
 #: Words of training text a bucket is made for; a bucket's pairs stay in one task's memory.
 BUCKET_BYTES = 12 << 20
+#: Words that a task holds before it passes their counts on.
+STRETCH = 3_000_000
 _U = np.uint64
 _CODEC = "zstd"
 
@@ -116,32 +118,45 @@ def _bucket(high: np.ndarray, log_buckets: int) -> np.ndarray:
     return (high >> _U(64 - log_buckets)).astype(np.int64) if log_buckets else np.zeros(len(high), np.int64)
 
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of a stretch of texts, with their counts."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(tokens(utf8(batch.column(0)))[0])
+        size += len(held[-1])
+        if size > STRETCH:
+            yield _counted(held)
+            held, size = [], 0
+    if held:
+        yield _counted(held)
+
+
+def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
+    words, counts = np.unique(np.concatenate(held), return_counts=True)
+    return pa.record_batch([pa.array(words.view(np.int64)), pa.array(counts, pa.int64())], names=["word", "count"])
+
+
 def _collapse(log_buckets: int):
-    """Pairs of a stretch of texts, collapsed: a row for each bucket; and words with their counts."""
+    """Pairs of a stretch of texts, collapsed: a row for each bucket."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        size = 0
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            before, h = (np.concatenate(x) for x in zip(*held))
-            words, counts = np.unique(h, return_counts=True)
-            high, low = _pair_parts(before, h)
-            high, low, n = _add_up(high, low, np.ones(len(h), np.int64))
-            edges = np.searchsorted(_bucket(high, log_buckets), np.arange((1 << log_buckets) + 1))
-            blocks = [(b, int(y - x), _packed(high[x:y], low[x:y], n[x:y])) for b, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
-            yield pa.record_batch([pa.array([b for b, _, _ in blocks], pa.int32()), pa.array([x for _, x, _ in blocks], pa.int64()), pa.array([x for _, _, x in blocks], pa.binary()), pa.nulls(len(blocks), pa.int64()), pa.nulls(len(blocks), pa.int64())], names=["bucket", "pairs", "block", "word", "count"])
-            yield pa.record_batch([pa.nulls(len(words), pa.int32()), pa.nulls(len(words), pa.int64()), pa.nulls(len(words), pa.binary()), pa.array(words.view(np.int64)), pa.array(counts, pa.int64())], names=["bucket", "pairs", "block", "word", "count"])
+    def rows(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        high, low, n = _add_up(*(np.concatenate(x) for x in zip(*held)))
+        edges = np.searchsorted(_bucket(high, log_buckets), np.arange((1 << log_buckets) + 1))
+        blocks = [(b, int(y - x), _packed(high[x:y], low[x:y], n[x:y])) for b, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
+        return pa.record_batch([pa.array([b for b, _, _ in blocks], pa.int32()), pa.array([x for _, x, _ in blocks], pa.int64()), pa.array([x for _, _, x in blocks], pa.binary())], names=["bucket", "pairs", "block"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             h, sizes = tokens(utf8(batch.column(0)))
-            held.append((_contexts(h, sizes), h))
+            high, low = _pair_parts(_contexts(h, sizes), h)
+            held.append(_add_up(high, low, np.ones(len(h), np.int64)))
             size += len(h)
-            if size > 6_000_000:
-                yield from rows()
+            if size > STRETCH:
+                yield rows(held)
                 held, size = [], 0
         if held:
-            yield from rows()
+            yield rows(held)
 
     return count
 
@@ -304,10 +319,9 @@ def train(docs: DataFrame, folder: str, text: str = "text") -> dict:
         fs.create_dir(f"{root}/{kind}", recursive=True)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     log_buckets = max(0, math.ceil(math.log2(max(1, size) / BUCKET_BYTES)))
-    counted = docs.select(text).mapInArrow(_collapse(log_buckets), "bucket int, pairs long, block binary, word long, count long")
-    counted = keep(counted, f"{folder}/counted")
-    words = counted.where("word IS NOT NULL").groupBy("word").agg(F.sum("count").alias("count"))
-    blocks = counted.where("bucket IS NOT NULL").select("bucket", "pairs", "block").repartition(max(1, min(1 << log_buckets, 2000)), "bucket").sortWithinPartitions("bucket")
+    words = docs.select(text).mapInArrow(_word_counts, "word long, count long").groupBy("word").agg(F.sum("count").alias("count"))
+    blocks = docs.select(text).mapInArrow(_collapse(log_buckets), "bucket int, pairs long, block binary")
+    blocks = blocks.repartition(max(1, min(1 << log_buckets, 2000)), "bucket").sortWithinPartitions("bucket")
     merged = keep(blocks.mapInArrow(_merge(folder), "file string, bucket long, size long, of_counts array<long>, word long, total long, once long, twice long, more long, before long"), f"{folder}/merged")
     files = merged.where("file IS NOT NULL").select("file", "bucket", "of_counts")
     facts: dict = {"log_buckets": log_buckets, "pair_files": {}}
@@ -328,7 +342,7 @@ def train(docs: DataFrame, folder: str, text: str = "text") -> dict:
     mass = (e[0] * row["n1"] + e[1] * row["n2"] + e[2] * row["n3up"]) / facts["kinds"] if row["kinds"] else 1.0
     facts["rest"] = mass / (facts["vocabulary"] + 1)
     # Keys in unsigned order: files hold ranges of them.
-    ranged = joined.repartitionByRange(max(1, facts["vocabulary"] // 2_000_000), F.col("word").bitwiseXOR(F.lit(-(1 << 63))))
+    ranged = joined.repartitionByRange(max(1, facts["vocabulary"] // 500_000), F.col("word").bitwiseXOR(F.lit(-(1 << 63))))
     written = keep(ranged.mapInArrow(_write_words(folder, facts), "file string, low long, size long"), f"{folder}/files")
     facts["word_files"] = [r["file"] for r in written.orderBy("low").toLocalIterator()]
     return facts
