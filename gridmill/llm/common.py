@@ -13,6 +13,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import gridmill
+
 #: A word of a text: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -31,6 +33,7 @@ def small_batches(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small_batches(spark)
+    gridmill.ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -32,16 +32,16 @@ from gridmill.llm.common import held_in_fold, table
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-SAMPLE = 5000
+SAMPLE = 2000
 LOG_FEATURES = 18
 PREFIXES = (4, 5, 6)
-EPOCHS = 6
+EPOCHS = 4
 FLOOR = 0.01
 RATE = 0.15
 DECAY = 2e-5
 #: A sentence without an end is cut after so many words.
 LONGEST = 40
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _START_BIAS = -4.0
 
@@ -138,6 +138,7 @@ class Scorer:
             new = self.words.features[len(self.sums) :]
             self.sums = np.concatenate([self.sums, [float(self.weights[x].sum()) if x else 0.0 for x in new]])
             self.ends = np.concatenate([self.ends, self.words.ends[len(self.ends) :]])
+            self.words.features[-len(new) :] = [[]] * len(new)  # only their sum is needed now
         starts = sentence_ends(self.ends[ids])
         z = np.add.reduceat(self.sums[ids], starts) + self.bias
         return starts, 1 / (1 + np.exp(-np.clip(z, -30, 30)))
