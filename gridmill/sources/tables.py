@@ -57,3 +57,16 @@ def read_bookmark(spark: SparkSession, path: str, name: str):
 
 def write_bookmark(spark: SparkSession, path: str, name: str, value) -> None:
     spark.createDataFrame([(name, value)], "name string, value timestamp_ntz").coalesce(1).write.mode("append").parquet(path)
+
+
+def scratch_folder(spark: SparkSession, what: str) -> str:
+    """A new folder under ``spark.checkpoint.dir``, which driver and executors share; sessions
+    without that setting (tests on one machine) get one of their own."""
+    import os
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = f"/tmp/checkpoints/{os.getuid()}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
