@@ -85,7 +85,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         bare = word.translate(_FOLD).strip(_TRIM.encode())
         self[word] = h = int.from_bytes(hashlib.blake2b(bare, digest_size=8).digest(), "little")
