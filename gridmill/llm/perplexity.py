@@ -59,7 +59,7 @@ class _Hashes(dict):
     """Words' hashes, forgotten when they have become many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 600_000:
+        if len(self) > 300_000:
             self.clear()
         self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
