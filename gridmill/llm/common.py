@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,21 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task's function that gives its freed memory back when it ends. Workers live on
+    beside the next ones, and would keep what their largest arrays took."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library: nothing to ask
+
+    return run
+
+
 def marks(keys: DataFrame, key: str, log_bits: int = 24) -> Broadcast:
     """A bitmap of 2**log_bits places with the places of 64-bit hashes marked: 2 MB, whatever
     their number. More hashes only make it let more through."""
@@ -106,7 +122,7 @@ def marked(rows: DataFrame, key: str, found: Broadcast, yes: bool = True) -> Dat
             hit = (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
             yield batch.filter(pa.array(hit.astype(bool) if yes else ~hit.astype(bool)))
 
-    return rows.mapInArrow(test, rows.schema)
+    return rows.mapInArrow(tidy(test), rows.schema)
 
 
 def held_in_fold(doc_id: str, folds: int, fold: int) -> Column:

@@ -12,10 +12,14 @@ sets the order and the l, so that errors in it cost time and lose no pair.
 
 Rows with the same set form one class at once, named by a 64-bit hash of the set
 (n classes make n*n/2**65 wrong merges in the mean). Before the join, classes that
-share a minimum of one of a few hash functions are held against the least of them,
-and what proves similar is united: a large group of near copies becomes one part
-after linear work. The join then skips pairs inside a part, whose link can't change
-the components; all others are verified on whole texts.
+share a minimum of one of a few hash functions are held against the most central of
+them (the one with most prefix shingles that others have, too), and what proves
+similar is united: a large group of near copies becomes one part after linear work.
+What was held together and is not far apart makes a family. A family's members of
+different parts are compared in blocks of ``BLOCK`` against ``BLOCK``, which returns
+links and no pairs; the join then skips pairs inside a family, and verifies all
+others on whole texts. A pair's shared prefix shingles bound its overlap: c of them
+allow at most c and what lies behind the longer of the two prefixes' ends.
 
 Postings meet by shingle in sorted streams, and verification is dealt out by one
 side of the pair in chunks of ``CHUNK`` partners, so that no group has to fit in a
@@ -39,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import keep, marked, marks, row_hash, scratch, table, text_hash, utf8
+from gridmill.llm.common import keep, marked, marks, row_hash, scratch, table, text_hash, tidy, utf8
 from gridmill.llm.links import components
 
 WORDS = 5
@@ -49,10 +53,14 @@ SKETCH_BITS = 20
 SKETCH_PART = 1 << 14
 HASHES = 4
 #: l is tried up to this; a greater one would need longer prefixes than it saves.
-MOST_MATCHES = 8
+MOST_MATCHES = 16
 #: Verifying one pair costs about as much as this many postings.
 VERIFY_COST = 20
 CHUNK = 64
+#: Members of a family that a task compares with as many, and how far apart those may be
+#: that found it.
+BLOCK = 256
+FAMILY = 0.6
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _U = np.uint64
@@ -69,7 +77,7 @@ class _WordHashes(dict):
     """64-bit hashes of words; forgets all when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
@@ -204,16 +212,16 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes of different parts that share a shingle and may link by size."""
-    for token, part, node, measure in _runs(batches):
+    """Pairs of classes of different families that share a shingle and may link by size."""
+    for token, family, node, measure in _runs(batches):
         edges = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
         size = measure >> 8
         first, second = [], []
         for begin, stop in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            if stop - begin < 2 or part[begin] == part[stop - 1]:  # sorted by part within a shingle
+            if stop - begin < 2 or family[begin] == family[stop - 1]:  # sorted by family within a shingle
                 continue
             for i in range(begin, stop - 1):
-                others = np.arange(int(np.searchsorted(part[begin:stop], part[i], "right")) + begin, stop)
+                others = np.arange(int(np.searchsorted(family[begin:stop], family[i], "right")) + begin, stop)
                 small, large = np.minimum(size[i], size[others]), np.maximum(size[i], size[others])
                 others = others[100 * small >= PERCENT * large]
                 if len(others):
@@ -229,24 +237,87 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _pairs(first: list[np.ndarray], second: list[np.ndarray], node: np.ndarray, measure: np.ndarray) -> pa.RecordBatch:
     i, j = np.concatenate(first), np.concatenate(second)
     a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-    return pa.record_batch([pa.array(a), pa.array(b), pa.array(np.minimum(measure[i] & 255, measure[j] & 255))], names=["a", "b", "needed"])
+    x, y = measure[i] >> 8, measure[j] >> 8
+    overlap = -(-PERCENT * (x + y) // (100 + PERCENT))
+    behind = np.maximum((PERCENT * x + 99) // 100 - (measure[i] & 255), (PERCENT * y + 99) // 100 - (measure[j] & 255))
+    return pa.record_batch([pa.array(a), pa.array(b), pa.array(np.maximum(overlap - behind, np.minimum(measure[i] & 255, measure[j] & 255)))], names=["a", "b", "needed"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links among rows (a, chunk, b, text): a's own text has a null b and comes first."""
+    """Similarity of pairs of rows (a, chunk, b, text): a's own text has a null b and comes first."""
     head, own = None, None
     for batch in batches:
         a, _, b = (batch.column(i).to_pylist() for i in range(3))
-        links = []
+        found = []
         for x, y, text in zip(a, b, utf8(batch.column(3))):
             s = shingles(text)
             if y is None:
                 head, own = x, s
             elif head == x:
                 both = len(own) + len(s) - len(np.unique(np.concatenate([own, s])))
-                if 100 * both >= PERCENT * (len(own) + len(s) - both):
-                    links.append((x, y))
-        yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+                either = len(own) + len(s) - both
+                found.append((x, y, 100 * both >= PERCENT * either, 1 - both / either))
+        columns = list(zip(*found)) or [[], [], [], []]
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_(), pa.float64()))], names=["a", "b", "links", "distance"])
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join parts, among rows (family, first, second, block, node, part, text) of
+    two blocks; of many links between the same parts, those of a spanning forest."""
+    at, held = None, []
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns[:6]]
+        for row, text in zip(zip(*columns), utf8(batch.column(6))):
+            if row[:3] != at and held:
+                yield _block_links(held)
+                held = []
+            at = row[:3]
+            held.append((row[3], row[4], row[5], shingles(text)))
+    if held:
+        yield _block_links(held)
+
+
+def _block_links(rows: list[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch:
+    sizes = np.array([len(s) for *_, s in rows])
+    _, place = np.unique(np.concatenate([s for *_, s in rows]), return_inverse=True)
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    both = np.zeros((len(rows), len(rows)), np.int64)
+    for begin in range(0, int(place.max()) + 1, 1 << 14):  # a stretch of shingles at a time
+        inside = (place >= begin) & (place < begin + (1 << 14))
+        held = np.zeros((len(rows), 1 << 14), np.float32)
+        held[owner[inside], place[inside] - begin] = 1
+        both += (held @ held.T).astype(np.int64)
+    links = 100 * both >= PERCENT * (sizes[:, None] + sizes[None, :] - both)
+    root = {p: p for _, _, p, _ in rows}
+
+    def find(p: int) -> int:
+        while root[p] != p:
+            root[p] = root[root[p]]
+            p = root[p]
+        return p
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(links, 1)))):
+        a, b = find(rows[i][2]), find(rows[j][2])
+        if a != b:
+            root[a] = b
+            out.append((rows[i][1], rows[j][1]))
+    return pa.record_batch([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+
+
+def family_links(families: DataFrame, docs: DataFrame, nodes: DataFrame, folder: str, text: str = "text") -> DataFrame:
+    """Links between parts inside each family (node, family, part)."""
+    place = F.row_number().over(Window.partitionBy("family").orderBy("part", "node")) - 1
+    placed = families.withColumn("block", F.floor(place / BLOCK).cast("int"))
+    blocks = placed.groupBy("family", "block").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    a, b = blocks.select("family", F.col("block").alias("first"), "low", "high"), blocks.select("family", F.col("block").alias("second"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    pairs = a.join(b, "family").where((F.col("first") <= F.col("second")) & (F.least("low", "low2") != F.greatest("high", "high2")))
+    # Every block meets itself in a pair with itself, so a pair of two needs no third look at either.
+    wanted = pairs.select("family", "first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("block"))
+    rows = keep(wanted.join(placed, ["family", "block"]), f"{folder}/rows")
+    texts = keep(node_texts(docs, nodes.join(rows.select("node").distinct(), "node").select("node", "text_hash"), text), f"{folder}/texts")
+    dealt = rows.join(texts, "node").select("family", "first", "second", "block", "node", "part", "text").repartition("family", "first", "second").sortWithinPartitions("family", "first", "second")
+    return keep(dealt.mapInArrow(tidy(_compare_blocks), "a long, b long"), f"{folder}/links")
 
 
 def _each_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,12 +332,12 @@ def _each_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def node_texts(docs: DataFrame, nodes: DataFrame, text: str = "text") -> DataFrame:
     """(node, text) of each of ``nodes`` (node, text_hash)."""
     rows = docs.select(text_hash(text).alias("text_hash"), F.col(text).alias("text"))
-    found = marked(rows, "text_hash", marks(nodes, "text_hash")).mapInArrow(_each_once, "text_hash long, text string")
+    found = marked(rows, "text_hash", marks(nodes, "text_hash")).mapInArrow(tidy(_each_once), "text_hash long, text string")
     return found.join(nodes, "text_hash").dropDuplicates(["node"]).select("node", "text")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, folder: str, text: str = "text") -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets are similar enough."""
+    """``pairs`` (a, b) with ``links``, whether they are similar enough, and ``distance``."""
     pairs = keep(pairs, f"{folder}/pairs")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = keep(node_texts(docs, nodes.join(asked, "node").select("node", "text_hash"), text), f"{folder}/texts")
@@ -275,7 +346,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, folder: str, t
     partners = dealt.join(texts.withColumnRenamed("node", "b"), "b").select("a", "chunk", "b", "text")
     heads = dealt.select("a", "chunk").distinct().join(texts.withColumnRenamed("node", "a"), "a").select("a", "chunk", F.lit(None).cast("long").alias("b"), "text")
     rows = heads.unionByName(partners).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-    return keep(rows.mapInArrow(_verify, "a long, b long"), f"{folder}/links")
+    return keep(rows.mapInArrow(tidy(_verify), "a long, b long, links boolean, distance double"), f"{folder}/verified")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -285,33 +356,40 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     folder = scratch(spark, "similar")
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", text_hash(text).alias("text_hash"), text)
-    found = keep(rows.mapInArrow(_describe, f"doc_id {kind}, text_hash long, n_shingles long, node long, minima array<long>, part int, cells binary"), f"{folder}/found")
+    found = keep(rows.mapInArrow(tidy(_describe), f"doc_id {kind}, text_hash long, n_shingles long, node long, minima array<long>, part int, cells binary"), f"{folder}/found")
     described = found.where("part IS NULL").select("doc_id", "text_hash", "n_shingles", "node", "minima")
 
-    sums = found.where("part IS NOT NULL").select("part", "cells").repartition("part").mapInArrow(_add_parts, "part int, cells binary")
+    sums = found.where("part IS NOT NULL").select("part", "cells").repartition("part").mapInArrow(tidy(_add_parts), "part int, cells binary")
     cells = np.zeros(1 << SKETCH_BITS, np.uint32)
     for row in sums.toLocalIterator():  # 4 MB in all
         cells[row["part"] * SKETCH_PART : (row["part"] + 1) * SKETCH_PART] = np.frombuffer(row["cells"], "<u4")
     usual = int(np.median(cells))
     counts = spark.sparkContext.broadcast(cells)
 
-    # Classes, and the pairs of each class with the least one that shares a minimum.
     classes = keep(described.where("n_shingles > 0").groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("n_shingles").alias("n"), F.first("minima").alias("minima")), f"{folder}/classes")
     nodes = classes.select("node", "text_hash")
-    shared = classes.select("node", "n", F.posexplode("minima").alias("hash", "minimum"))
-    least = shared.groupBy("hash", "minimum").agg(F.min(F.struct("node", "n")).alias("least"), F.count("*").alias("many")).where("many > 1")
-    close = shared.join(least, ["hash", "minimum"]).where((F.col("node") != F.col("least.node")) & (100 * F.least("n", "least.n") >= PERCENT * F.greatest("n", "least.n")))
-    close = close.select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct()
-    first_links = verified(close, docs, nodes, f"{folder}/close", text)
+    postings = docs.select(text).mapInArrow(tidy(_postings(counts, usual)), "token long, node long, measure long").repartition("token").sortWithinPartitions("token", "node")
+    common = keep(postings.mapInArrow(tidy(_shared), "token long, node long, measure long"), f"{folder}/common")
+
+    # Pairs of each class with the most central one that shares a minimum.
+    central = common.groupBy("node").agg(F.count("*").alias("others"))
+    shared = classes.join(central, "node").select("node", "n", "others", F.posexplode("minima").alias("hash", "minimum"))
+    best = shared.groupBy("hash", "minimum").agg(F.max(F.struct("others", "node", "n")).alias("best"), F.count("*").alias("many")).where("many > 1")
+    close = shared.join(best, ["hash", "minimum"]).where((F.col("node") != F.col("best.node")) & (100 * F.least("n", "best.n") >= PERCENT * F.greatest("n", "best.n")))
+    close = close.select(F.col("best.node").alias("a"), F.col("node").alias("b")).distinct()
+    held = verified(close, docs, nodes, f"{folder}/close", text)
+    first_links = held.where("links").select("a", "b")
     parts = components(first_links, f"{folder}/parts")
-
-    postings = docs.select(text).mapInArrow(_postings(counts, usual), "token long, node long, measure long").repartition("token").sortWithinPartitions("token", "node")
-    common = keep(postings.mapInArrow(_shared, "token long, node long, measure long"), f"{folder}/common")
-    placed = common.join(parts, "node", "left").select("token", F.coalesce("root", "node").alias("part"), "node", "measure")
-    met = placed.repartition("token").sortWithinPartitions("token", "part", "node").mapInArrow(_meet, "a long, b long, needed long")
-    pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("needed").alias("needed")).where("shared >= needed").select("a", "b")
-    links = verified(pairs, docs, nodes, f"{folder}/met", text)
-    roots = components(first_links.unionByName(links), f"{folder}/roots")
+    near = held.where(F.col("distance") <= FAMILY).select("a", "b")
+    families = components(near, f"{folder}/families").withColumnRenamed("root", "family")
+    families = keep(families.join(parts, "node", "left").select("node", "family", F.coalesce("root", "node").alias("part")), f"{folder}/placed")
+    inner = family_links(families, docs, nodes, f"{folder}/blocks", text)
+
+    placed = common.join(families.select("node", "family"), "node", "left").select("token", F.coalesce("family", "node").alias("family"), "node", "measure")
+    met = placed.repartition("token").sortWithinPartitions("token", "family", "node").mapInArrow(tidy(_meet), "a long, b long, needed long")
+    pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("needed").alias("needed")).where("shared >= needed").select("a", "b")
+    links = verified(pairs, docs, nodes, f"{folder}/met", text).where("links").select("a", "b")
+    roots = components(first_links.unionByName(inner).unionByName(links), f"{folder}/roots")
 
     named = described.join(roots, "node", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")))
     names = named.where("component IS NOT NULL").groupBy(F.col("component").alias("of")).agg(F.min("doc_id").alias("least_id"))
