@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import filesystem, keep, scratch, table, utf8
+from gridmill.llm.common import filesystem, keep, scratch, table, tidy, utf8
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
@@ -50,7 +50,7 @@ MAGIC = b"PFOR1\0\0\0"
 _BLOCK_HEAD = struct.Struct("<IIBI")
 _TRAILER = struct.Struct("<6Q")
 #: Words a worker remembers; beyond that it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -100,15 +100,19 @@ class Encoder:
         return ids, np.diff(edges)
 
     def _learn(self, new: list[bytes]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        total = int(sizes.sum())
-        while self.used + total > len(self.flat):
+        """Encode new words in one go; a token's place in the joined text tells its word."""
+        words = [w.decode() for w in new]
+        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(encoded.ids, np.uint32)
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        begins = np.fromiter((x for x, _ in encoded.offsets), np.int64, len(ids))
+        sizes = np.bincount(np.searchsorted(np.cumsum(lengths), begins, "right"), minlength=len(words))
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(encoded), np.uint32, total)
+        self.flat[self.used : self.used + len(ids)] = ids
         self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.used += total
+        self.used += len(ids)
 
 
 def encoder(path: str) -> Encoder:
@@ -240,9 +244,9 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end: int =
             if out is None:
                 sink = own.open_output_stream(f"{base}/{name}", compression=None)
                 out = Writer(sink)
-            ids, counts = encoder(vocabulary).encode(utf8(batch.column(1)))
-            places = np.cumsum(counts)
-            out.add(np.insert(ids, places, np.uint32(end)), counts + 1)
+            for at in range(0, batch.num_rows, 300):
+                ids, counts = encoder(vocabulary).encode(utf8(batch.column(1).slice(at, 300)))
+                out.add(np.insert(ids, np.cumsum(counts), np.uint32(end)), counts + 1)
             doc_ids += batch.column(0).to_pylist()
         if out is not None:
             out.close()
@@ -255,7 +259,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end: int =
                     sheet.write_batch(pa.RecordBatch.from_pydict({"doc_id": pa.array(doc_ids, pa.int64())}))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).repartitionByRange("doc_id").sortWithinPartitions("doc_id", text)
-    manifest = keep(rows.mapInArrow(write, "shard long, file string, bytes long, n_ids long, n_docs long"), f"{folder}/manifest")
+    manifest = keep(rows.mapInArrow(tidy(write), "shard long, file string, bytes long, n_ids long, n_docs long"), f"{folder}/manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
     return manifest.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
@@ -275,7 +279,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                     yield pa.record_batch([doc_ids.slice(at, 50_000), pa.array(part[:, 0] + row["first_id"]), pa.array(part[:, 1]), pa.array(part[:, 2])], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     spread = manifest.select("file", "bytes", "first_id").repartition(manifest.sparkSession.sparkContext.defaultParallelism * 2)
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return spread.mapInArrow(tidy(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
