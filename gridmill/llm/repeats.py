@@ -36,7 +36,6 @@ the text are not read.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,15 +44,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import keep, marked, marks, row_hash, scratch, table, utf8
+from gridmill.llm.common import keep, marked, marks, row_hash, scratch, table, tidy, utf8
 
 LENGTH = 400
 GRAM = 32
-BLOCK = 32
+BLOCK = 64
 #: Different surroundings of one key that a task compares; about 12 MB.
 LARGE = 20_000
 #: Bytes of texts that are hashed at a time, and bits for a place among them.
-PIECE = 1 << 21
+PIECE = 1 << 19
 PLACE_BITS = 23
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -289,44 +288,30 @@ def shared_strings(keys: list[int], lefts: list[int], surrounds: list[bytes]) ->
     # Groups of suffixes that share as many blocks as a string holds at least.
     alike = (whole[1:] == whole[:-1]).all(axis=1)
     groups = np.concatenate([[0], np.cumsum(~alike)])
-    many = np.bincount(groups)[groups] > 1
-    owner_of, offset_of = np.array(owner, np.int64)[order], np.array(offset, np.int64)[order]
-    members: dict[tuple[int, int, int], list[int]] = defaultdict(list)
-    for g, k, o in zip(groups[many].tolist(), owner_of[many].tolist(), offset_of[many].tolist()):
-        members[g, keys[k], o].append(k)
-    found: dict[int, set[int]] = defaultdict(set)
-    for (_, _, o), ks in members.items():
-        if len(ks) < 2:
-            continue
-        # Strings whose first whole block is this one: they start up to BLOCK - 1 bytes before it.
-        hashes, starts, whose = [], [], []
-        for k in ks:
-            first = max(0, lefts[k] + o - BLOCK + 1)
-            part = np.frombuffer(surrounds[k], np.uint8)[first : lefts[k] + o + LENGTH]
-            if len(part) >= LENGTH:
-                h = _gram_hashes(part, LENGTH)
-                hashes.append(h)
-                starts.append(np.arange(len(h)) + first)
-                whose.append(np.full(len(h), k))
-        if len(hashes) < 2:
-            continue
-        h, start, k = map(np.concatenate, (hashes, starts, whose))
-        distance = start - np.array(lefts, np.int64)[k]
-        _, inverse, counts = np.unique(h ^ (distance.astype(np.uint64) * _U(0x94D049BB133111EB)), return_inverse=True, return_counts=True)
-        for x in np.flatnonzero(counts[inverse] > 1).tolist():
-            found[int(k[x])].add(int(start[x]))
-    out = []
-    for k, starts in found.items():
-        first = last = None
-        for x in sorted(starts):
-            if first is not None and x <= last + LENGTH:
-                last = x
-                continue
-            if first is not None:
-                out.append((k, first, last + LENGTH))
-            first = last = x
-        out.append((k, first, last + LENGTH))
-    return out
+    many = np.flatnonzero((np.bincount(groups)[groups] > 1) & (np.array(sequence, np.int64)[order] >= 0))
+    whose, begin = np.array(owner, np.int64)[order[many]], np.array(offset, np.int64)[order[many]]
+    # Strings whose first whole block is one of these: they start up to BLOCK - 1 bytes before it.
+    left, size = np.array(lefts, np.int64), np.fromiter(map(len, surrounds), np.int64, len(surrounds))
+    base = np.cumsum(size) - size
+    start = (left[whose] + begin)[:, None] - np.arange(BLOCK)
+    k = np.broadcast_to(whose[:, None], start.shape)
+    valid = (start >= 0) & (start + LENGTH <= size[k])
+    start, k = start[valid], k[valid]
+    if not len(k):
+        return []
+    h = _gram_hashes(np.frombuffer(b"".join(surrounds), np.uint8), LENGTH)[base[k] + start]
+    under = np.array(keys, np.int64).view(np.uint64)[k]
+    h = (h ^ (start - left[k]).astype(np.uint64) * _U(0x94D049BB133111EB)) * _BASE ^ under
+    _, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
+    shared = counts[inverse] > 1
+    k, start = k[shared], start[shared]
+    if not len(k):
+        return []
+    order = np.lexsort((start, k))
+    k, start = k[order], start[order]
+    new = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (start[1:] > start[:-1] + LENGTH)]))
+    last = np.append(new[1:], len(k)) - 1
+    return list(zip(k[new].tolist(), start[new].tolist(), (start[last] + LENGTH).tolist()))
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +326,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         held += zip(*(c.to_pylist() for c in batch.columns))
-        if len(held) > 4000 and held[0][0] != held[-1][0]:
+        if len(held) > 1500 and held[0][0] != held[-1][0]:
             cut = next(i for i in range(len(held) - 1, -1, -1) if held[i][0] != held[-1][0]) + 1
             yield spans(held[:cut])
             held = held[cut:]
@@ -357,7 +342,7 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     folder = scratch(spark, "repeats")
     rows = docs.select(row_hash(text).alias("row"), text)
-    found = keep(rows.mapInArrow(_anchor_rows, "row long, place int, left int, right int, around long, left_key long, right_key long"), f"{folder}/anchors")
+    found = keep(rows.mapInArrow(tidy(_anchor_rows), "row long, place int, left int, right int, around long, left_key long, right_key long"), f"{folder}/anchors")
     classes = found.groupBy("around").agg(F.count("*").alias("many"), F.min(F.struct("row", "place")).alias("one"), F.first("left_key").alias("left_key"), F.first("right_key").alias("right_key"))
     classes = keep(classes, f"{folder}/classes")
 
@@ -371,10 +356,10 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     meeting = keep(meeting, f"{folder}/meeting")
     wanted = meeting.groupBy("row").agg(F.collect_list(F.struct("key", "side", "place", "large")).alias("wanted"))
     texts = marked(rows, "row", marks(meeting, "row")).dropDuplicates(["row"]).join(wanted, "row").select(text, "wanted", "row")
-    surrounds = texts.mapInArrow(_cut_out, "key long, row long, place int, left int, around binary")
+    surrounds = texts.mapInArrow(tidy(_cut_out), "key long, row long, place int, left int, around binary")
     dealt = surrounds.repartition("key").sortWithinPartitions("key")
-    shared = dealt.mapInArrow(_compare, "row long, first long, last long")
-    strings = texts.where(F.exists("wanted", lambda w: w["large"])).mapInArrow(_strings, "string long, row long, first long")
+    shared = dealt.mapInArrow(tidy(_compare), "row long, first long, last long")
+    strings = texts.where(F.exists("wanted", lambda w: w["large"])).mapInArrow(tidy(_strings), "string long, row long, first long")
     again = strings.groupBy("string").agg(F.count("*").alias("many")).where("many > 1")
     counted = strings.join(again, "string").select("row", "first", (F.col("first") + LENGTH).alias("last"))
     spans = covered.unionByName(shared)
@@ -413,9 +398,9 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, runs array<long>"
     found = marks(spans, "row")
     rows = docs.select("doc_id", text, row_hash(text).alias("row"))
-    whole = marked(rows, "row", found, yes=False).select("doc_id", text).mapInArrow(_removal, schema)
+    whole = marked(rows, "row", found, yes=False).select("doc_id", text).mapInArrow(tidy(_removal), schema)
     by_row = spans.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    cut = marked(rows, "row", found).join(by_row, "row", "left").select("doc_id", text, "spans").mapInArrow(_removal, schema)
+    cut = marked(rows, "row", found).join(by_row, "row", "left").select("doc_id", text, "spans").mapInArrow(tidy(_removal), schema)
     return whole.unionByName(cut)
 
 
