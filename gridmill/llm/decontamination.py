@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import table, utf8
+from gridmill.llm.common import table, tidy, utf8
 
 WINDOW = 10
 BLOCK_WORDS = 500_000
@@ -223,7 +223,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text).mapInArrow(scan, f"doc_id {kind}, n_words long, n_hit long, n_items long, items array<string>, spans array<array<long>>")
+    return docs.select("doc_id", text).mapInArrow(tidy(scan), f"doc_id {kind}, n_words long, n_hit long, n_items long, items array<string>, spans array<array<long>>")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
@@ -276,7 +276,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
                 batch = batch.filter(pa.array(stays))
             yield batch
 
-    return docs.mapInArrow(cut, docs.schema)
+    return docs.mapInArrow(tidy(cut), docs.schema)
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from gridmill.llm.common import filesystem, scratch, small_batches, table, utf8
+from gridmill.llm.common import filesystem, scratch, small_batches, table, tidy, utf8
 
 ROW = 192
 #: Bytes of archive in a partition.
@@ -251,7 +251,7 @@ def media_features(media: DataFrame) -> DataFrame:
                 names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
             )
 
-    return media.select("doc_id", "n_bytes", "media", "payload").mapInArrow(measure, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.select("doc_id", "n_bytes", "media", "payload").mapInArrow(tidy(measure), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def op7_media(spark, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import filesystem, held_in_fold, keep, scratch, table, utf8
+from gridmill.llm.common import filesystem, held_in_fold, keep, scratch, table, tidy, utf8
 
 FOLDS, HELD_OUT = 7, 2
 START, END = b" <s>", b" </s>"  # no words: they hold a blank
@@ -319,10 +319,10 @@ def train(docs: DataFrame, folder: str, text: str = "text") -> dict:
         fs.create_dir(f"{root}/{kind}", recursive=True)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     log_buckets = max(0, math.ceil(math.log2(max(1, size) / BUCKET_BYTES)))
-    words = docs.select(text).mapInArrow(_word_counts, "word long, count long").groupBy("word").agg(F.sum("count").alias("count"))
-    blocks = docs.select(text).mapInArrow(_collapse(log_buckets), "bucket int, pairs long, block binary")
+    words = docs.select(text).mapInArrow(tidy(_word_counts), "word long, count long").groupBy("word").agg(F.sum("count").alias("count"))
+    blocks = docs.select(text).mapInArrow(tidy(_collapse(log_buckets)), "bucket int, pairs long, block binary")
     blocks = blocks.repartition(max(1, min(1 << log_buckets, 2000)), "bucket").sortWithinPartitions("bucket")
-    merged = keep(blocks.mapInArrow(_merge(folder), "file string, bucket long, size long, of_counts array<long>, word long, total long, once long, twice long, more long, before long"), f"{folder}/merged")
+    merged = keep(blocks.mapInArrow(tidy(_merge(folder)), "file string, bucket long, size long, of_counts array<long>, word long, total long, once long, twice long, more long, before long"), f"{folder}/merged")
     files = merged.where("file IS NOT NULL").select("file", "bucket", "of_counts")
     facts: dict = {"log_buckets": log_buckets, "pair_files": {}}
     sums = [0, 0, 0, 0]
@@ -343,7 +343,7 @@ def train(docs: DataFrame, folder: str, text: str = "text") -> dict:
     facts["rest"] = mass / (facts["vocabulary"] + 1)
     # Keys in unsigned order: files hold ranges of them.
     ranged = joined.repartitionByRange(max(1, facts["vocabulary"] // 500_000), F.col("word").bitwiseXOR(F.lit(-(1 << 63))))
-    written = keep(ranged.mapInArrow(_write_words(folder, facts), "file string, low long, size long"), f"{folder}/files")
+    written = keep(ranged.mapInArrow(tidy(_write_words(folder, facts)), "file string, low long, size long"), f"{folder}/files")
     facts["word_files"] = [r["file"] for r in written.orderBy("low").toLocalIterator()]
     return facts
 
@@ -368,7 +368,7 @@ def score(docs: DataFrame, folder: str, facts: dict, text: str = "text") -> Data
                 yield pa.record_batch([part.column(0), pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), facts["total"], np.int64)), pa.array(base), pa.array(scores), pa.array(10.0 ** (-scores / sizes))], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
+    return docs.select("doc_id", text).mapInArrow(tidy(run), f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
 
 
 def op2_perplexity(spark, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import keep, marks, scratch, table, utf8
+from gridmill.llm.common import keep, marks, scratch, table, tidy, utf8
 
 # The base forms, in the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -196,12 +196,12 @@ def find_personal_data(docs: DataFrame, text: str = "text", rounds: int = ROUNDS
     folder = scratch(spark, "pii")
     kind = docs.schema["doc_id"].dataType.simpleString()
     span = "struct<kind:int,start:int,end:int>"
-    found = keep(docs.select("doc_id", text).mapInArrow(_find, f"row long, doc_id {kind}, base array<{span}>, places array<struct<kind:int,start:int,end:int,word:long,patterns:array<long>>>"), f"{folder}/found")
+    found = keep(docs.select("doc_id", text).mapInArrow(tidy(_find), f"row long, doc_id {kind}, base array<{span}>, places array<struct<kind:int,start:int,end:int,word:long,patterns:array<long>>>"), f"{folder}/found")
     places = found.select("row", F.explode("places").alias("p")).select("row", "p.kind", "p.start", "p.end", "p.word", F.explode("p.patterns").alias("pattern"))
     # The graph: how often which word stands in which pattern.
     graph = keep(places.groupBy("pattern", "word").agg(F.count("*").alias("n"), F.min("kind").alias("kind")), f"{folder}/graph")
     seeded = graph.where(F.col("kind") < len(KINDS)).groupBy("pattern").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    totals = docs.select(text).mapInArrow(_count_places(marks(seeded, "pattern")), "pattern long, places long").groupBy("pattern").agg(F.sum("places").alias("places"))
+    totals = docs.select(text).mapInArrow(tidy(_count_places(marks(seeded, "pattern"))), "pattern long, places long").groupBy("pattern").agg(F.sum("places").alias("places"))
     # Patterns that never reach the seeds in a later round can't be accepted, so theirs need no count.
     graph = keep(graph.join(seeded.select("pattern"), "pattern").join(totals, "pattern"), f"{folder}/counted")
     known = graph.where(F.col("kind") < len(KINDS)).select("word").distinct()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import held_in_fold, table
+from gridmill.llm.common import held_in_fold, table, tidy
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
@@ -177,9 +177,9 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, float], keep_rows:
                 yield pa.record_batch([batch.column(own), pa.array(scores, pa.float64()), pa.array(found, kind)], names=["doc_id", "score", "sentences"])
 
     if keep_rows is not None:
-        return docs.mapInArrow(run, docs.schema)
+        return docs.mapInArrow(tidy(run), docs.schema)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, score double, sentences array<struct<first:long,last:long,score:double>>")
+    return docs.mapInArrow(tidy(run), f"doc_id {kind}, score double, sentences array<struct<first:long,last:long,score:double>>")
 
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:
