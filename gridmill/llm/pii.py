@@ -8,10 +8,11 @@ known identifiers, an unseen word's score is noisy-or over the patterns it stand
 in. Words that score enough become known, and may raise other patterns. The places
 of the words that were learnt are returned beside the base spans.
 
-One pass finds spans and candidates, and writes them without texts. A second counts
-every place of the patterns that have enough seeds (a bitmap of fixed size picks
-them), so that a context that is common in running text never counts as precise.
-The rounds work on the small tables that remain.
+One pass finds spans and candidates, and writes them without texts. The first round
+counts every place of the patterns that have enough seeds (a bitmap of fixed size picks
+them), so that a context that is common in running text never counts as precise; a later
+round counts those of the patterns that reach enough known words by what was learnt,
+in a pass of its own if there are any. All else works on the small tables that remain.
 
 Defined cases: a null or empty text has no spans; rows are numbered, so that null
 ids and repeated rows keep their own spans; an empty table gives an empty result;
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import keep, marks, scratch, table, tidy, utf8
+from gridmill.llm.common import keep, marked, marks, scratch, table, tidy, utf8
 
 # The base forms, in the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -200,21 +201,29 @@ def find_personal_data(docs: DataFrame, text: str = "text", rounds: int = ROUNDS
     places = found.select("row", F.explode("places").alias("p")).select("row", "p.kind", "p.start", "p.end", "p.word", F.explode("p.patterns").alias("pattern"))
     # The graph: how often which word stands in which pattern.
     graph = keep(places.groupBy("pattern", "word").agg(F.count("*").alias("n"), F.min("kind").alias("kind")), f"{folder}/graph")
-    seeded = graph.where(F.col("kind") < len(KINDS)).groupBy("pattern").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    totals = docs.select(text).mapInArrow(tidy(_count_places(marks(seeded, "pattern"))), "pattern long, places long").groupBy("pattern").agg(F.sum("places").alias("places"))
-    # Patterns that never reach the seeds in a later round can't be accepted, so theirs need no count.
-    graph = keep(graph.join(seeded.select("pattern"), "pattern").join(totals, "pattern"), f"{folder}/counted")
-    known = graph.where(F.col("kind") < len(KINDS)).select("word").distinct()
+    known = keep(graph.where(F.col("kind") < len(KINDS)).select("word").distinct(), f"{folder}/known")
+    # Patterns with fewer words than a pattern needs known ones can never be accepted, whatever is learnt.
+    able = graph.groupBy("pattern").agg(F.count("*").alias("words")).where(F.col("words") >= MIN_SEEDS)
+    graph = keep(marked(graph.select("pattern", "word", "n"), "pattern", marks(able, "pattern")), f"{folder}/able")
+    totals = None
     for n in range(rounds):
-        learnt = graph.join(known.withColumn("known", F.lit(1)), "word", "left")
-        scored = learnt.groupBy("pattern").agg(F.sum(F.when(F.col("known") == 1, F.col("n")).otherwise(0)).alias("hits"), F.sum("known").alias("different"), F.first("places").alias("places"))
-        scored = scored.withColumn("precision", F.least(F.col("hits") / (F.greatest("places", "hits") + 1), F.lit(0.999)))
-        scored = scored.where((F.col("different") >= MIN_SEEDS) & (F.col("precision") >= MIN_PRECISION)).select("pattern", "precision")
-        words = learnt.where("known IS NULL").join(scored, "pattern").groupBy("word").agg((1 - F.exp(F.sum(F.log1p(-F.col("precision"))))).alias("score"))
+        hits = marked(graph, "word", marks(known, "word")).join(known, "word").groupBy("pattern").agg(F.sum("n").alias("hits"), F.count("*").alias("different"))
+        hits = keep(hits.where(F.col("different") >= MIN_SEEDS), f"{folder}/hits{n}")
+        # Only the patterns that have just reached the seeds have no count yet.
+        fresh = hits.select("pattern") if totals is None else hits.select("pattern").join(totals, "pattern", "left_anti")
+        if not fresh.isEmpty():
+            counted = docs.select(text).mapInArrow(tidy(_count_places(marks(fresh, "pattern"))), "pattern long, places long").groupBy("pattern").agg(F.sum("places").alias("places"))
+            counted = keep(counted.join(fresh, "pattern", "left_semi"), f"{folder}/counted{n}")
+            totals = counted if totals is None else totals.unionByName(counted)
+        if totals is None:
+            break
+        scored = hits.join(totals, "pattern").withColumn("precision", F.least(F.col("hits") / (F.greatest("places", "hits") + 1), F.lit(0.999)))
+        scored = scored.where(F.col("precision") >= MIN_PRECISION).select("pattern", "precision")
+        words = graph.join(scored, "pattern").join(known, "word", "left_anti").groupBy("word").agg((1 - F.exp(F.sum(F.log1p(-F.col("precision"))))).alias("score"))
         more = keep(words.where(F.col("score") >= MIN_SCORE).select("word"), f"{folder}/learnt{n}")
         if more.isEmpty():
             break
-        known = keep(known.unionByName(more).distinct(), f"{folder}/known{n}")
+        known = keep(known.unionByName(more), f"{folder}/known{n}")
     new = places.where(F.col("kind") == len(KINDS)).select("row", "start", "end", "word").distinct().join(known, "word").groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("learnt"))
     return found.join(new, "row", "left").select("doc_id", "base", F.coalesce("learnt", F.array().cast("array<struct<start:int,end:int>>")).alias("learnt"))
 

@@ -220,6 +220,15 @@ def test_pii(spark, docs, none):
     assert pii.find_personal_data(docs).count() == len(DOCS) and pii.find_personal_data(none).count() == 0
 
 
+def test_pii_learnt_words_induce_patterns(spark):
+    said = [(i, f"w{i} my badge is " + (f"u{i}@mail.com" if i % 2 else f"QX-{i:04d}") + " ok") for i in range(40)]
+    said += [(100 + i, f"z{i} door opens for " + (f"QX-{i:04d}" if i < 28 else f"ZT-{i:04d}") + " today") for i in range(0, 40, 2)]
+    found = pii.find_personal_data(spark.createDataFrame(said, "doc_id bigint, text string"))
+    learnt = {r.doc_id: [dict(said)[r.doc_id][s.start : s.end] for s in r.learnt] for r in found.where("size(learnt) > 0").collect()}
+    first = {i: [f"QX-{i:04d}"] for i in range(0, 40, 2)}
+    assert learnt == first | {100 + i: [f"QX-{i:04d}" if i < 28 else f"ZT-{i:04d}"] for i in range(0, 40, 2)}
+
+
 def test_toxicity_finds_the_sentence(spark, none):
     rng = random.Random(4)
     plain = lambda: " ".join(rng.choice("abcdefghij") * 3 for _ in range(8)).capitalize() + "."
