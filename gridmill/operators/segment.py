@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -15,6 +17,11 @@ from pyspark.sql import types as T
 
 from gridmill.operators.dedupe import average_rank
 
+#: Starts of each clustering, of which the one of lowest cost counts.
+STARTS = 10
+#: Fits that run beside each other; each is many short jobs.
+_FITS = 6
+
 
 def impute(df: DataFrame, key: str) -> DataFrame:
     """Texts take their mode (the smallest on ties), numbers their median; one pass finds all."""
@@ -51,10 +58,27 @@ def component_clusters(numbers: Sequence[str], k: int = 5, components: int = 2,
     ])
 
 
-def best_kmeans(df: DataFrame, k: int, seed: int = 42, starts: int = 3):
+def _best_of(rows: DataFrame, ks: Sequence[int], seed: int, starts: int, features: str = "features") -> dict:
+    """For each k the model of lowest cost of several starts, the first seed's on ties."""
+
+    def fit(task):
+        return KMeans(k=task[0], seed=task[1], featuresCol=features, predictionCol="cluster").fit(rows)
+
+    tasks = [(k, seed + i) for k in ks for i in range(starts)]
+    with ThreadPoolExecutor(_FITS) as pool:
+        # Wrapped one by one: what is wrapped once shares its local properties between threads.
+        running = [pool.submit(inheritable_thread_target(rows.sparkSession)(fit), task) for task in tasks]
+        models = [r.result() for r in running]
+    return {k: min((m for (of, _), m in zip(tasks, models) if of == k), key=lambda m: m.summary.trainingCost) for k in ks}
+
+
+def best_kmeans(df: DataFrame, k: int, seed: int = 42, starts: int = STARTS, features: str = "features"):
     """The best of several starts by cost."""
-    models = [KMeans(k=k, seed=seed + i, predictionCol="cluster").fit(df) for i in range(starts)]
-    return min(models, key=lambda m: m.summary.trainingCost)
+    rows = df.select(features).persist()
+    try:
+        return _best_of(rows, [k], seed, starts, features)[k]
+    finally:
+        rows.unpersist()
 
 
 def total_variance(df: DataFrame) -> float:
@@ -63,14 +87,24 @@ def total_variance(df: DataFrame) -> float:
     return values.groupBy("i").agg((F.var_pop("x") * F.count("x")).alias("s")).agg(F.sum("s")).first()[0]
 
 
-def elbow(df: DataFrame, ks: Sequence[int], seed: int = 42) -> DataFrame:
-    costs = [(k, float(total_variance(df) if k == 1 else KMeans(k=k, seed=seed).fit(df).summary.trainingCost)) for k in ks]
+def elbow(df: DataFrame, ks: Sequence[int], seed: int = 42, starts: int = STARTS) -> DataFrame:
+    rows = df.select("features").persist()
+    try:
+        best = _best_of(rows, [k for k in ks if k > 1], seed, starts)
+        costs = [(k, float(total_variance(rows) if k == 1 else best[k].summary.trainingCost)) for k in ks]
+    finally:
+        rows.unpersist()
     return df.sparkSession.createDataFrame(costs, "k int, cost double")
 
 
-def silhouettes(df: DataFrame, ks: Sequence[int], seed: int = 42) -> DataFrame:
+def silhouettes(df: DataFrame, ks: Sequence[int], seed: int = 42, starts: int = STARTS) -> DataFrame:
     judge = ClusteringEvaluator(predictionCol="cluster")
-    return df.sparkSession.createDataFrame([(k, float(judge.evaluate(KMeans(k=k, seed=seed, predictionCol="cluster").fit(df).transform(df)))) for k in ks], "k int, silhouette double")
+    rows = df.select("features").persist()
+    try:
+        found = [(k, float(judge.evaluate(model.transform(rows)))) for k, model in _best_of(rows, ks, seed, starts).items()]
+    finally:
+        rows.unpersist()
+    return df.sparkSession.createDataFrame(found, "k int, silhouette double")
 
 
 def components_for(df: DataFrame, share: float = 0.95) -> DataFrame:

@@ -236,19 +236,21 @@ def _(t: Tables) -> DataFrame:
 
 @query("M6_elbow")
 def _(t: Tables) -> DataFrame:
-    return segment.elbow(_encoded(t), range(1, 6))
+    return segment.elbow(_encoded(t), range(1, 10))
 
 
 @query("M7_silhouette")
 def _(t: Tables) -> DataFrame:
-    return segment.silhouettes(_encoded(t), range(2, 5))
+    return segment.silhouettes(_encoded(t), range(2, 8))
 
 
 @query("M8_kept_components")
 def _(t: Tables) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
-    return segment.components_for(_encoded(t)).select("customer_id", F.size(vector_to_array("components")).alias("n_components"))
+    rows = segment.components_for(_encoded(t)).select("customer_id", "components")
+    found = segment.best_kmeans(rows, 5, features="components").transform(rows)
+    return found.select("customer_id", F.transform(vector_to_array("components"), lambda x: F.round(x, 6)).alias("components"), "cluster")
 
 
 @query("M9_spread_ranking", """WITH c AS (SELECT c_mktsegment AS g, avg(c_acctbal) AS a, avg(c_nationkey) AS b FROM customer GROUP BY 1), s AS (SELECT 'c_acctbal' AS feature, stddev_samp(a) AS spread FROM c UNION ALL SELECT 'c_nationkey', stddev_samp(b) FROM c)
