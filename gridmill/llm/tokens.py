@@ -18,15 +18,18 @@ so that files of failed or repeated attempts are never read.
 
 Words between ASCII white space are encoded once per worker and remembered: the
 tokenizer's vocabulary file drops white space and never joins across it, which a
-test holds against encoding whole texts.
+test holds against encoding whole texts. Arrow splits and numbers a batch's words, so
+that Python sees its different ones only. A vocabulary file of another kind gets whole
+texts.
 
 Defined cases: a null text is empty and has the end id alone; null ids come first;
-rows equal in id are ordered by text; an empty table writes no file; columns
+rows equal in id are ordered by text; an id may have any type that Arrow writes and Spark orders; an empty table writes no file; columns
 other than the id and the text are not read.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -36,11 +39,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import filesystem, keep, scratch, table, tidy, utf8
+from gridmill.llm.common import filesystem, keep, scratch, table, tidy
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
@@ -50,7 +54,20 @@ MAGIC = b"PFOR1\0\0\0"
 _BLOCK_HEAD = struct.Struct("<IIBI")
 _TRAILER = struct.Struct("<6Q")
 #: Words a worker remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
+# What a vocabulary file must say of texts for its words to be encoded one by one.
+WORD_WISE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+_SIGNS_BEHIND = (r"([a-z0-9])([!-/:-@\[-`{-~]+)([\x20\x09-\x0d]|$)", r"\1 \2\3")
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -58,16 +75,25 @@ class _Rows(dict):
     """Numbers words as they are first seen, and lists the new ones."""
 
     def __init__(self):
-        self.new: list[bytes] = []
+        self.new: list[str] = []
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: str) -> int:
         self[word] = k = len(self)
         self.new.append(word)
         return k
 
 
+def goes_by_words(path: str) -> bool:
+    """Whether the vocabulary file lower-cases, drops white space, and cuts letters,
+    single digits and other signs apart, so that words can be encoded one by one."""
+    with open(path, encoding="utf-8") as source:
+        held = json.load(source)
+    return all(held.get(k) == v for k, v in WORD_WISE.items())
+
+
 class Encoder:
-    """Encodes texts word by word, with a memory of bounded size."""
+    """Encodes texts word by word, with a memory of bounded size; texts that name one of
+    the file's special tokens, and all texts under a file of another kind, as a whole."""
 
     def __init__(self, path: str):
         os.environ["RAYON_NUM_THREADS"] = "1"
@@ -75,6 +101,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_words = goes_by_words(path)
         self._forget()
 
     def _forget(self) -> None:
@@ -82,16 +110,34 @@ class Encoder:
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and each text's number of ids."""
+        texts = texts.fill_null("")
+        low = pc.ascii_lower(texts)
+        whole = np.full(len(texts), not self.by_words)
+        for name in self.special:
+            whole |= pc.match_substring(low, name).to_numpy(zero_copy_only=False).astype(bool)
+        if not whole.any():
+            return self._words(low)
+        ids, counts = self._words(pc.if_else(pa.array(whole), "", low))
+        parts, ends = np.split(ids, np.cumsum(counts)[:-1]), counts.copy()
+        for k in np.flatnonzero(whole).tolist():
+            parts[k] = np.array(self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids, np.uint32)
+            ends[k] = len(parts[k])
+        return np.concatenate(parts), ends
+
+    def _words(self, low: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.rows) > REMEMBERED:
             self._forget()
-        words = [t.split() for t in texts]
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        order = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
-        new, self.rows.new = self.rows.new, []
-        for at in range(0, len(new), 4096):
-            self._learn(new[at : at + 4096])
+        # Signs behind a word are a token run of their own: cut off, fewer words differ.
+        words = pc.ascii_split_whitespace(pc.replace_substring_regex(low, *_SIGNS_BEHIND))
+        counts = np.diff(words.offsets.to_numpy())
+        coded = words.flatten().dictionary_encode()
+        known = np.fromiter(map(self.rows.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)), np.int64, len(coded.dictionary))
+        if self.rows.new:
+            self._learn(self.rows.new)
+            self.rows.new = []
+        order = known[coded.indices.to_numpy()] if len(known) else known
         sizes = self.sizes[order]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
@@ -99,20 +145,34 @@ class Encoder:
         edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         return ids, np.diff(edges)
 
-    def _learn(self, new: list[bytes]) -> None:
-        """Encode new words in one go; a token's place in the joined text tells its word."""
-        words = [w.decode() for w in new]
-        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(encoded.ids, np.uint32)
-        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        begins = np.fromiter((x for x, _ in encoded.offsets), np.int64, len(ids))
-        sizes = np.bincount(np.searchsorted(np.cumsum(lengths), begins, "right"), minlength=len(words))
-        while self.used + len(ids) > len(self.flat):
+    def _learn(self, new: list[str]) -> None:
+        """Encode new words: those of plain letters are one piece to the model, the others
+        are joined, and a token's place in the joined text tells its word."""
+        sizes, ids = np.zeros(len(new), np.int64), [np.zeros(0, np.uint32)] * len(new)
+        model, odd = self.tokenizer.model, []
+        for k, word in enumerate(new):
+            if word.isascii() and word.isalpha():
+                ids[k] = [t.id for t in model.tokenize(word)]
+                sizes[k] = len(ids[k])
+            else:
+                odd.append(k)
+        for at in range(0, len(odd), 4096):
+            own = odd[at : at + 4096]
+            words = [new[k] for k in own]
+            encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+            lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            begins = np.fromiter((x for x, _ in encoded.offsets), np.int64, len(encoded))
+            counts = np.bincount(np.searchsorted(np.cumsum(lengths), begins, "right"), minlength=len(words))
+            sizes[own] = counts
+            for k, part in zip(own, np.split(np.array(encoded.ids, np.uint32), np.cumsum(counts)[:-1])):
+                ids[k] = part
+        total = int(sizes.sum())
+        while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + len(ids)] = ids
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
         self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.used += len(ids)
+        self.used += total
 
 
 def encoder(path: str) -> Encoder:
@@ -244,28 +304,29 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end: int =
             if out is None:
                 sink = own.open_output_stream(f"{base}/{name}", compression=None)
                 out = Writer(sink)
-            for at in range(0, batch.num_rows, 300):
-                ids, counts = encoder(vocabulary).encode(utf8(batch.column(1).slice(at, 300)))
-                out.add(np.insert(ids, np.cumsum(counts), np.uint32(end)), counts + 1)
-            doc_ids += batch.column(0).to_pylist()
+            ids, counts = encoder(vocabulary).encode(batch.column(1))
+            out.add(np.insert(ids, np.cumsum(counts), np.uint32(end)), counts + 1)
+            doc_ids.append(pa.array(batch.column(0).to_pylist(), batch.column(0).type))  # a copy, which holds no texts
         if out is not None:
             out.close()
             sink.close()
             size = own.get_file_info(f"{base}/{name}").size
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [name], "bytes": [size], "n_ids": [out.ids], "n_docs": [len(doc_ids)]})
+            yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [name], "bytes": [size], "n_ids": [out.ids], "n_docs": [sum(map(len, doc_ids))]})
             # The ids of documents live in the file's own table beside the manifest.
             with own.open_output_stream(f"{base}/{name}.docs", compression=None) as names:
-                with pa.ipc.new_file(names, pa.schema([("doc_id", pa.int64())])) as sheet:
-                    sheet.write_batch(pa.RecordBatch.from_pydict({"doc_id": pa.array(doc_ids, pa.int64())}))
+                with pa.ipc.new_file(names, pa.schema([("doc_id", doc_ids[0].type)])) as sheet:
+                    for part in doc_ids:
+                        sheet.write_batch(pa.record_batch([part], names=["doc_id"]))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).repartitionByRange("doc_id").sortWithinPartitions("doc_id", text)
+    # The start of the text in the ranges keeps its order and lets rows of one id lie in several tasks.
+    rows = docs.select("doc_id", F.col(text).alias("text")).repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     manifest = keep(rows.mapInArrow(tidy(write), "shard long, file string, bytes long, n_ids long, n_docs long"), f"{folder}/manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
     return manifest.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
-def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
+def read_token_files(manifest: DataFrame, folder: str, kind: str = "bigint") -> DataFrame:
+    """doc_id (of the type ``kind``), start, n_tokens, ids_crc32 of every document, from the files."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, base = filesystem(folder)
@@ -279,7 +340,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                     yield pa.record_batch([doc_ids.slice(at, 50_000), pa.array(part[:, 0] + row["first_id"]), pa.array(part[:, 1]), pa.array(part[:, 2])], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     spread = manifest.select("file", "bytes", "first_id").repartition(manifest.sparkSession.sparkContext.defaultParallelism * 2)
-    return spread.mapInArrow(tidy(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return spread.mapInArrow(tidy(read), f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -291,7 +352,8 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 def tokenize_documents(docs: DataFrame, vocabulary: str | None = None, end: int = END) -> DataFrame:
     """Write the files, read them back."""
     folder = scratch(docs.sparkSession, "tokens")
-    return read_token_files(write_token_files(docs, folder, vocabulary or vocabulary_path(), end), folder)
+    written = write_token_files(docs, folder, vocabulary or vocabulary_path(), end)
+    return read_token_files(written, folder, docs.schema["doc_id"].dataType.simpleString())
 
 
 def op4_tokens(spark, sf_dir: str) -> DataFrame:
