@@ -9,7 +9,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +85,28 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def numbered_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The different words of all texts (A-Z lowered, cut at ASCII white space), the number
+    of each word in a row, and how many each text has."""
+    low = pc.ascii_trim_whitespace(pc.ascii_lower(texts.fill_null("")))
+    cut = pc.ascii_split_whitespace(low)
+    counts = np.diff(cut.offsets.to_numpy())
+    coded = cut.flatten().dictionary_encode()
+    order = coded.indices.to_numpy()
+    empty = pc.equal(pc.binary_length(low), 0).to_numpy(zero_copy_only=False)
+    if empty.any():  # a text without words is cut into one empty word
+        order = order[np.repeat(~empty, counts)]
+        counts = np.where(empty, 0, counts)
+    return coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist(), order, counts.astype(np.int64)
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all texts' words in a row, and how many each text has."""
+    words, order, counts = numbered_words(texts)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return hashes[order], counts
+
+
 def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """A task's function that gives its freed memory back when it ends. Workers live on
     beside the next ones, and would keep what their largest arrays took."""

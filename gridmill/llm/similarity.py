@@ -21,10 +21,13 @@ links and no pairs; the join then skips pairs inside a family, and verifies all
 others on whole texts. A pair's shared prefix shingles bound its overlap: c of them
 allow at most c and what lies behind the longer of the two prefixes' ends.
 
-Postings meet by shingle in sorted streams, and verification is dealt out by one
-side of the pair in chunks of ``CHUNK`` partners, so that no group has to fit in a
-task. Texts travel only where a pair asks for them: a bitmap of fixed size tells
-which ones may be asked for before they are shuffled.
+Postings meet by shingle in sorted streams; those of a crowded one, which the sketch
+tells, are cut into chunks that meet two and two, in tasks of their own. Verification is
+dealt out by one side of the pair in chunks of ``CHUNK`` partners. Joins by a key that
+many rows can share are joins of two stored tables, whose large partitions Spark splits
+at run time. Comparing a family takes work with the square of its number of parts, in
+blocks of bounded size. Texts travel only where a pair asks for them: a bitmap of fixed
+size tells which ones may be asked for before they are shuffled.
 
 Defined cases: a null text, or one without words, has an empty set, links with
 nothing and is its own component; ids that are null are never a component's name
@@ -35,15 +38,15 @@ id and the text are not read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import keep, marked, marks, row_hash, scratch, table, text_hash, tidy, utf8
+from gridmill.llm.common import WORD, hashed_words, keep, marked, marks, row_hash, scratch, table, text_hash, tidy
 from gridmill.llm.links import components
 
 WORDS = 5
@@ -61,6 +64,10 @@ CHUNK = 64
 #: that found it.
 BLOCK = 256
 FAMILY = 0.6
+#: Postings of a shingle beyond what a cell holds anyhow that stay together; those of a
+#: more crowded one meet in a grid of chunks.
+CROWD = 4096
+GRID = 1 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _U = np.uint64
@@ -73,37 +80,35 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-class _WordHashes(dict):
-    """64-bit hashes of words; forgets all when it has grown large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-
-_HASHES = _WordHashes()
-
-
-def shingles(text: bytes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    n = min(WORDS, len(h))
-    out = np.full(len(h) - n + 1, n, np.uint64)
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+    """Each text's sorted distinct 64-bit hashes of shingles."""
+    h, counts = hashed_words(texts)
+    ends = np.cumsum(counts)
+    full = _hashed_runs(h, WORDS)
+    sets = []
+    for end, n in zip(ends.tolist(), counts.tolist()):
+        if n >= WORDS:
+            own = np.sort(full[end - n : end - WORDS + 1])
+            new = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=new[1:])
+            sets.append(own[new])
+        else:  # the whole sequence as one
+            sets.append(_hashed_runs(h[end - n : end], n) if n else np.zeros(0, np.uint64))
+    return sets
+
+
+def _hashed_runs(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` words in a row."""
+    out = np.full(max(len(h) - n + 1, 0), n, np.uint64)
     for i in range(n):
         out = (out ^ h[i : i + len(out)]) * _MIX
         out ^= out >> _U(29)
-    return np.unique(_scramble(out))
+    return _scramble(out)
 
 
-def _members(text: bytes) -> tuple[np.ndarray, int]:
-    """A text's set and the class that the set names."""
-    s = shingles(text)
-    return s, int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _class(s: np.ndarray) -> int:
+    """The class that a set names."""
+    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,17 +116,16 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cells = np.zeros(1 << SKETCH_BITS, np.uint32)
     schema = None
     for batch in batches:
-        sizes, nodes, minima, seen = [], [], [], []
-        for text in utf8(batch.column(2)):
-            s, node = _members(text)
-            sizes.append(len(s))
-            nodes.append(node)
-            minima.append([int(_scramble(s ^ seed).min()) for seed in _SEEDS] if len(s) else [])
-            seen.append(s >> _U(64 - SKETCH_BITS))
-        cells += np.bincount(np.concatenate(seen).astype(np.int64), minlength=len(cells)).astype(np.uint32) if seen else 0
-        minima = pa.array([np.array(m, np.uint64).view(np.int64) for m in minima], pa.list_(pa.int64()))
+        sets = shingle_sets(batch.column(2))
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        every = np.concatenate([*sets, np.zeros(0, np.uint64)])
+        cells += np.bincount((every >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(cells)).astype(np.uint32)
+        filled = np.flatnonzero(sizes)
+        starts = (np.cumsum(sizes) - sizes)[filled]
+        least = np.stack([np.minimum.reduceat(_scramble(every ^ seed), starts) for seed in _SEEDS], axis=1) if len(filled) else np.zeros((0, HASHES), np.uint64)
+        minima = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(HASHES * (sizes > 0))]), pa.int32()), pa.array(least.ravel().view(np.int64)))
         empty = pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())
-        out = pa.record_batch([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), minima, *empty], names=["doc_id", "text_hash", "n_shingles", "node", "minima", "part", "cells"])
+        out = pa.record_batch([batch.column(0), batch.column(1), pa.array(sizes), pa.array([_class(s) for s in sets], pa.int64()), minima, *empty], names=["doc_id", "text_hash", "n_shingles", "node", "minima", "part", "cells"])
         schema = out.schema
         yield out
     if schema is not None and cells.any():
@@ -162,29 +166,33 @@ def prefix(s: np.ndarray, counts: np.ndarray, usual: int) -> tuple[np.ndarray, i
 def _postings(counts, usual: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
+        held = counts.value
         for batch in batches:
-            tokens, nodes, sizes, matches = [], [], [], []
-            for text in utf8(batch.column(0)):
-                s, node = _members(text)
+            tokens, nodes, sizes, matches, chunks = [], [], [], [], []
+            for s in shingle_sets(batch.column(0)):
+                node = _class(s)
                 if not len(s) or node in done:
                     continue
                 done.add(node)
-                head, l = prefix(s, counts.value, usual)
+                head, l = prefix(s, held, usual)
                 tokens.append(head)
+                # How many chunks a shingle's postings come in, if all that its cell counts were its own.
+                chunks.append(1 + np.maximum(held[(head >> _U(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64) - usual, 0) // CROWD)
                 nodes.append(node)
                 sizes.append(len(s))
                 matches.append(l)
             if tokens:
                 lengths = [len(x) for x in tokens]
-                columns = [np.concatenate(tokens).view(np.int64), np.repeat(np.array(nodes, np.int64), lengths), np.repeat((np.array(sizes, np.int64) << 8) | np.array(matches, np.int64), lengths)]
+                node, parts = np.repeat(np.array(nodes, np.int64), lengths), np.concatenate(chunks)
+                columns = [np.concatenate(tokens).view(np.int64), node, np.repeat((np.array(sizes, np.int64) << 8) | np.array(matches, np.int64), lengths), parts.astype(np.int32), (node % parts).astype(np.int32)]
                 for at in range(0, len(columns[0]), 200_000):
-                    yield pa.record_batch([pa.array(c[at : at + 200_000]) for c in columns], names=["token", "node", "measure"])
+                    yield pa.record_batch([pa.array(c[at : at + 200_000]) for c in columns], names=["token", "node", "measure", "chunks", "chunk"])
 
     return emit
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of batches sorted by the first, cut so that equal values stay together."""
+    """Columns of batches sorted by the first two, cut so that equal values stay together."""
     held: list[np.ndarray] | None = None
     for batch in batches:
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -192,7 +200,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
             columns = [np.concatenate([a, b]) for a, b in zip(held, columns)]
         if not len(columns[0]):
             continue
-        cut = int(np.searchsorted(columns[0], columns[0][-1]))
+        other = (columns[0] != columns[0][-1]) | (columns[1] != columns[1][-1])
+        cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
         if cut:
             yield [c[:cut] for c in columns]
         held = [c[cut:] for c in columns]
@@ -201,29 +210,34 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings of shingles that more than one class has, each class once."""
-    for token, node, measure in _runs(batches):
-        first = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
-        token, node, measure = token[first], node[first], measure[first]
+    """Postings of shingles that more than one class has, each class once. Those of a crowded
+    shingle, which come in several chunks, all pass."""
+    ordered = (batch.select(["token", "chunk", "node", "measure", "chunks"]) for batch in batches)
+    for token, chunk, node, measure, chunks in _runs(ordered):
+        first = np.concatenate([[True], (token[1:] != token[:-1]) | (chunk[1:] != chunk[:-1]) | (node[1:] != node[:-1])])
+        token, chunk, node, measure, chunks = (c[first] for c in (token, chunk, node, measure, chunks))
         same = token[1:] == token[:-1]
-        many = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        many = np.concatenate([[False], same]) | np.concatenate([same, [False]]) | (chunks > 1)
         if many.any():
-            yield pa.record_batch([pa.array(token[many]), pa.array(node[many]), pa.array(measure[many])], names=["token", "node", "measure"])
+            yield pa.record_batch([pa.array(c[many]) for c in (token, node, measure, chunks, chunk)], names=["token", "node", "measure", "chunks", "chunk"])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes of different families that share a shingle and may link by size."""
-    for token, family, node, measure in _runs(batches):
-        edges = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
+    """Pairs of classes of different families that share a shingle and may link by size,
+    among rows (token, cell, family, node, measure, chunk): a cell of a shingle's grid holds
+    the postings of one chunk, or of two that meet each other alone."""
+    for token, cell, family, node, measure, chunk in _runs(batches):
+        edges = np.concatenate([[0], np.flatnonzero((token[1:] != token[:-1]) | (cell[1:] != cell[:-1])) + 1, [len(token)]])
         size = measure >> 8
         first, second = [], []
         for begin, stop in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            if stop - begin < 2 or family[begin] == family[stop - 1]:  # sorted by family within a shingle
+            if stop - begin < 2 or family[begin] == family[stop - 1]:  # sorted by family within a cell
                 continue
+            crossing = cell[begin] % GRID != cell[begin] // GRID
             for i in range(begin, stop - 1):
                 others = np.arange(int(np.searchsorted(family[begin:stop], family[i], "right")) + begin, stop)
                 small, large = np.minimum(size[i], size[others]), np.maximum(size[i], size[others])
-                others = others[100 * small >= PERCENT * large]
+                others = others[(100 * small >= PERCENT * large) & ((chunk[others] != chunk[i]) | (not crossing))]
                 if len(others):
                     first.append(np.full(len(others), i))
                     second.append(others)
@@ -249,8 +263,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, _, b = (batch.column(i).to_pylist() for i in range(3))
         found = []
-        for x, y, text in zip(a, b, utf8(batch.column(3))):
-            s = shingles(text)
+        for x, y, s in zip(a, b, shingle_sets(batch.column(3))):
             if y is None:
                 head, own = x, s
             elif head == x:
@@ -267,12 +280,12 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     at, held = None, []
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns[:6]]
-        for row, text in zip(zip(*columns), utf8(batch.column(6))):
+        for row, s in zip(zip(*columns), shingle_sets(batch.column(6))):
             if row[:3] != at and held:
                 yield _block_links(held)
                 held = []
             at = row[:3]
-            held.append((row[3], row[4], row[5], shingles(text)))
+            held.append((row[3], row[4], row[5], s))
     if held:
         yield _block_links(held)
 
@@ -307,8 +320,11 @@ def _block_links(rows: list[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch
 
 def family_links(families: DataFrame, docs: DataFrame, nodes: DataFrame, folder: str, text: str = "text") -> DataFrame:
     """Links between parts inside each family (node, family, part)."""
-    place = F.row_number().over(Window.partitionBy("family").orderBy("part", "node")) - 1
-    placed = families.withColumn("block", F.floor(place / BLOCK).cast("int"))
+    # Parts are dealt to a family's blocks by hash, a large part's members to several of them.
+    sizes = keep(families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("slots")), f"{folder}/sizes")
+    parts = keep(families.groupBy("family", "part").agg(F.ceil(F.count("*") / BLOCK).alias("pieces")), f"{folder}/parts")
+    slot, piece = F.pmod(F.xxhash64("part"), F.col("slots")), F.pmod(F.xxhash64("node"), F.col("pieces"))
+    placed = keep(families.join(sizes, "family").join(parts, ["family", "part"]).select("node", "family", "part", (slot * F.lit(1 << 32) + piece).alias("block")), f"{folder}/members")
     blocks = placed.groupBy("family", "block").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     a, b = blocks.select("family", F.col("block").alias("first"), "low", "high"), blocks.select("family", F.col("block").alias("second"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     pairs = a.join(b, "family").where((F.col("first") <= F.col("second")) & (F.least("low", "low2") != F.greatest("high", "high2")))
@@ -339,10 +355,10 @@ def node_texts(docs: DataFrame, nodes: DataFrame, text: str = "text") -> DataFra
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, folder: str, text: str = "text") -> DataFrame:
     """``pairs`` (a, b) with ``links``, whether they are similar enough, and ``distance``."""
     pairs = keep(pairs, f"{folder}/pairs")
+    chunks = keep(pairs.groupBy("a").agg(F.ceil(F.count("*").cast("double") / CHUNK).alias("chunks")), f"{folder}/chunks")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = keep(node_texts(docs, nodes.join(asked, "node").select("node", "text_hash"), text), f"{folder}/texts")
-    chunks = F.ceil(F.count("*").cast("double") / CHUNK).alias("chunks")
-    dealt = pairs.join(pairs.groupBy("a").agg(chunks), "a").select("a", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"), "b")
+    dealt = pairs.join(chunks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"), "b")
     partners = dealt.join(texts.withColumnRenamed("node", "b"), "b").select("a", "chunk", "b", "text")
     heads = dealt.select("a", "chunk").distinct().join(texts.withColumnRenamed("node", "a"), "a").select("a", "chunk", F.lit(None).cast("long").alias("b"), "text")
     rows = heads.unionByName(partners).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
@@ -368,13 +384,14 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
 
     classes = keep(described.where("n_shingles > 0").groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("n_shingles").alias("n"), F.first("minima").alias("minima")), f"{folder}/classes")
     nodes = classes.select("node", "text_hash")
-    postings = docs.select(text).mapInArrow(tidy(_postings(counts, usual)), "token long, node long, measure long").repartition("token").sortWithinPartitions("token", "node")
-    common = keep(postings.mapInArrow(tidy(_shared), "token long, node long, measure long"), f"{folder}/common")
+    postings = docs.select(text).mapInArrow(tidy(_postings(counts, usual)), "token long, node long, measure long, chunks int, chunk int").repartition("token", "chunk").sortWithinPartitions("token", "chunk", "node")
+    common = keep(postings.mapInArrow(tidy(_shared), "token long, node long, measure long, chunks int, chunk int"), f"{folder}/common")
 
     # Pairs of each class with the most central one that shares a minimum.
     central = common.groupBy("node").agg(F.count("*").alias("others"))
-    shared = classes.join(central, "node").select("node", "n", "others", F.posexplode("minima").alias("hash", "minimum"))
+    shared = keep(classes.join(central, "node").select("node", "n", "others", F.posexplode("minima").alias("hash", "minimum")), f"{folder}/shared")
     best = shared.groupBy("hash", "minimum").agg(F.max(F.struct("others", "node", "n")).alias("best"), F.count("*").alias("many")).where("many > 1")
+    best = keep(best.select("hash", "minimum", "best"), f"{folder}/best")
     close = shared.join(best, ["hash", "minimum"]).where((F.col("node") != F.col("best.node")) & (100 * F.least("n", "best.n") >= PERCENT * F.greatest("n", "best.n")))
     close = close.select(F.col("best.node").alias("a"), F.col("node").alias("b")).distinct()
     held = verified(close, docs, nodes, f"{folder}/close", text)
@@ -385,29 +402,33 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     families = keep(families.join(parts, "node", "left").select("node", "family", F.coalesce("root", "node").alias("part")), f"{folder}/placed")
     inner = family_links(families, docs, nodes, f"{folder}/blocks", text)
 
-    placed = common.join(families.select("node", "family"), "node", "left").select("token", F.coalesce("family", "node").alias("family"), "node", "measure")
-    met = placed.repartition("token").sortWithinPartitions("token", "family", "node").mapInArrow(tidy(_meet), "a long, b long, needed long")
+    placed = common.join(families.select("node", "family"), "node", "left").select("token", "chunks", "chunk", F.coalesce("family", "node").alias("family"), "node", "measure")
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+    placed = placed.select("token", "chunk", "family", "node", "measure", other)
+    placed = placed.select("token", (F.least("chunk", "other") * F.lit(GRID) + F.greatest("chunk", "other")).alias("cell"), "family", "node", "measure", "chunk")
+    met = placed.repartition("token", "cell").sortWithinPartitions("token", "cell", "family", "node").mapInArrow(tidy(_meet), "a long, b long, needed long")
     pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("needed").alias("needed")).where("shared >= needed").select("a", "b")
     links = verified(pairs, docs, nodes, f"{folder}/met", text).where("links").select("a", "b")
     roots = components(first_links.unionByName(inner).unionByName(links), f"{folder}/roots")
 
     named = described.join(roots, "node", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")))
-    names = named.where("component IS NOT NULL").groupBy(F.col("component").alias("of")).agg(F.min("doc_id").alias("least_id"))
+    named = keep(named.select("doc_id", "text_hash", "n_shingles", "component"), f"{folder}/named")
+    names = keep(named.where("component IS NOT NULL").groupBy(F.col("component").alias("of")).agg(F.min("doc_id").alias("least_id")), f"{folder}/names")
     out = named.join(names, named["component"] == names["of"], "left")
     return out.select("doc_id", "text_hash", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least_id")).alias("component_id"), "component")
 
 
 def keep_one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the least id, then the least text hash;
-    rows with empty sets all stay."""
-    found = near_duplicates(docs, text)
-    found = found.withColumn("row", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text_hash"))
-    keepers = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "row")).alias("one")).select("one.row", F.lit(1).alias("copies"))
-    empty = found.where("component IS NULL").groupBy("row").agg(F.count("*").alias("copies"))
-    stay = keepers.unionByName(empty).withColumnsRenamed({"row": "_row", "copies": "_copies"})
-    joined = docs.withColumn("_row", row_hash(text)).join(stay, "_row")
-    nth = F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(0)))
-    return joined.withColumn("_nth", nth).where("_nth <= _copies").select(*docs.columns)
+    """``docs`` with one row of each component: the least id, then the least text hash, of
+    repeated rows one; rows with empty sets all stay. Columns of any name are carried."""
+    found = near_duplicates(docs, text).where("component IS NOT NULL")
+    row = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text_hash")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", row.alias("row")))
+    stay = found.groupBy("component").agg(first.alias("one")).select("one.row")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_hash(text).alias("row"), F.coalesce(F.col(text).rlike(WORD), F.lit(False)).alias("words"))
+    # Of repeated rows, first() may see any: they differ in other columns at most.
+    others = packed.where("words").select("row", "doc").dropDuplicates(["row"]).join(stay, "row").select("doc.*")
+    return others.unionByName(packed.where("NOT words").select("doc.*"))
 
 
 def op3_similarity(spark, sf_dir: str) -> DataFrame:
