@@ -10,30 +10,33 @@ Words are numbered, and pairs of neighbouring words that occur in no item are
 told apart with array operations first; the automaton then walks only stretches
 long enough to hold a window, which leaves its answers unchanged.
 
-The benchmark is read in blocks of at most ``BLOCK_WORDS`` words, an automaton
-each, so that no broadcast grows with the benchmark; texts never shuffle.
+The benchmark is taken in blocks of about ``BLOCK_WORDS`` words, an automaton each (some
+300 MB in a worker, which holds one at a time). One block is the usual case: texts are
+read once and never shuffle. More blocks take a pass over the texts each, and what they
+hit is joined by row, so that no broadcast grows with the benchmark.
 
 Defined cases: a null text or item has no words; repeated items count by their
 ids once each; repeated rows are handled alike; an empty benchmark hits nothing;
-an item whose id is null is named ``null``.
+an item whose id is null is named ``null``; other columns of documents are carried.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import table, tidy, utf8
+from gridmill.llm.common import keep, row_hash, scratch, table, tidy, utf8
 
 WINDOW = 10
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 300_000
 #: A document loses its spans; beyond this share of hit words it goes as a whole.
 MAX_COVERAGE = 0.5
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -176,28 +179,71 @@ class Automaton:
         return hit, starts, items
 
 
-def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list:
-    """Broadcast automata of the items, at most about ``block_words`` words in each."""
+class Block:
+    """Items of at most about ``block_words`` words, broadcast as texts; a worker builds their
+    automaton when it first needs it, and holds one at a time."""
+
+    _built: dict[str, Automaton] = {}
+
+    def __init__(self, spark: SparkSession, items: list[tuple[str, bytes]], window: int):
+        self.key, self.window, self.items = uuid.uuid4().hex, window, spark.sparkContext.broadcast(items)
+
+    def scan(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, dict[int, set[str]]]:
+        if self.key not in self._built:
+            self._built.clear()
+            self._built[self.key] = Automaton(self.items.value, self.window)
+        return self._built[self.key].matches([words_of(t) for t in texts])
+
+
+def blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> tuple[int, Iterator[Block]]:
+    """How many blocks the different items make, and one after the other of them."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col("text"), F.lit("")).alias("text")).distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // (block_words * 4)))
-    out = []
-    for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).toLocalIterator()
-        out.append(spark.sparkContext.broadcast(Automaton([(r["item"], r["text"].encode()) for r in rows], window)))
-    return out
+    many = max(1, -(-total // (block_words * 4)))
+
+    def one(b: int) -> Block:
+        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(many)) == b).toLocalIterator()
+        return Block(spark, [(r["item"], r["text"].encode()) for r in rows], window)
+
+    return many, map(one, range(many))
+
+
+def _spans(hit: np.ndarray) -> list[list[int]]:
+    return np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))).reshape(-1, 2).tolist()
+
+
+def _flags(n: int, spans: list[list[int]]) -> np.ndarray:
+    hit = np.zeros(n, bool)
+    for a, b in spans:
+        hit[a:b] = True
+    return hit
+
+
+_FOUND = "spans array<array<long>>, items array<string>"
 
 
-def _scan(found: list, texts: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray, dict[int, set[str]]]:
-    words = [words_of(t) for t in texts]
-    hit, starts, items = None, None, {}
-    for one in found:
-        more, starts, names = one.value.matches(words)
-        hit = more if hit is None else hit | more
-        for k, v in names.items():
-            items.setdefault(k, set()).update(v)
-    return words, hit, starts, items
+def _hits(docs: DataFrame, block: Block, text: str) -> DataFrame:
+    """row, spans and items of each document that one block hits."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit, starts, items = block.scan(utf8(batch.column(1)))
+            spans = [_spans(hit[starts[k] : starts[k + 1]]) for k in items]
+            yield pa.record_batch([batch.column(0).take(pa.array(list(items), pa.int64())), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array([sorted(x) for x in items.values()], pa.list_(pa.string()))], names=["row", "spans", "items"])
+
+    return docs.select(row_hash(text).alias("row"), text).mapInArrow(tidy(scan), f"row long, {_FOUND}")
+
+
+def _hits_of_all(docs: DataFrame, found: Iterator[Block], text: str, folder: str) -> DataFrame:
+    """row, spans and items of each document that any block hits. A pass over ``docs`` for
+    each block; a block's broadcast goes when its pass is written."""
+    parts = []
+    for n, block in enumerate(found):
+        parts.append(keep(_hits(docs, block, text), f"{folder}/block{n}"))
+        block.items.unpersist()
+    every = reduce(DataFrame.unionByName, parts).distinct()  # repeated rows are hit alike
+    return keep(every.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")), f"{folder}/hits")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -206,79 +252,121 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
     ``items`` are the ids of the items that have an occurring window, sorted as
     strings; ``spans`` are the maximal runs of hit words, [first, after the last).
     """
-    found = automata(benchmark, window, block_words)
+    many, found = blocks(benchmark, window, block_words)
+    only = next(found) if many == 1 else None
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, hit, starts, items = _scan(found, utf8(batch.column(1)))
-            sums = np.concatenate([[0], np.cumsum(hit)])
-            spans: list[list[list[int]]] = [[] for _ in range(batch.num_rows)]
-            for k in items:
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], hit[starts[k] : starts[k + 1]].astype(np.int8), [0]])))
-                spans[k] = edge.reshape(-1, 2).tolist()
+            texts = utf8(batch.column(1))
+            if only is not None:
+                hit, starts, items = only.scan(texts)
+                counts = np.diff(starts)
+                spans = {k: _spans(hit[starts[k] : starts[k + 1]]) for k in items}
+            else:
+                counts = np.fromiter((len(words_of(t)) for t in texts), np.int64, len(texts))
+                held = [(k, x, y) for k, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())) if x]
+                spans = {k: _spans(_flags(int(counts[k]), x)) for k, x, _ in held}
+                items = {k: set(y) for k, _, y in held}
             names = [sorted(items.get(k, ())) for k in range(batch.num_rows)]
+            runs = [spans.get(k, []) for k in range(batch.num_rows)]
             yield pa.record_batch(
-                [batch.column(0), pa.array(np.diff(starts), pa.int64()), pa.array(sums[starts[1:]] - sums[starts[:-1]], pa.int64()), pa.array([len(x) for x in names], pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.list_(pa.int64())))],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array([sum(b - a for a, b in x) for x in runs], pa.int64()), pa.array([len(x) for x in names], pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(runs, pa.list_(pa.list_(pa.int64())))],
                 names=["doc_id", "n_words", "n_hit", "n_items", "items", "spans"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text).mapInArrow(tidy(scan), f"doc_id {kind}, n_words long, n_hit long, n_items long, items array<string>, spans array<array<long>>")
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
+    rows = docs.select("doc_id", text)
+    if only is None:
+        hits = _hits_of_all(docs, found, text, scratch(docs.sparkSession, "contamination"))
+        rows = docs.select("doc_id", text, row_hash(text).alias("row")).join(hits, "row", "left").select("doc_id", text, "spans", "items")
+    return rows.mapInArrow(tidy(told), f"doc_id {kind}, n_words long, n_hit long, n_items long, items array<string>, spans array<array<long>>")
+
+
+def _without(text: bytes, hit: np.ndarray) -> bytes:
+    """The text without hit words, from the first to the last byte of each run of them."""
+    runs = [m.span() for m in _RUN.finditer(text)]
+    parts, last = [], 0
+    for a, b in _spans(hit):
+        parts.append(text[last : runs[a][0]])
+        last = runs[b - 1][1]
+    return b"".join([*parts, text[last:]])
+
+
+def _changed(batch: pa.RecordBatch, texts: dict[int, str], gone: list[int]) -> pa.RecordBatch:
+    """``batch`` with new texts (and ``n_chars``, if it has that), without the rows ``gone``."""
+    columns = list(batch.columns)
+    for name, new in (("text", texts), ("n_chars", {k: len(v) for k, v in texts.items()})):
+        if new and name in batch.schema.names:
+            at = batch.schema.get_field_index(name)
+            values = columns[at].to_pylist()
+            for k, v in new.items():
+                values[k] = v
+            columns[at] = pa.array(values, batch.schema.field(at).type)
+    stays = np.ones(batch.num_rows, bool)
+    stays[gone] = False
+    return pa.record_batch(columns, schema=batch.schema).filter(pa.array(stays))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without benchmark passages: hit words are cut out of the texts, from the
     first to the last byte of each span, and ``n_chars`` follows; a document of which
     more than ``max_coverage`` is hit goes. Cutting is repeated until nothing is hit,
     as what a cut joins can form a window again. Untouched texts stay byte for byte."""
-    found = automata(benchmark, window)
-    at, chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
-
-    def clean(text: bytes, hit: np.ndarray) -> bytes:
-        while hit.any():
-            runs = [m.span() for m in _RUN.finditer(text)]
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))).reshape(-1, 2)
-            parts, last = [], 0
-            for a, b in edges.tolist():
-                parts.append(text[last : runs[a][0]])
-                last = runs[b - 1][1]
-            text = b"".join([*parts, text[last:]])
-            _, hit, _, _ = _scan(found, [text])
-        return text
+    many, found = blocks(benchmark, window, block_words)
+    if many > 1:
+        return _decontaminate_in_rounds(docs, benchmark, window, max_coverage, block_words)
+    only, at = next(found), docs.columns.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = utf8(batch.column(at))
-            _, hit, starts, items = _scan(found, texts)
-            drop = []
-            changed = {}
+            hit, starts, items = only.scan(texts)
+            gone, new = [], {}
             for k in items:
-                own = hit[starts[k] : starts[k + 1]]
+                own, left = hit[starts[k] : starts[k + 1]], texts[k]
                 if own.sum() > max_coverage * len(own):
-                    drop.append(k)
-                else:
-                    changed[k] = clean(texts[k], own).decode()
-            if changed:
-                values = batch.column(at).to_pylist()
-                columns = list(batch.columns)
-                for k, v in changed.items():
-                    values[k] = v
-                columns[at] = pa.array(values, batch.schema.field(at).type)
-                if chars is not None:
-                    counts = batch.column(chars).to_pylist()
-                    for k, v in changed.items():
-                        counts[k] = len(v)
-                    columns[chars] = pa.array(counts, batch.schema.field(chars).type)
-                batch = pa.record_batch(columns, schema=batch.schema)
-            if drop:
-                stays = np.ones(batch.num_rows, bool)
-                stays[drop] = False
-                batch = batch.filter(pa.array(stays))
-            yield batch
+                    gone.append(k)
+                    continue
+                while own.any():
+                    left = _without(left, own)
+                    own, _, _ = only.scan([left])
+                new[k] = left.decode()
+            yield _changed(batch, new, gone) if items else batch
 
     return docs.mapInArrow(tidy(cut), docs.schema)
 
 
+def _decontaminate_in_rounds(docs: DataFrame, benchmark: DataFrame, window: int, max_coverage: float, block_words: int) -> DataFrame:
+    """The same over several blocks: hits of all blocks first, then one cut, and again."""
+    folder, names = scratch(docs.sparkSession, "decontaminated"), docs.columns
+    spans = "_" * (1 + max(map(len, names)))  # longer than any name of the documents
+    first, number = True, 0
+    while True:
+        hits = _hits_of_all(docs, blocks(benchmark, window, block_words)[1], "text", f"{folder}/{number}")
+        if hits.isEmpty():
+            return docs
+        limit = max_coverage if first else 1.0
+
+        def cut(batches: Iterator[pa.RecordBatch], limit: float = limit) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                gone, new = [], {}
+                texts = utf8(batch.column("text"))
+                for k, held in enumerate(batch.column(spans).to_pylist()):
+                    if held:
+                        own = _flags(len(words_of(texts[k])), held)
+                        if own.sum() > limit * len(own):
+                            gone.append(k)
+                        else:
+                            new[k] = _without(texts[k], own).decode()
+                yield _changed(batch.select(names), new, gone)
+
+        found = hits.select(F.col("row").alias(f"{spans}r"), F.col("spans").alias(spans))
+        marked_rows = docs.withColumn(f"{spans}k", row_hash("text"))
+        joined = marked_rows.join(found, marked_rows[f"{spans}k"] == found[f"{spans}r"], "left").select(*names, spans)
+        docs = keep(joined.mapInArrow(tidy(cut), docs.schema), f"{folder}/cut{number}")
+        first, number = False, number + 1
+
+
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
