@@ -8,7 +8,8 @@ fixes; copy ``e`` of a document gets the virtual finish time
 Ordering all copies by that time and cutting at the total budget gives each
 source words in proportion to its target, to within one document at the cut.
 
-No step needs one task for a source: running sums are taken in two levels, over
+Sources are few against documents (a row each is numbered in one task). No step needs
+one task for a source's documents: running sums are taken in two levels, over
 hash ranges of the order first and inside each range after. The global order is
 taken in the same way: a histogram of virtual time locates the range that holds
 the cut, and only that range is sorted.
@@ -24,12 +25,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import WORD, keep, row_hash, scratch, table
+from gridmill.llm.common import WORD, drop, keep, row_hash, scratch, table
 
 WEIGHTS = (1, 2, 3)
 REPEATS = 3
 SEED = "mix"
-#: Hash ranges of a source's order.
+#: Hash ranges of a source's order, by so many hexadecimal digits.
+DIGITS = 4
+#: Ranges of virtual time up to 1.
 RANGES = 4096
 
 
@@ -69,31 +72,35 @@ def _time_range(finish: Column) -> Column:
     return F.when(finish < 2, F.floor(finish * RANGES)).otherwise(2 * RANGES - 256 + F.floor(F.log2(finish) * 256)).cast("long")
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, seed: str = SEED, text: str = "text") -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, seed: str = SEED, text: str = "text", carry: bool = False) -> DataFrame:
     """doc_id, row, source, size, source_size, target, copies, taken and position of each document.
 
-    ``row`` is the document's row hash; ``position`` is the place in the source's order, so a run can be repeated or extended.
+    ``row`` is the document's row hash; ``position`` is the place in the source's order, so a
+    run can be repeated or extended. With ``carry``, a further column ``doc`` holds all of the
+    document's own columns.
     """
     spark = docs.sparkSession
     folder = scratch(spark, "mix")
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(docs["doc_id"].cast("string"), F.lit(""))))
-    sized = keep(docs.select("doc_id", "source", document_sizes(docs, text).alias("size"), order.alias("order"), row_hash(text).alias("row")), f"{folder}/sized")
+    own = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if carry else []
+    sized = keep(docs.select("doc_id", "source", document_sizes(docs, text).alias("size"), order.alias("order"), row_hash(text).alias("row"), *own), f"{folder}/sized")
     targets = keep(source_targets(sized, weights, repeats), f"{folder}/targets")
 
-    ranged = sized.withColumn("range", F.conv(F.substring("order", 1, 3), 16, 10).cast("int"))
+    ranged = sized.withColumn("range", F.conv(F.substring("order", 1, DIGITS), 16, 10).cast("int"))
     offsets = ranged.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     up_to = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = offsets.select(F.col("source").alias("of_source"), F.col("range").alias("of_range"), F.coalesce(F.sum("range_size").over(up_to), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("source", "range").orderBy("order", F.col("doc_id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "range").orderBy("order", F.col("doc_id").asc_nulls_first(), "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     within = ranged.withColumn("within", F.sum("size").over(inside))
     named = targets.withColumnRenamed("source", "target_source")
     queued = (
         within.join(offsets, within["source"].eqNullSafe(offsets["of_source"]) & (within["range"] == offsets["of_range"]))
         .join(named, F.col("source").eqNullSafe(named["target_source"]))
         .withColumn("position", F.col("offset") + F.col("within"))
-        .select("doc_id", "row", "source", "size", "source_size", "rank", "budget", "target", "position")
+        .select("doc_id", "row", "source", "size", "source_size", "rank", "budget", "target", "position", *(["doc"] if carry else []))
     )
     queued = keep(queued, f"{folder}/queued")
+    drop(spark, f"{folder}/sized")
 
     def finish(copy: Column) -> Column:
         return (copy * F.col("source_size") + F.col("position")) / F.col("target")
@@ -117,7 +124,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, seed: str = SE
                 taken = taken | (same & ((time < last["finish"]) | ((time == last["finish"]) & (F.col("rank") <= last["rank"]))))
             takes.append((F.col("size") > 0) & taken)
     count = sum((F.when(x, 1).otherwise(0) for x in takes[1:]), F.when(takes[0], 1).otherwise(0))
-    return queued.withColumn("copies", count.cast("long")).withColumn("taken", F.col("copies") * F.col("size")).select("doc_id", "row", "source", "size", "source_size", "target", "copies", "taken", "position")
+    return queued.withColumn("copies", count.cast("long")).withColumn("taken", F.col("copies") * F.col("size")).select("doc_id", "row", "source", "size", "source_size", "target", "copies", "taken", "position", *(["doc"] if carry else []))
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
@@ -125,14 +132,10 @@ def op1_mixing(spark, sf_dir: str) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) -> DataFrame:
-    """The mixture itself: every document as often as it is taken, with its own columns.
-    Of repeated rows each gets its own number of copies."""
-    plan = mix(docs, weights, repeats).where("copies > 0").groupBy(F.col("row").alias("_row"), F.col("source").alias("_of")).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies"))
-    joined = docs.withColumn("_row", row_hash()).join(plan, "_row").where(F.col("source").eqNullSafe(F.col("_of")))
-    nth = F.row_number().over(Window.partitionBy("_row").orderBy("source"))
-    first = F.min("_nth").over(Window.partitionBy("_row", "source"))
-    placed = joined.withColumn("_nth", nth).withColumn("_nth", F.col("_nth") - first + 1).where(F.col("_nth") <= F.size("_copies"))
-    return placed.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.element_at("_copies", F.col("_nth")).cast("int"))).alias("_copy")).drop("_copy")
+    """The mixture itself: every document as often as it is taken, with its own columns,
+    whatever their names."""
+    taken = mix(docs, weights, repeats, carry=True).where("copies > 0")
+    return taken.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("doc.*")
 
 
 OP1_SQL = r"""
