@@ -7,24 +7,27 @@ loss reaches each sentence in proportion to its own score, so that the sentences
 that explain the label are found without being labelled; they are returned.
 
 The fit sees a sample of labelled rows of at most ``SAMPLE`` of each label, taken by
-a hash of the id, out of the rows outside the held-out fold; the weights (hashed,
-of fixed size) are broadcast. Scoring is one pass over the texts without a shuffle.
-A word's summed weight is remembered by the worker.
+a hash of the id, out of the rows outside the held-out fold; one task fits it, and the
+weights (hashed, of fixed size) are broadcast. Scoring is one pass over the texts
+without a shuffle, by the same noisy-or that was fitted. Arrow cuts and numbers a
+batch's words, and the worker remembers a stem's summed weight.
 
 Defined cases: a null or empty text has no sentence and score 0; labels that are
 null are not learnt from; without both labels all scores are 0; repeated rows are
-scored alike; ids that are null are no labelled rows; only doc_id, text and
-``labels`` (doc_id, toxic) are read.
+scored alike; ids that are null are no labelled rows; of several texts with one id the
+one of the least hash is learnt from; only doc_id, text and ``labels`` (doc_id, toxic)
+are read.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,85 +35,92 @@ from gridmill.llm.common import held_in_fold, table, tidy
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-SAMPLE = 2000
-LOG_FEATURES = 18
+SAMPLE = 4000
+LOG_FEATURES = 20
+MIN_DOCUMENTS = 3
+POWER = 3
 PREFIXES = (4, 5, 6)
-EPOCHS = 4
-FLOOR = 0.01
+EPOCHS = 6
 RATE = 0.15
 DECAY = 2e-5
 #: A sentence without an end is cut after so many words.
 LONGEST = 40
 REMEMBERED = 150_000
-_EDGE = re.compile(r"^[\W_]+|[\W_]+$")
-_START_BIAS = -4.0
+_START_BIAS = -1.5
 
 
-def features(word: str) -> list[int]:
-    word = _EDGE.sub("", word.lower())
-    if not word:
-        return []
-    names = [word] + [word[:n] + "\0" for n in PREFIXES if len(word) >= n]
+def features(stem: str) -> list[int]:
+    """Numbers of a word's features: the whole, and its first characters."""
+    names = [stem] + [stem[:n] + "\0" for n in PREFIXES if len(stem) >= n] if stem else []
     return [zlib.crc32(x.encode()) & ((1 << LOG_FEATURES) - 1) for x in names]
 
 
-class _Words(dict):
-    """Numbers words; what a word's features are is found out once."""
-
-    def __init__(self):
-        self.features: list[list[int]] = []
-        self.ends: list[bool] = []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = k = len(self.features)
-        self.features.append(features(word))
-        self.ends.append(word.rstrip("\"')*$%&#")[-1:] in (".", "!", "?"))
-        return k
-
-
-def sentence_ends(ends: np.ndarray) -> np.ndarray:
-    """Where sentences start, given which words end one."""
-    starts = np.concatenate([[0], np.flatnonzero(ends[:-1]) + 1]) if len(ends) else np.zeros(0, np.int64)
-    sizes = np.diff(np.append(starts, len(ends)))
-    if len(sizes) and sizes.max() > LONGEST:
-        starts = np.concatenate([np.arange(s, s + n, LONGEST) for s, n in zip(starts.tolist(), sizes.tolist())])
-    return starts
-
-
-def noisy_or(p: np.ndarray) -> float:
-    """The document's score. Sentences below ``FLOOR`` say nothing: hundreds of them would
-    add up in a long text."""
-    p = p[p >= FLOOR]
-    return float(1 - np.exp(np.log1p(-np.minimum(p, 1 - 1e-12)).sum()))
+def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The different stems (words in small letters, without signs around them), the stem's
+    number of each word in a row, each text's number of words, and where sentences start
+    among all words: behind a word that ends one, at a text's start, and after ``LONGEST``
+    words."""
+    split = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(texts.fill_null("")))
+    counts = np.diff(split.offsets.to_numpy()).astype(np.int64)
+    coded = split.flatten().dictionary_encode()
+    order = coded.indices.to_numpy()
+    stems = pc.replace_substring_regex(pc.utf8_lower(coded.dictionary), r"^[^\pL\pN]+|[^\pL\pN]+$", "").dictionary_encode()
+    ends = pc.match_substring_regex(coded.dictionary, r"""[.!?]["')*$%&#]*$""").to_numpy(zero_copy_only=False).astype(bool)
+    blank = pc.equal(pc.binary_length(coded.dictionary), 0).to_numpy(zero_copy_only=False)
+    if blank.any():  # a text without words is cut into one empty word
+        real = ~blank[order]
+        counts = np.where(np.add.reduceat(real, np.cumsum(counts) - counts), counts, 0)
+        order = order[real]
+    begins = np.zeros(len(order) + 1, bool)
+    begins[1:] = ends[order]
+    begins[np.cumsum(counts) - counts] = True
+    starts = np.flatnonzero(begins[:-1])
+    sizes = np.diff(np.append(starts, len(order)))
+    pieces = -(-sizes // LONGEST)
+    nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return stems.dictionary.to_numpy(zero_copy_only=False).tolist(), stems.indices.to_numpy()[order], counts, np.repeat(starts, pieces) + nth * LONGEST
+
+
+def sentence_scores(z: np.ndarray) -> np.ndarray:
+    """A logistic score to the power ``POWER``: many sentences of small scores must not add
+    up to a toxic document."""
+    return (1 / (1 + np.exp(-np.clip(z, -30, 30)))) ** POWER
 
 
 def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights of the features and the bias."""
+    """Weights of the features and the bias, by gradient steps on one document at a time."""
     weights, bias = np.zeros(1 << LOG_FEATURES, np.float64), _START_BIAS
     if len(set(labels)) < 2:
         return weights.astype(np.float32), -50.0
-    words = _Words()
+    stems, order, counts, starts = cut(pa.array(texts, pa.string()))
+    own = [features(x) for x in stems]
+    many = np.fromiter(map(len, own), np.int64, len(own))
+    flat, at = np.fromiter(chain.from_iterable(own), np.int32, int(many.sum())), np.cumsum(many) - many
+    sentence = np.searchsorted(starts, np.arange(len(order)), "right") - 1
+    ends = np.cumsum(counts)
+    edges = np.searchsorted(starts, np.append(0, ends))
     documents = []
-    for text in texts:
-        ids = np.fromiter(map(words.__getitem__, text.split()), np.int64)
-        starts = sentence_ends(np.array(words.ends, bool)[ids]) if len(ids) else ids
-        owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids))))
-        own = [words.features[i] for i in ids.tolist()]
-        which, inverse = np.unique(np.array([f for x in own for f in x], np.int64), return_inverse=True)
-        documents.append((which, inverse, np.repeat(owner, [len(x) for x in own]), len(starts)))
+    seen = np.zeros(len(weights), np.int32)
+    for d, (end, n) in enumerate(zip(ends.tolist(), counts.tolist())):
+        words = order[end - n : end]
+        times = many[words]
+        inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        which, inverse = np.unique(flat[np.repeat(at[words], times) + inside], return_inverse=True)
+        seen[which] += 1
+        documents.append((which, inverse.astype(np.int32), np.repeat(sentence[end - n : end] - edges[d], times).astype(np.int32), int(edges[d + 1] - edges[d])))
+    usual = seen >= MIN_DOCUMENTS  # features of a document or two stay at no weight
     squares, bias_square = np.full(len(weights), 1e-2), 1e-2
-    order = np.random.default_rng(seed)
+    shuffled = np.random.default_rng(seed)
     for _ in range(epochs):
-        for d in order.permutation(len(documents)):
+        for d in shuffled.permutation(len(documents)):
             which, inverse, owner, n = documents[d]
             if not n:
                 continue
-            z = np.bincount(owner, weights[which][inverse], n) + bias
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            p = sentence_scores(np.bincount(owner, weights[which][inverse], n) + bias)
             clean = np.exp(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
-            slope = -p * clean / max(1 - clean, 1e-9) if labels[d] else p
-            grown = slope[owner]
-            total = np.bincount(inverse, grown, len(which)) + DECAY * weights[which]
+            grown = POWER * p * (1 - p ** (1 / POWER)) / np.maximum(1 - p, 1e-12)  # p'(z) / (1 - p)
+            slope = -grown * clean / max(1 - clean, 1e-9) if labels[d] else grown
+            total = np.bincount(inverse, slope[owner], len(which)) * usual[which] + DECAY * weights[which]
             squares[which] += total * total
             weights[which] -= RATE * total / np.sqrt(squares[which])
             bias_square += slope.sum() ** 2
@@ -118,40 +128,76 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     return weights.astype(np.float32), float(bias)
 
 
+class _Sums(dict):
+    """Numbers stems; a stem's weights are summed up once."""
+
+    def __init__(self, weights: np.ndarray):
+        self.weights, self.values = weights, []
+
+    def __missing__(self, stem: str) -> int:
+        self[stem] = k = len(self)
+        self.values.append(float(self.weights[features(stem)].sum()) if stem else 0.0)
+        return k
+
+
 class Scorer:
+    """Scores batches of texts."""
+
     def __init__(self, weights: np.ndarray, bias: float):
         self.weights, self.bias = weights, bias
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words = _Words()
-        self.sums, self.ends = np.zeros(0), np.zeros(0, bool)
-
-    def sentences(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """First word and score of each sentence."""
-        if len(self.words) > REMEMBERED:
-            self._forget()
-        ids = np.fromiter(map(self.words.__getitem__, text.split()), np.int64)
-        if not len(ids):
-            return ids, np.zeros(0)
-        if len(self.words.features) > len(self.sums):
-            new = self.words.features[len(self.sums) :]
-            self.sums = np.concatenate([self.sums, [float(self.weights[x].sum()) if x else 0.0 for x in new]])
-            self.ends = np.concatenate([self.ends, self.words.ends[len(self.ends) :]])
-            self.words.features[-len(new) :] = [[]] * len(new)  # only their sum is needed now
-        starts = sentence_ends(self.ends[ids])
-        z = np.add.reduceat(self.sums[ids], starts) + self.bias
-        return starts, 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
-
-def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[str], list[int]]:
-    """Texts and labels of at most ``sample`` rows of each label."""
+        self.held = _Sums(weights)
+
+    def score(self, texts: pa.Array) -> tuple[np.ndarray, list[list[dict]]]:
+        """Each text's score, and its sentences of at least one half."""
+        if len(self.held) > REMEMBERED:
+            self.held = _Sums(self.weights)
+        stems, order, counts, starts = cut(texts)
+        rows = np.fromiter(map(self.held.__getitem__, stems), np.int64, len(stems))
+        sums = np.array(self.held.values)[rows][order]
+        found: list[list[dict]] = [[] for _ in counts]
+        if not len(order):
+            return np.zeros(len(counts)), found
+        p = sentence_scores(np.add.reduceat(sums, starts) + self.bias)
+        ends = np.cumsum(counts)
+        upto = np.concatenate([[0.0], np.cumsum(np.log1p(-np.minimum(p, 1 - 1e-12)))])
+        edges = np.searchsorted(starts, np.append(0, ends))
+        # Sums of each text's own sentences, not differences of running ones: equal texts score alike.
+        scores = np.zeros(len(counts))
+        some = np.flatnonzero(edges[1:] > edges[:-1])
+        scores[some] = 1 - np.exp(np.add.reduceat(np.diff(upto), edges[some]))
+        stops = np.append(starts[1:], len(order))
+        for k in np.flatnonzero(p >= 0.5).tolist():
+            text = int(np.searchsorted(edges, k, "right")) - 1
+            first = int(ends[text] - counts[text])
+            found[text].append({"first": int(starts[k]) - first, "last": int(stops[k]) - first, "score": float(p[k])})
+        return scores, found
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """text, toxic of at most ``sample`` rows of each label. Of several texts with one id
+    the one with the least hash is taken, of several labels the greater."""
     rows = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_in_fold("doc_id", FOLDS, HELD_OUT)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = [rows.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id", F.lit("toxicity")), "doc_id").limit(sample) for y in (0, 1)]
     few = picked[0].unionByName(picked[1])  # at most 2 * sample rows of two numbers
-    found = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").where("text IS NOT NULL").dropDuplicates(["doc_id"]).orderBy("doc_id")
-    got = [(r["text"], r["toxic"]) for r in found.toLocalIterator()]
-    return [t for t, _ in got], [y for _, y in got]
+    found = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").where("text IS NOT NULL")
+    return found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "toxic")).alias("one")).select("doc_id", "one.text", "one.toxic")
+
+
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+    """The model, fitted by one task on the bounded sample; the driver gets its weights (4 MB)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: list[str] = []
+        toxic: list[int] = []
+        for batch in batches:
+            texts += batch.column(1).to_pylist()
+            toxic += batch.column(2).to_pylist()
+        weights, bias = fit(texts, toxic, epochs)
+        yield pa.record_batch([pa.array([weights.astype("<f4").tobytes()], pa.binary()), pa.array([bias], pa.float64())], names=["weights", "bias"])
+
+    few = training_sample(docs, labels, sample).repartition(1).sortWithinPartitions("doc_id", "text")
+    got = few.mapInArrow(tidy(run), "weights binary, bias double").first()
+    return (np.frombuffer(got["weights"], "<f4"), got["bias"]) if got else (np.zeros(1 << LOG_FEATURES, np.float32), -50.0)
 
 
 def score_documents(docs: DataFrame, model: tuple[np.ndarray, float], keep_rows: float | None = None) -> DataFrame:
@@ -163,15 +209,9 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, float], keep_rows:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*sent.value)
         for batch in batches:
-            scores, found = [], []
-            for text in batch.column(at).to_pylist():
-                starts, p = scorer.sentences(text or "")
-                scores.append(noisy_or(p))
-                bad = np.flatnonzero(p >= 0.5)
-                stops = np.append(starts, len(text.split()))[1:] if len(bad) else starts
-                found.append([{"first": int(starts[i]), "last": int(stops[i]), "score": float(p[i])} for i in bad])
+            scores, found = scorer.score(batch.column(at))
             if keep_rows is not None:
-                yield batch.filter(pa.array(np.array(scores, float) < keep_rows))
+                yield batch.filter(pa.array(scores < keep_rows))
             else:
                 kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())]))
                 yield pa.record_batch([batch.column(own), pa.array(scores, pa.float64()), pa.array(found, kind)], names=["doc_id", "score", "sentences"])
@@ -184,6 +224,5 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, float], keep_rows:
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = fit(*training_sample(docs, table(spark, sf_dir, "labels")))
-    scored = score_documents(docs, model)
-    return scored.select("doc_id", held_in_fold("doc_id", FOLDS, HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    scored = score_documents(docs, learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_in_fold("doc_id", FOLDS, HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "sentences")

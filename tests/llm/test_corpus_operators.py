@@ -241,8 +241,8 @@ def test_toxicity_finds_the_sentence(spark, none):
     assert [t[s.first : s.last] for s in got[180].sentences] == [["You", "total", "zorkhead", "fool."]]
     assert toxicity.score_documents(none, model).count() == 0
     labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(None, 1), (5, None)], "doc_id bigint, toxic int")
-    texts, ys = toxicity.training_sample(spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string"), labels, 20)
-    assert len(texts) == 40 and sum(ys) == 20
+    few = toxicity.training_sample(spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string"), labels, 20).collect()
+    assert len(few) == 40 and sum(r.toxic for r in few) == 20
 
 
 def test_media(spark, docs, none, tmp_path):
@@ -331,6 +331,7 @@ def test_decontamination(spark, docs, none):
         got = decontamination.contamination(rows, bench, block_words=block).collect()
         assert [(r.doc_id, (r.n_words, r.n_hit, r.items)) for r in got] == [(i, brute(t)) for i, t in texts]
     kept = {r.doc_id: r for r in decontamination.decontaminate(rows, bench).collect()}
+    assert kept == {r.doc_id: r for r in decontamination.decontaminate(rows, bench, block_words=10).collect()}
     assert set(kept) == {3, 4, 5} and brute(kept[5].text)[1] == 0 and kept[5].n_chars == len(kept[5].text) and kept[3].text == texts[2][1]
     assert decontamination.contamination(none, bench).count() == 0 and decontamination.contamination(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
