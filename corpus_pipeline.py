@@ -6,7 +6,7 @@ writes each stage's rows to the shared folder and reads them again for the next,
 that a lost executor never takes the pipeline back to its start.
 
 SQL can't say the first stage (a trained model), so there is no oracle; the tests
-hold each stage against a brute-force version on its own input.
+hold each stage on its own input against what its rows must be.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold; the model learns from the labelled
     rows of the input table, outside the held-out fold."""
     small_batches(spark)
-    model = toxicity.fit(*toxicity.training_sample(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, model, keep_rows=toxicity.THRESHOLD)
 
 
