@@ -3,10 +3,14 @@
 Seeds are the matches of the fixed forms. The words around them induce lexical
 patterns (the word before; the two before; the one before and the one after).
 Patterns and the identifier-like words they stand next to form a graph, scored in
-rounds: a pattern's precision is the share of all its places in the corpus that hold
-known identifiers, an unseen word's score is noisy-or over the patterns it stands
-in. Words that score enough become known, and may raise other patterns. The places
-of the words that were learnt are returned beside the base spans.
+rounds: a pattern's precision is the share of its identifier-like places that hold
+known identifiers (and these must be a share of all its places in running text), an
+unseen word's score is noisy-or over the patterns it stands in. Words that score enough become known, and may raise other patterns. The places
+of the words that were learnt are returned beside the base spans, with the kind that
+the best of their patterns has. Rounds end when nothing new is learnt.
+
+Words are what stands between ASCII white space, without signs around it; those of
+signs alone are stepped over. Both passes cut texts so.
 
 One pass finds spans and candidates, and writes them without texts. The first round
 counts every place of the patterns that have enough seeds (a bitmap of fixed size picks
@@ -21,17 +25,19 @@ only the id and the text are read.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import keep, marked, marks, scratch, table, tidy, utf8
+from gridmill.llm.common import WORD, keep, marked, marks, numbered_words, scratch, table, tidy
 
 # The base forms, in the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -40,16 +46,19 @@ _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: What learnt spans are called, listed after the base.
-LEARNT = "context"
-ROUNDS = 3
+#: What stands before a learnt span's kind; they are listed after the base.
+LEARNT = "context_"
 #: A pattern needs so many different known identifiers, and this precision.
 MIN_SEEDS = 3
 MIN_PRECISION = 0.3
+#: Of all its places in running text, so many must hold known identifiers.
+MIN_SHARE = 0.05
 #: What an unseen word must score.
 MIN_SCORE = 0.6
 _HINT = re.compile(r"[0-9@]|\b(?:at|dot)\b[\])}]")
+_WORD = re.compile(WORD)
 _TRIM = "\"'.,;:!?()[]{}<>"
+_SIGNS = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
 _U = np.uint64
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -84,48 +93,61 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        bare = word.translate(_FOLD).strip(_TRIM.encode())
-        self[word] = h = int.from_bytes(hashlib.blake2b(bare, digest_size=8).digest(), "little")
-        return h
+def _bare(word: bytes) -> bytes:
+    """A word in small letters without the signs around it; nothing, if it has only signs."""
+    return word.translate(_FOLD).strip(_TRIM.encode()) if word.translate(None, _SIGNS) else b""
 
 
-_HASHES = _Hashes()
+def _hash(bare: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(bare)
 
 
 def _mix(kind: int, a, b):
     return ((a ^ (b * _U(0x9E3779B97F4A7C15))) + _U(kind)) * _U(0xBF58476D1CE4E5B9)
 
 
-def _patterns(before2: str, before: str, after: str) -> list[int]:
+def _patterns(before2: bytes, before: bytes, after: bytes) -> list[int]:
     """Hashes of the three patterns around a place; an edge of the text counts as an empty word."""
-    h2, h1, h0 = (np.array([_HASHES[x.encode()]], np.uint64) for x in (before2, before, after))
+    h2, h1, h0 = (np.array([_hash(x)], np.uint64) for x in (before2, before, after))
     return [int(x.view(np.int64)[0]) for x in (_mix(1, h1, _U(0) * h1), _mix(2, h1, h2), _mix(3, h1, h0))]
 
 
-def _around(text: str, start: int, end: int) -> list[int]:
-    left = text[max(0, start - 120) : start].split()
-    right = text[end : end + 60].split()
-    # The word that the span cuts into, if any, is no neighbour: a span that starts inside
-    # a word has that word's start to its left.
-    return _patterns(left[-2] if len(left) > 1 else "", left[-1] if left else "", right[0] if right else "")
-
-
-def _word_edges(text: str, at: int) -> tuple[int, int]:
-    start = at
-    while start > 0 and not text[start - 1].isspace():
-        start -= 1
-    end = at
-    while end < len(text) and not text[end].isspace():
-        end += 1
-    while start < end and text[start] in _TRIM:
-        start += 1
-    while end > start and text[end - 1] in _TRIM:
-        end -= 1
-    return start, end
+class _Words:
+    """The words of a text, by place: what :func:`_count_places` cuts it into."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.edges = [m.span() for m in _WORD.finditer(text)]
+        self.starts = [a for a, _ in self.edges]
+
+    def of(self, at: int) -> int:
+        """Number of the word that holds a place."""
+        return bisect.bisect_right(self.starts, at) - 1
+
+    def _near(self, k: int, step: int) -> tuple[bytes, int]:
+        """The next word to one side that is more than signs."""
+        k += step
+        while 0 <= k < len(self.edges):
+            a, b = self.edges[k]
+            bare = _bare(self.text[a:b].encode())
+            if bare:
+                return bare, k
+            k += step
+        return b"", k
+
+    def patterns(self, start: int, end: int) -> list[int]:
+        before, k = self._near(self.of(start), -1)
+        before2, _ = self._near(k, -1)
+        after, _ = self._near(self.of(end - 1), 1)
+        return _patterns(before2, before, after)
+
+    def trimmed(self, k: int) -> tuple[int, int]:
+        start, end = self.edges[k]
+        while start < end and self.text[start] in _TRIM:
+            start += 1
+        while end > start and self.text[end - 1] in _TRIM:
+            end -= 1
+        return start, end
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,17 +162,24 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = text or ""
             base = base_spans(text)
             own = []
+            words = None
             ends = sorted((a, b) for _, a, b in base)
+            firsts = [a for a, _ in ends]
             for kind, a, b in base:
-                own.append({"kind": kind, "start": a, "end": b, "word": _word_hash(text[a:b]), "patterns": _around(text, a, b)})
-            last = 0
+                words = words or _Words(text)
+                own.append({"kind": kind, "start": a, "end": b, "word": _word_hash(text[a:b]), "patterns": words.patterns(a, b)})
+            last = -1
             for m in _HINT.finditer(text):
-                if m.start() < last:
+                words = words or _Words(text)
+                k = words.of(m.start())
+                if k == last:
                     continue
-                a, b = _word_edges(text, m.start())
-                last = max(b, m.end())
-                if a < b and b - a <= 80 and not any(x < b and a < y for x, y in ends):
-                    own.append({"kind": len(KINDS), "start": a, "end": b, "word": _word_hash(text[a:b]), "patterns": _around(text, a, b)})
+                last = k
+                a, b = words.trimmed(k)
+                # Spans of one kind don't overlap: those of four kinds that reach past a start are few.
+                near = ends[max(0, bisect.bisect_left(firsts, a) - len(KINDS)) : bisect.bisect_left(firsts, b)]
+                if a < b and not any(x < b and a < y for x, y in near):
+                    own.append({"kind": len(KINDS), "start": a, "end": b, "word": _word_hash(text[a:b]), "patterns": words.patterns(a, b)})
             spans.append([{"kind": k, "start": a, "end": b} for k, a, b in base])
             places.append(own)
         kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -167,20 +196,17 @@ def _count_places(found):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(found.value, np.uint8)
         mask = _U(len(bits) * 8 - 1)
-        empty = _HASHES[b""]
+        empty = _U(_hash(b""))
         for batch in batches:
-            flat: list[int] = []
-            sizes = []
-            for text in utf8(batch.column(0)):
-                words = text.split()
-                flat += map(_HASHES.__getitem__, words)
-                flat += (empty, empty)
-                sizes.append(len(words))
-            h = np.array([empty, empty, *flat], np.uint64)
-            at = np.arange(2, len(h) - 2)  # two empty words stand between texts
-            real = np.ones(len(h), bool)
-            real[np.cumsum(np.array(sizes, np.int64) + 2)] = real[np.cumsum(np.array(sizes, np.int64) + 2) + 1] = False
-            at = at[real[at]]
+            words, order, counts = numbered_words(batch.column(0))
+            bare = [_bare(w) for w in words]
+            hashes = np.fromiter(map(_hash, bare), np.uint64, len(bare))[order]
+            real = np.fromiter(map(bool, bare), bool, len(bare))[order]  # words of signs alone are no places
+            text = np.repeat(np.arange(len(counts)), counts)[real]
+            hashes = hashes[real]
+            at = np.arange(len(hashes)) + 2 * text + 2  # two empty words stand between texts
+            h = np.full(len(hashes) + 2 * len(counts) + 4, empty, np.uint64)
+            h[at] = hashes
             one, two, next_ = h[at - 1], h[at - 2], h[at + 1]
             keys = np.concatenate([_mix(1, one, one * _U(0)), _mix(2, one, two), _mix(3, one, next_)])
             place = keys & mask
@@ -191,8 +217,9 @@ def _count_places(found):
     return count
 
 
-def find_personal_data(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, base (array of kind number, start, end) and learnt (array of start, end)."""
+def find_personal_data(docs: DataFrame, text: str = "text", rounds: int | None = None) -> DataFrame:
+    """doc_id, base (array of kind number, start, end) and learnt (array of
+    start, end, kind number). Rounds go on until nothing new is learnt, unless ``rounds`` ends them."""
     spark = docs.sparkSession
     folder = scratch(spark, "pii")
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -201,13 +228,14 @@ def find_personal_data(docs: DataFrame, text: str = "text", rounds: int = ROUNDS
     places = found.select("row", F.explode("places").alias("p")).select("row", "p.kind", "p.start", "p.end", "p.word", F.explode("p.patterns").alias("pattern"))
     # The graph: how often which word stands in which pattern.
     graph = keep(places.groupBy("pattern", "word").agg(F.count("*").alias("n"), F.min("kind").alias("kind")), f"{folder}/graph")
-    known = keep(graph.where(F.col("kind") < len(KINDS)).select("word").distinct(), f"{folder}/known")
+    known = keep(graph.where(F.col("kind") < len(KINDS)).groupBy("word").agg(F.min("kind").alias("kind")), f"{folder}/known")
     # Patterns with fewer words than a pattern needs known ones can never be accepted, whatever is learnt.
     able = graph.groupBy("pattern").agg(F.count("*").alias("words")).where(F.col("words") >= MIN_SEEDS)
     graph = keep(marked(graph.select("pattern", "word", "n"), "pattern", marks(able, "pattern")), f"{folder}/able")
-    totals = None
-    for n in range(rounds):
-        hits = marked(graph, "word", marks(known, "word")).join(known, "word").groupBy("pattern").agg(F.sum("n").alias("hits"), F.count("*").alias("different"))
+    seen = keep(graph.groupBy("pattern").agg(F.sum("n").alias("candidates")), f"{folder}/candidates")
+    totals, n = None, 0
+    while rounds is None or n < rounds:
+        hits = marked(graph, "word", marks(known, "word")).join(known, "word").groupBy("pattern").agg(F.sum("n").alias("hits"), F.count("*").alias("different"), F.mode("kind", True).alias("kind"))
         hits = keep(hits.where(F.col("different") >= MIN_SEEDS), f"{folder}/hits{n}")
         # Only the patterns that have just reached the seeds have no count yet.
         fresh = hits.select("pattern") if totals is None else hits.select("pattern").join(totals, "pattern", "left_anti")
@@ -217,15 +245,18 @@ def find_personal_data(docs: DataFrame, text: str = "text", rounds: int = ROUNDS
             totals = counted if totals is None else totals.unionByName(counted)
         if totals is None:
             break
-        scored = hits.join(totals, "pattern").withColumn("precision", F.least(F.col("hits") / (F.greatest("places", "hits") + 1), F.lit(0.999)))
-        scored = scored.where(F.col("precision") >= MIN_PRECISION).select("pattern", "precision")
-        words = graph.join(scored, "pattern").join(known, "word", "left_anti").groupBy("word").agg((1 - F.exp(F.sum(F.log1p(-F.col("precision"))))).alias("score"))
-        more = keep(words.where(F.col("score") >= MIN_SCORE).select("word"), f"{folder}/learnt{n}")
+        scored = hits.join(totals, "pattern").join(seen, "pattern").where(F.col("hits") >= MIN_SHARE * F.col("places"))
+        scored = scored.withColumn("precision", F.least(F.col("hits") / (F.col("candidates") + 1), F.lit(0.999))).where(F.col("precision") >= MIN_PRECISION)
+        scored = scored.select("pattern", "precision", "kind")
+        words = graph.join(scored, "pattern").join(known.select("word"), "word", "left_anti").groupBy("word").agg((1 - F.exp(F.sum(F.log1p(-F.col("precision"))))).alias("score"), F.min(F.struct(-F.col("precision"), "kind")).alias("best"))
+        more = keep(words.where(F.col("score") >= MIN_SCORE).select("word", F.col("best.kind").alias("kind")), f"{folder}/learnt{n}")
         if more.isEmpty():
             break
         known = keep(known.unionByName(more), f"{folder}/known{n}")
-    new = places.where(F.col("kind") == len(KINDS)).select("row", "start", "end", "word").distinct().join(known, "word").groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("learnt"))
-    return found.join(new, "row", "left").select("doc_id", "base", F.coalesce("learnt", F.array().cast("array<struct<start:int,end:int>>")).alias("learnt"))
+        n += 1
+    learnt = places.where(F.col("kind") == len(KINDS)).select("row", "start", "end", "word").distinct().join(known, "word")
+    new = learnt.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end", "kind"))).alias("learnt"))
+    return found.join(new, "row", "left").select("doc_id", "base", F.coalesce("learnt", F.array().cast("array<struct<start:int,end:int,kind:int>>")).alias("learnt"))
 
 
 def op5_pii(spark, sf_dir: str) -> DataFrame:
@@ -236,5 +267,5 @@ def op5_pii(spark, sf_dir: str) -> DataFrame:
         return F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
 
     base = F.transform("base", lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))
-    learnt = F.transform("learnt", lambda s: F.concat_ws(":", F.lit(LEARNT), s["start"].cast("string"), s["end"].cast("string")))
+    learnt = F.transform("learnt", lambda s: F.concat_ws(":", F.concat(F.lit(LEARNT), F.element_at(kinds, s["kind"] + 1)), s["start"].cast("string"), s["end"].cast("string")))
     return found.select("doc_id", *[of_kind(i).alias(f"n_{k}") for i, k in enumerate(KINDS)], F.sha2(F.concat_ws(",", base), 256).alias("base_sha256"), F.concat_ws(",", F.concat(base, learnt)).alias("spans"))

@@ -358,3 +358,29 @@ def test_repeats(spark, docs, none, large, monkeypatch):
         want.append((d, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(bytes(x for x, y in zip(b, gone) if not y)).hexdigest()))
     same(repeats.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect(), want)
     assert repeats.remove_repeats(none).count() == 0
+
+
+def test_pii_recall_of_planted_identifiers(spark):
+    """Identifiers of no base form, some long, in brackets, or set off by signs, stand in
+    contexts that base forms also stand in; decoys stand in running text."""
+    rng = random.Random(6)
+    words = ["w%s" % "abcdefgh"[i % 8] * (1 + i % 5) for i in range(60)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    contexts, rows, planted, decoys = ["badge no", "reach us under", "member code"], [], {}, set()
+    for i in range(300):
+        c = contexts[i % 3]
+        if i % 2:
+            rows.append((i, f"{prose(30)} {c}: u{i}@mail.com {prose(20)}"))
+        else:
+            one = f"QX-{i:04d}" + "z" * (90 if i % 10 == 0 else 0)
+            rows.append((i, f"{prose(30)} {c} - ({one}), {prose(20)}"))
+            planted[i] = one
+    for i in range(300, 400):
+        rows.append((i, f"{prose(12)} {rng.randrange(10**6)} {prose(9)}"))
+        decoys.add(i)
+    got = pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    text = dict(rows)
+    learnt = {r.doc_id: [text[r.doc_id][s.start : s.end] for s in r.learnt] for r in got}
+    assert sum(learnt[i] == [x] for i, x in planted.items()) >= 0.9 * len(planted)
+    assert sum(bool(learnt[i]) for i in decoys) <= 0.02 * len(decoys)
+    assert all(s.kind == 0 for r in got if r.doc_id in planted for s in r.learnt)
