@@ -2,8 +2,8 @@
 
 Counting: each task numbers nothing, it hashes words (64 bits) and collapses its
 pairs of neighbouring words, with the start of a text as a word of its own. The
-collapsed pairs go to a bucket by their first word, as blocks of sorted, compressed
-columns; a bucket adds them up and writes its pairs as one sorted hash array with
+collapsed pairs go to a bucket by their first word (by the second for first words that
+are over a thousandth of all), as blocks of sorted, compressed columns; a bucket adds them up and writes its pairs as one sorted hash array with
 its counts. What a word is as a context (how often, with how many different next
 words, seen once, twice or more often) and as a continuation is summed per word.
 
@@ -11,7 +11,10 @@ Scoring: workers map the arrays into memory and look up a batch's different pair
 sorted order, so that an array is read front to back. The model never enters the
 driver or a broadcast; what a worker holds of it is page cache.
 
-A pair's key is 40 bits of each word's hash, a word's own key all 64.
+A pair's key is 40 bits of each word's hash, a word's own key all 64. Two words that share
+40 bits share what they are as contexts and continuations: of a million words that is
+under one pair in the mean, of a billion some 450,000, by which much the sum of p may
+differ from 1 after those.
 
     p(w | v) = max(c(vw) - D, 0) / c(v.) + g(v) p(w)
     p(w)     = max(n(.w) - D', 0) / n(..) + g' / (V + 1)
@@ -31,7 +34,6 @@ the text are read.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import os
 import tempfile
@@ -40,10 +42,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import filesystem, held_in_fold, keep, scratch, table, tidy, utf8
+from gridmill.llm.common import filesystem, hashed_words, held_in_fold, keep, scratch, table, tidy
 
 FOLDS, HELD_OUT = 7, 2
 START, END = b" <s>", b" </s>"  # no words: they hold a blank
@@ -55,33 +58,31 @@ _U = np.uint64
 _CODEC = "zstd"
 
 
-class _Hashes(dict):
-    """Words' hashes, forgotten when they have become many."""
+def _hash(word: bytes) -> np.uint64:
+    return _U(xxhash.xxh3_64_intdigest(word))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
 
-
-_HASHES = _Hashes()
-
-
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all texts' words, each text's end behind them, and the texts' lengths."""
-    words = [t.lower().split() for t in texts]
-    flat = [w for own in words for w in (*own, END)]
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    return np.fromiter(map(_HASHES.__getitem__, flat), np.uint64, len(flat)), sizes
+    words, counts = hashed_words(texts)
+    sizes = counts + 1
+    h = np.full(int(sizes.sum()), _hash(END), np.uint64)
+    inner = np.ones(len(h), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    h[inner] = words
+    return h, sizes
 
 
 def _contexts(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     before = np.concatenate([h[:1], h[:-1]])
-    before[np.cumsum(sizes) - sizes] = _U(_HASHES[START])
+    before[np.cumsum(sizes) - sizes] = _hash(START)
     return before
 
 
+def _signed(x: np.uint64) -> int:
+    return int(np.array([x], np.uint64).view(np.int64)[0])
+
+
 def _pair_parts(before: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """40 bits of each word: the first's and 24 of the second's, and the second's other 16."""
     a, b = before >> _U(24), h >> _U(24)
@@ -114,15 +115,19 @@ def _unpacked(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return high, low.astype(np.uint64), counts.astype(np.int64)
 
 
-def _bucket(high: np.ndarray, log_buckets: int) -> np.ndarray:
-    return (high >> _U(64 - log_buckets)).astype(np.int64) if log_buckets else np.zeros(len(high), np.int64)
+def _bucket(high: np.ndarray, low: np.ndarray, log_buckets: int, hot: np.ndarray) -> np.ndarray:
+    """A pair's bucket goes by its first word; pairs of the ``hot`` first words by the second."""
+    if not log_buckets:
+        return np.zeros(len(high), np.int64)
+    second = (((high & _U(0xFFFFFF)) << _U(16)) | low) * _U(0x9E3779B97F4A7C15)
+    return (np.where(np.isin(high >> _U(24), hot), second, high) >> _U(64 - log_buckets)).astype(np.int64)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of a stretch of texts, with their counts."""
     held, size = [], 0
     for batch in batches:
-        held.append(tokens(utf8(batch.column(0)))[0])
+        held.append(tokens(batch.column(0))[0])
         size += len(held[-1])
         if size > STRETCH:
             yield _counted(held)
@@ -136,19 +141,22 @@ def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(words.view(np.int64)), pa.array(counts, pa.int64())], names=["word", "count"])
 
 
-def _collapse(log_buckets: int):
+def _collapse(log_buckets: int, hot: np.ndarray):
     """Pairs of a stretch of texts, collapsed: a row for each bucket."""
 
     def rows(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         high, low, n = _add_up(*(np.concatenate(x) for x in zip(*held)))
-        edges = np.searchsorted(_bucket(high, log_buckets), np.arange((1 << log_buckets) + 1))
+        buckets = _bucket(high, low, log_buckets, hot)
+        order = np.argsort(buckets, kind="stable")
+        high, low, n = high[order], low[order], n[order]
+        edges = np.searchsorted(buckets[order], np.arange((1 << log_buckets) + 1))
         blocks = [(b, int(y - x), _packed(high[x:y], low[x:y], n[x:y])) for b, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
         return pa.record_batch([pa.array([b for b, _, _ in blocks], pa.int32()), pa.array([x for _, x, _ in blocks], pa.int64()), pa.array([x for _, _, x in blocks], pa.binary())], names=["bucket", "pairs", "block"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            h, sizes = tokens(utf8(batch.column(0)))
+            h, sizes = tokens(batch.column(0))
             high, low = _pair_parts(_contexts(h, sizes), h)
             held.append(_add_up(high, low, np.ones(len(h), np.int64)))
             size += len(h)
@@ -279,18 +287,21 @@ class Model:
         """Counts of sorted different pairs."""
         out = np.zeros(len(high), np.int64)
         keys = _pair_keys(high, low)
-        edges = np.searchsorted(_bucket(high, self.facts["log_buckets"]), np.arange(len(self.pairs) + 1))
+        buckets = _bucket(high, low, self.facts["log_buckets"], self.facts["hot"])
+        by_bucket = np.argsort(buckets, kind="stable")
+        edges = np.searchsorted(buckets[by_bucket], np.arange(len(self.pairs) + 1))
         for b, (x, y) in enumerate(zip(edges, edges[1:])):
             name = self.facts["pair_files"].get(b)
             if y == x or name is None:
                 continue
             if self.pairs[b] is None:
                 self.pairs[b] = _mapped(self.folder, f"{name}.keys", "<u8"), _mapped(self.folder, f"{name}.counts", "<u4")
-            order = np.argsort(keys[x:y])
-            asked = keys[x:y][order]
+            own = by_bucket[x:y]
+            own = own[np.argsort(keys[own])]
+            asked = keys[own]
             held, counts = self.pairs[b]
             at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
-            out[x + order] = np.where(held[at] == asked, counts[at], 0)
+            out[own] = np.where(held[at] == asked, counts[at], 0)
         return out
 
     def log10(self, before: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,12 +330,16 @@ def train(docs: DataFrame, folder: str, text: str = "text") -> dict:
         fs.create_dir(f"{root}/{kind}", recursive=True)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     log_buckets = max(0, math.ceil(math.log2(max(1, size) / BUCKET_BYTES)))
-    words = docs.select(text).mapInArrow(tidy(_word_counts), "word long, count long").groupBy("word").agg(F.sum("count").alias("count"))
-    blocks = docs.select(text).mapInArrow(tidy(_collapse(log_buckets)), "bucket int, pairs long, block binary")
-    blocks = blocks.repartition(max(1, min(1 << log_buckets, 2000)), "bucket").sortWithinPartitions("bucket")
+    words = keep(docs.select(text).mapInArrow(tidy(_word_counts), "word long, count long").groupBy("word").agg(F.sum("count").alias("count")), f"{folder}/counted")
+    # Words that are over a thousandth of all: a thousand at most. A bucket is not to hold all pairs of one.
+    total = words.agg(F.sum("count")).first()[0] or 0
+    hot = [r["word"] for r in words.where(F.col("count") * 1000 > total).select("word").toLocalIterator()]
+    hot = np.array(sorted({h >> 24 for h in np.array([*hot, _signed(_hash(START))], np.int64).view(np.uint64).tolist()}), np.uint64)
+    blocks = docs.select(text).mapInArrow(tidy(_collapse(log_buckets, hot)), "bucket int, pairs long, block binary")
+    blocks = blocks.repartition(1 << log_buckets, "bucket").sortWithinPartitions("bucket")
     merged = keep(blocks.mapInArrow(tidy(_merge(folder)), "file string, bucket long, size long, of_counts array<long>, word long, total long, once long, twice long, more long, before long"), f"{folder}/merged")
     files = merged.where("file IS NOT NULL").select("file", "bucket", "of_counts")
-    facts: dict = {"log_buckets": log_buckets, "pair_files": {}}
+    facts: dict = {"log_buckets": log_buckets, "hot": hot, "pair_files": {}}
     sums = [0, 0, 0, 0]
     for row in files.toLocalIterator():  # a row a bucket
         facts["pair_files"][row["bucket"]] = row["file"]
@@ -332,8 +347,7 @@ def train(docs: DataFrame, folder: str, text: str = "text") -> dict:
     facts["pairs"] = discounts(sums)
     stats = merged.where("word IS NOT NULL").groupBy(F.col("word").alias("short")).agg(*[F.sum(k).alias(k) for k in ("total", "once", "twice", "more", "before")])
     short = F.shiftrightunsigned("word", 24)
-    start = int(np.array([_HASHES[START]], np.uint64).view(np.int64)[0])
-    own = words.unionByName(spark.createDataFrame([(start, 0)], "word long, count long"))
+    own = words.unionByName(spark.createDataFrame([(_signed(_hash(START)), 0)], "word long, count long"))
     joined = own.withColumn("short", short).join(stats, "short", "left").fillna(0).drop("short")
     joined = keep(joined.select("word", "count", "total", "once", "twice", "more", "before"), f"{folder}/joined")
     row = joined.agg(F.sum("count").alias("n"), F.count_if(F.col("count") > 0).alias("v"), F.sum("before").alias("kinds"), *[F.count_if(F.col("before") == k).alias(f"n{k}") for k in (1, 2, 3, 4)], F.count_if(F.col("before") >= 3).alias("n3up")).first()
@@ -359,7 +373,7 @@ def score(docs: DataFrame, folder: str, facts: dict, text: str = "text") -> Data
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                h, sizes = tokens(utf8(part.column(1)))
+                h, sizes = tokens(part.column(1))
                 logs, counts = model.log10(_contexts(h, sizes), h)
                 first = np.cumsum(sizes) - sizes
                 scores = np.add.reduceat(logs, first)

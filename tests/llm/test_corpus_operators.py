@@ -87,7 +87,9 @@ def test_mixing(spark, docs, none):
     assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in got)
 
 
-def test_perplexity(spark, docs, none, tmp_path):
+@pytest.mark.parametrize("bucket", [perplexity.BUCKET_BYTES, 2000])
+def test_perplexity(spark, docs, none, tmp_path, bucket, monkeypatch):
+    monkeypatch.setattr(perplexity, "BUCKET_BYTES", bucket)
     folder = str(tmp_path / "model")
     facts = perplexity.train(docs.where("doc_id < 3000"), folder)
     got = perplexity.score(docs, folder, facts).collect()
