@@ -19,8 +19,8 @@ def distinct_by(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> D
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: str, name: str = "share") -> DataFrame:
-    """Sums, and each one's percentage of all. The total is joined from one row, not taken
-    by a window over everything."""
+    """Sums, and each one's percentage of all. The total is a window over the
+    sums, a row a group."""
     sums = df.groupBy(*keys).agg(F.sum(value).alias(value))
     total = F.sum(value).over(Window.partitionBy())
     return sums.withColumn(name, F.col(value) / total * 100)

@@ -73,7 +73,8 @@ def deltas(source: DataFrame, target: DataFrame, key: str, updated: str, exclude
     """Outcome of each source row against the target's row of its key: ``skipped`` (no such
     row, or not newer), ``no_change``, ``updated``; changed fields as (column, old, new)."""
     fields = [c for c in source.columns if c in target.columns and c not in (key, updated, *exclude)]
-    old = target.select(F.col(key), *[F.col(c).alias(f"_old_{c}") for c in (*fields, updated)], F.lit(True).alias("_there"))
+    held = one_per_key(target, [key], [F.col(updated).desc_nulls_last(), F.xxhash64(*fields).desc()])  # repeated keys must not multiply rows
+    old = held.select(F.col(key), *[F.col(c).alias(f"_old_{c}") for c in (*fields, updated)], F.lit(True).alias("_there"))
     joined = source.join(old, key, "left")
     newer = F.coalesce(F.col("_there") & (F.col(updated) > F.col(f"_old_{updated}")), F.lit(False))
     change = F.array_compact(F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"_old_{c}")), F.struct(F.lit(c).alias("column"), F.col(f"_old_{c}").cast("string").alias("old"), F.col(c).cast("string").alias("new"))) for c in fields]))
@@ -91,10 +92,13 @@ def apply_deltas(target: DataFrame, found: DataFrame, key: str) -> DataFrame:
     return joined.select(key, *held, F.when(F.col("_hit"), 1).otherwise(0).alias("is_migrated"))
 
 
-def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows in place of the target's, and beside them. Incoming nulls count."""
+def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], updated: str | None = None) -> DataFrame:
+    """Incoming rows in place of the target's, and beside them. Incoming nulls count. Of
+    several incoming rows of a key the latest by ``updated`` wins, then the one of the
+    greatest hash, so that reruns agree."""
+    order = [F.col("_from").desc(), *([F.col(updated).desc_nulls_last()] if updated else []), F.xxhash64(*target.columns).desc()]
     both = target.withColumn("_from", F.lit(0)).unionByName(incoming.withColumn("_from", F.lit(1)))
-    return one_per_key(both, keys, [F.col("_from").desc()]).drop("_from")
+    return one_per_key(both, keys, order).drop("_from")
 
 
 def upsert_counts(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

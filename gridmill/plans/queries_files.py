@@ -27,13 +27,22 @@ def _(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, path, "s_suppkey bigint, s_name string, s_acctbal double", encoding="ISO-8859-1", exclude=["s_acctbal"])
 
 
-@query("S3_csv_dialect", "SELECT n_nationkey, n_name FROM nation")
+@query("S3_csv_dialect", "SELECT n_nationkey, concat(n_name, ' é') AS n_name FROM nation")
 def _(t: Tables) -> DataFrame:
     path = tables.scratch_folder(t.spark, "csv")
-    t.nation.select("n_nationkey", "n_name").write.option("header", True).option("sep", ";").csv(path)
+    rows = t.nation.select("n_nationkey", F.concat("n_name", F.lit(" é")).alias("n_name"))
+    rows.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
     return files.read_csv_any(t.spark, path, ["n_nationkey", "n_name"]).select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name")
 
 
+@query("S4_newest_file", "SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey")
+def _(t: Tables) -> DataFrame:
+    path = tables.scratch_folder(t.spark, "drop")
+    for rows in (t.customer.groupBy("c_nationkey"), t.supplier.groupBy("s_nationkey")):  # two files of a row a nation
+        rows.agg(F.count("*").alias("n")).coalesce(1).write.option("header", True).mode("append").csv(path)
+    return files.read_csv(t.spark, files.newest_file(t.spark, path, "*.csv"), "s_nationkey bigint, n bigint")
+
+
 @query("S6_snapshot_export", "SELECT (count(*) + 4999) // 5000 AS least_files, count(*) AS n FROM orders")
 def _(t: Tables) -> DataFrame:
     path = tables.scratch_folder(t.spark, "export")

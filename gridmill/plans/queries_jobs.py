@@ -289,6 +289,29 @@ def _(t: Tables) -> DataFrame:
     return t.survey_frame.groupBy("region", "gender").agg(F.count_distinct("customer_id").alias("customers"), F.sum("units").alias("units"))
 
 
+@query("X2_units_by_region", "SELECT region, sum(units)::BIGINT AS units FROM survey_frame GROUP BY region", "survey_frame")
+def _(t: Tables) -> DataFrame:
+    return t.survey_frame.groupBy("region").agg(F.sum("units").alias("units"))
+
+
+@query("X2_account_type_share", "SELECT account_type, count(*) AS sales, round(count(*) / sum(count(*)) OVER () * 100, 6) AS share FROM survey_frame GROUP BY account_type", "survey_frame")
+def _(t: Tables) -> DataFrame:
+    from gridmill.operators.aggregates import share_of_total
+
+    rows = t.survey_frame.select("account_type", F.lit(1).alias("sales"))
+    return share_of_total(rows, ["account_type"], "sales").withColumn("share", F.round("share", 6))
+
+
+@query("X2_region_by_type", "SELECT region, account_type, count(DISTINCT customer_id) AS customers, sum(units)::BIGINT AS units FROM survey_frame GROUP BY region, account_type", "survey_frame")
+def _(t: Tables) -> DataFrame:
+    return t.survey_frame.groupBy("region", "account_type").agg(F.count_distinct("customer_id").alias("customers"), F.sum("units").alias("units"))
+
+
+@query("X2_region_by_product", "SELECT region, product, count(DISTINCT customer_id) AS customers, sum(units)::BIGINT AS units FROM survey_frame GROUP BY region, product", "survey_frame")
+def _(t: Tables) -> DataFrame:
+    return t.survey_frame.groupBy("region", "product").agg(F.count_distinct("customer_id").alias("customers"), F.sum("units").alias("units"))
+
+
 @query("X3_observed", "SELECT round(avg((units > 0)::INT), 6) AS proportion, count(DISTINCT customer_id) AS population FROM survey_frame", "survey_frame")
 def _(t: Tables) -> DataFrame:
     from gridmill.functions.numbers import indicator

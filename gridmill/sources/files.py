@@ -16,9 +16,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return (reader.schema(schema) if schema else reader).csv(path).drop(*exclude)
 
 
+def is_utf8(spark: SparkSession, path: str) -> bool:
+    """Whether all lines are valid UTF-8. The CSV reader replaces bytes that are not."""
+    return spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
+
+
 def read_csv_any(spark: SparkSession, path: str, expected: Sequence[str]) -> DataFrame:
-    """The first dialect under which the header has the expected columns."""
+    """The first dialect that the bytes allow and under which the header has the expected
+    columns."""
+    utf8 = is_utf8(spark, path)
     for encoding, separator in DIALECTS:
+        if encoding == "UTF-8" and not utf8:
+            continue
         df = read_csv(spark, path, encoding=encoding, separator=separator)
         if set(expected) <= set(df.columns):
             return df

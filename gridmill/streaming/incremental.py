@@ -36,7 +36,7 @@ def sync_updates(spark: SparkSession, source: str, schema: T.StructType, version
 
     def batch(rows: DataFrame, number: int) -> None:
         target = spark.read.parquet(f"{versions}/version={number}")
-        newest = rows.withColumn("_nth", F.row_number().over(_newest(key, updated))).where("_nth = 1").drop("_nth")
+        newest = rows.withColumn("_nth", F.row_number().over(_newest(key, updated, rows.columns))).where("_nth = 1").drop("_nth")
         found = deltas(newest, target, key, updated, exclude=("is_migrated",))
         apply_deltas(target.drop("is_migrated"), found, key).write.mode("overwrite").parquet(f"{versions}/version={number + 1}")
 
@@ -44,10 +44,11 @@ def sync_updates(spark: SparkSession, source: str, schema: T.StructType, version
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def _newest(key: str, updated: str):
+def _newest(key: str, updated: str, columns: list[str]):
+    """Newest first; rows of one time by a hash of all they hold, so that reruns agree."""
     from pyspark.sql import Window
 
-    return Window.partitionBy(key).orderBy(F.col(updated).desc())
+    return Window.partitionBy(key).orderBy(F.col(updated).desc(), F.xxhash64(*columns).desc())
 
 
 def watermark(df: DataFrame, updated: str):
