@@ -377,7 +377,7 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
 
     sums = found.where("part IS NOT NULL").select("part", "cells").repartition("part").mapInArrow(tidy(_add_parts), "part int, cells binary")
     cells = np.zeros(1 << SKETCH_BITS, np.uint32)
-    for row in sums.toLocalIterator():  # 4 MB in all
+    for row in sums.collect():  # 4 MB in all, in one job instead of one a partition
         cells[row["part"] * SKETCH_PART : (row["part"] + 1) * SKETCH_PART] = np.frombuffer(row["cells"], "<u4")
     usual = int(np.median(cells))
     counts = spark.sparkContext.broadcast(cells)
