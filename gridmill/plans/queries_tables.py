@@ -268,7 +268,8 @@ def _(t: Tables) -> DataFrame:
     return aggregates.row_count_comparison(aggregates.row_counts({"snapshot": t.snapshot_old}), aggregates.row_counts({"snapshot": t.snapshot_new}))
 
 
-@query("A15_catalog")
+@query("A15_catalog", """WITH c AS (SELECT table_name, is_nullable, CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type FROM information_schema.columns WHERE table_name IN ('orders', 'lineitem', 'customer'))
+SELECT table_name, count(*) AS n_columns, count(*) FILTER (WHERE is_nullable = 'YES') AS n_nullable, (SELECT data_type FROM c d WHERE d.table_name = c.table_name GROUP BY data_type ORDER BY count(*) DESC, data_type LIMIT 1) AS commonest_type FROM c GROUP BY table_name""")
 def _(t: Tables) -> DataFrame:
     from functools import reduce
 
