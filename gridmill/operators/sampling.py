@@ -43,7 +43,7 @@ def draw(frame: DataFrame, allocation: DataFrame, strata: Sequence[str], key: st
     for s in strata:
         same = F.col(s).eqNullSafe(F.col(f"_{s}"))
         on = same if on is None else on & same
-    nth = F.row_number().over(Window.partitionBy(*strata).orderBy(F.xxhash64(key, F.lit(seed)), key))
+    nth = F.row_number().over(Window.partitionBy(*strata).orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key))
     return frame.join(given, on).withColumn("_nth", nth).where(F.col("_nth") <= F.col("allocated")).select(*frame.columns)
 
 

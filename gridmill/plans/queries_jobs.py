@@ -320,25 +320,33 @@ def _(t: Tables) -> DataFrame:
 
 
 _STRATA = ["region", "district", "account_type", "product"]
-_ALLOCATE = """WITH s AS (SELECT region, district, account_type, product, count(*) AS available, row_number() OVER (ORDER BY region NULLS FIRST, district NULLS FIRST, account_type NULLS FIRST, product NULLS FIRST) - 1 AS p FROM survey_frame GROUP BY region, district, account_type, product),
-r AS (SELECT *, round_even(available / sum(available) OVER () * 400, 0)::BIGINT AS x, count(*) OVER () AS total FROM s), g AS (SELECT *, (400 - sum(x) OVER ())::BIGINT AS gap FROM r),
-f AS (SELECT *, greatest(x + sign(gap) * (abs(gap) // total + (p < abs(gap) % total)::INT), 1)::BIGINT AS y FROM g), e AS (SELECT *, greatest(sum(y) OVER () - 400, 0) AS excess FROM f),
+def _allocation(columns: list[str], table: str, total: int) -> str:
+    strata, ordered = ", ".join(columns), ", ".join(f"{c} NULLS FIRST" for c in columns)
+    return f"""WITH s AS (SELECT {strata}, count(*) AS available, row_number() OVER (ORDER BY {ordered}) - 1 AS p FROM {table} GROUP BY {strata}),
+r AS (SELECT *, round_even(available / sum(available) OVER () * {total}, 0)::BIGINT AS x, count(*) OVER () AS total FROM s), g AS (SELECT *, ({total} - sum(x) OVER ())::BIGINT AS gap FROM r),
+f AS (SELECT *, greatest(x + sign(gap) * (abs(gap) // total + (p < abs(gap) % total)::INT), 1)::BIGINT AS y FROM g), e AS (SELECT *, greatest(sum(y) OVER () - {total}, 0) AS excess FROM f),
 u AS (SELECT p, excess, unnest(range(2, y + 1)) AS h FROM e), k AS (SELECT p, count(*) AS taken FROM (SELECT *, row_number() OVER (ORDER BY h DESC, p) AS n FROM u) WHERE n <= excess GROUP BY p)
-SELECT region, district, account_type, product, available, (y - coalesce(taken, 0))::BIGINT AS allocated FROM e LEFT JOIN k USING (p)"""
+SELECT {strata}, available, (y - coalesce(taken, 0))::BIGINT AS allocated FROM e LEFT JOIN k USING (p)"""
 
 
-@query("X4_allocation", _ALLOCATE, "survey_frame")
+def _drawn(columns: list[str], table: str, total: int, id_column: str, key: str) -> str:
+    strata, same = ", ".join(columns), " AND ".join(f"f.{c} IS NOT DISTINCT FROM al.{c}" for c in columns)
+    return f"""WITH al AS ({_allocation(columns, table, total)}), f AS (SELECT *, row_number() OVER (PARTITION BY {strata} ORDER BY md5({key} || ':42'), {key}) AS nth FROM {table})
+SELECT f.* EXCLUDE (nth) FROM (SELECT {id_column}, {strata}, nth FROM f) f JOIN al ON {same} WHERE nth <= allocated"""
+
+
+@query("X4_allocation", _allocation(_STRATA, "survey_frame", 400), "survey_frame")
 def _(t: Tables) -> DataFrame:
     return sampling.allocate(t.survey_frame, _STRATA, 400)
 
 
-@query("X5_draw")
+@query("X5_draw", _drawn(_STRATA, "survey_frame", 400, "customer_id", "concat_ws('|', customer_id, sale_date::VARCHAR, units, product)"), "survey_frame")
 def _(t: Tables) -> DataFrame:
     frame = t.survey_frame.withColumn("row_key", F.concat_ws("|", "customer_id", F.col("sale_date").cast("string"), "units", "product"))
     return sampling.draw(frame, sampling.allocate(frame, _STRATA, 400), _STRATA, "row_key").select("customer_id", *_STRATA)
 
 
-@query("W7_stratified_sample")
+@query("W7_stratified_sample", _drawn(["c_mktsegment"], "customer", 100, "c_custkey", "c_custkey::VARCHAR"))
 def _(t: Tables) -> DataFrame:
     frame = t.customer.select("c_custkey", "c_mktsegment")
     return sampling.draw(frame, sampling.allocate(frame, ["c_mktsegment"], 100), ["c_mktsegment"], "c_custkey")
