@@ -21,6 +21,35 @@ SELECT concat('L', lpad(cast(o.o_orderkey AS STRING), 8, '0')) AS lead_id, conca
 """,
     "survey_src": r"""
 SELECT concat('L', lpad(cast(l_orderkey AS STRING), 8, '0')) AS lead_id, l_shipdate AS modified_at, l_linenumber AS seq, l_partkey AS part_ref, CASE l_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'Wife' WHEN 2 THEN 'Parent' WHEN 3 THEN 'Husband' ELSE 'Sibling' END AS relation, CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE concat('07', lpad(cast(l_suppkey AS STRING), 8, '0')) END AS kin_phone, l_suppkey % 110 AS created_by FROM lineitem
+""",
+    "crm_leads": r"""
+SELECT concat('L', lpad(cast(o.o_orderkey AS STRING), 8, '0')) AS lead_id, concat('U', cast(o.o_custkey % 100 AS STRING)) AS created_by_id, concat('U', cast(o.o_orderkey % 120 AS STRING)) AS modified_by_id, concat('A', cast(o.o_custkey % 90 AS STRING)) AS agent_id,
+ CASE WHEN o.o_orderkey % 6 = 0 THEN o.o_orderkey % 50 + 2000 ELSE NULL END AS employee_id, CASE WHEN o.o_custkey % 4 = 0 THEN NULL ELSE 'Ann' END AS first_name, c.c_mktsegment AS last_name, c.c_name AS name, concat('2547', lpad(cast(o.o_custkey AS STRING), 8, '0')) AS phone,
+ CASE WHEN o.o_orderkey % 9 = 0 THEN NULL ELSE concat('ID', cast(o.o_custkey AS STRING)) END AS id_number, CASE c.c_mktsegment WHEN 'BUILDING' THEN 'iPOs' WHEN 'MACHINERY' THEN 'Refer & Earn' WHEN 'FURNITURE' THEN 'Engineer Referral' WHEN 'HOUSEHOLD' THEN 'Reshuffled Leads' ELSE NULL END AS lead_source,
+ CASE o.o_orderkey % 5 WHEN 0 THEN 'Web' WHEN 1 THEN 'SALESAPP' WHEN 2 THEN 'field' WHEN 3 THEN 'Radio' ELSE NULL END AS channel, CASE o.o_orderstatus WHEN 'F' THEN 'Converted' WHEN 'O' THEN 'New' ELSE 'Qualified' END AS status, CASE WHEN o.o_orderkey % 10 = 0 THEN NULL WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_converted,
+ CASE o.o_custkey % 4 WHEN 0 THEN 'Hot' WHEN 1 THEN 'Cold' WHEN 2 THEN 'Warm' ELSE NULL END AS category, CASE WHEN o.o_custkey % 3 = 0 THEN NULL ELSE 'PAYG' END AS payment_method, CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Now' WHEN '2-HIGH' THEN 'Two Weeks' WHEN '5-LOW' THEN NULL ELSE 'Default' END AS purchase_date,
+ o.o_orderpriority AS product, 'en' AS language, concat('K', cast(o.o_custkey AS STRING)) AS tax_pin, CASE WHEN o.o_custkey % 2 = 0 THEN 'Male' ELSE NULL END AS gender, o.o_custkey % 3 AS customer_type, CASE WHEN o.o_custkey % 7 = 0 THEN NULL ELSE '1980-05-05' END AS date_of_birth,
+ CASE WHEN o.o_orderkey % 3 = 0 THEN NULL ELSE concat('{"SmileJobID":"', cast(o.o_orderkey AS STRING), '","ResultCode":"10', cast(o.o_orderkey % 5 AS STRING), '","_status_":"', CASE o.o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'FAILED' ELSE 'X' END, '","IDType":"PASSPORT",', CASE WHEN o.o_orderkey % 2 = 0 THEN '"IDNumber":"Z1",' ELSE '' END, '"ResultType":"Check","DOB":"', CASE o.o_orderkey % 4 WHEN 0 THEN 'null' WHEN 1 THEN '' WHEN 2 THEN 'Not Available' ELSE '1990-01-31' END, '"}') END AS kyc_json,
+ o.o_orderdate AS created_at, o.o_orderdate + INTERVAL '30' DAY AS updated_at, CASE WHEN o.o_orderstatus = 'F' THEN o.o_orderdate + INTERVAL '9' DAY ELSE NULL END AS converted_at FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+""",
+    "crm_survey": r"""
+SELECT concat('L', lpad(cast(l_orderkey AS STRING), 8, '0')) AS lead_id, l_shipdate AS modified_at, l_shipdate - INTERVAL '5' DAY AS created_at, l_linenumber AS seq, l_partkey AS part_ref, concat('U', cast(l_suppkey % 110 AS STRING)) AS created_by_id, CASE l_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'Wife' WHEN 2 THEN 'Parent' WHEN 3 THEN 'Husband' ELSE 'Sibling' END AS relation,
+ CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE 'Mary' END AS kin_name, CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE 'Otieno' END AS kin_surname, CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE concat('07', lpad(cast(l_suppkey AS STRING), 8, '0')) END AS kin_phone FROM lineitem
+""",
+    "crm_agents": r"""
+SELECT concat('a', cast(s_suppkey AS STRING)) AS agent_id, s_suppkey + 3000 AS employee_id FROM supplier WHERE s_suppkey % 9 <> 0
+""",
+    "crm_referrals": r"""
+SELECT concat('l', lpad(cast(o_orderkey AS STRING), 8, '0')) AS lead_id, concat('R', cast(o_custkey AS STRING)) AS referral_id FROM orders WHERE o_orderkey % 11 = 0
+""",
+    "crm_customers": r"""
+SELECT c_custkey AS customer_id, concat('ID', cast(c_custkey AS STRING)) AS id_number FROM customer WHERE c_custkey % 8 <> 0
+""",
+    "crm_sources": r"""
+SELECT min(c_nationkey) + 100 AS source_id, CASE c_mktsegment WHEN 'BUILDING' THEN 'IPOS' WHEN 'MACHINERY' THEN 'REFER & EARN' WHEN 'FURNITURE' THEN 'ENGINEER REFERRAL' WHEN 'HOUSEHOLD' THEN 'RESHUFFLED LEADS' ELSE 'OTHERS' END AS name FROM customer GROUP BY c_mktsegment
+""",
+    "crm_channels": r"""
+SELECT r_regionkey + 1 AS channel_id, CASE r_regionkey WHEN 0 THEN 'WEB' WHEN 1 THEN 'SalesApp' WHEN 2 THEN 'Field' WHEN 3 THEN 'Others' ELSE r_name END AS name FROM region
 """,
     "users_dim": r"""
 SELECT concat('u', cast(s_suppkey AS STRING)) AS user_id, s_suppkey + 1000 AS employee_id, s_name AS user_name FROM supplier

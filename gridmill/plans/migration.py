@@ -25,19 +25,27 @@ def _nth(key: str, *order: Column) -> Column:
     return F.row_number().over(Window.partitionBy(key).orderBy(*order))
 
 
+def first_valid_first(batch: DataFrame, key: str, reason: Column, second: str, order: str) -> DataFrame:
+    """``batch`` with ``_again`` (the key was there before), ``_invalid`` (what ``reason``
+    says of a first occurrence) and ``_second_again`` (the second key was there before on a
+    valid row). The order of these three tests decides: an invalid row blocks no second key."""
+    first = batch.withColumn("_again", _nth(key, F.col(order)) > 1)
+    checked = first.withColumn("_invalid", F.when(~F.col("_again"), reason)).withColumn("_valid", ~F.col("_again") & F.col("_invalid").isNull())
+    # Only valid rows count among those of a second key; the others stand in groups of their own.
+    group = F.when(F.col("_valid") & F.col(second).isNotNull(), F.concat(F.lit("key:"), F.col(second).cast("string"))).otherwise(F.concat(F.lit("row:"), F.col(order).cast("string")))
+    grouped = checked.withColumn("_group", group).withColumn("_second_again", F.col("_valid") & (_nth("_group", F.col(order)) > 1))
+    return grouped.drop("_valid", "_group")
+
+
 def migrate_leads(staged: DataFrame, loaded: DataFrame, order: str) -> DataFrame:
     """In order: the same lead again; validation; the same phone again among valid leads;
     leads or phones that are loaded (the phone's reason wins). A phone first seen on an
     invalid lead blocks none; one of a lead that is rejected later does."""
-    first = staged.withColumn("_again", _nth("leadId", F.col(order)) > 1)
-    reason = F.concat(F.lit("Validation failed: "), first_reason(first, LEAD_REQUIRED, LEAD_ALLOWED))
-    checked = first.withColumn("_invalid", F.when(~F.col("_again"), reason)).withColumn("_valid", ~F.col("_again") & F.col("_invalid").isNull())
-    # Only valid rows count among those of a phone; the others stand in groups of their own.
-    group = F.when(F.col("_valid"), F.col("mobilePhone")).otherwise(F.concat(F.lit("row:"), F.col(order).cast("string")))
-    phones = checked.withColumn("_group", group).withColumn("_phone_again", F.col("_valid") & (_nth("_group", F.col(order)) > 1))
+    reason = F.concat(F.lit("Validation failed: "), first_reason(staged, LEAD_REQUIRED, LEAD_ALLOWED))
+    phones = first_valid_first(staged, "leadId", reason, "mobilePhone", order)
     there = loaded_reason(phones, [(loaded, ["leadId"], F.lit("Duplicate leadId")), (loaded, ["mobilePhone"], F.concat(F.lit("Duplicate mobilePhone: "), F.col("mobilePhone")))])
-    outcome = F.when(F.col("_again"), "duplicate").when(F.col("_invalid").isNotNull(), "invalid").when(F.col("_phone_again") | F.col("failure_reason").isNotNull(), "duplicate").otherwise("inserted")
-    why = F.when(F.col("_again"), "Duplicate leadId within staging batch").when(F.col("_invalid").isNotNull(), F.col("_invalid")).when(F.col("_phone_again"), F.concat(F.lit("Duplicate mobilePhone within batch: "), F.col("mobilePhone"))).otherwise(F.col("failure_reason"))
+    outcome = F.when(F.col("_again"), "duplicate").when(F.col("_invalid").isNotNull(), "invalid").when(F.col("_second_again") | F.col("failure_reason").isNotNull(), "duplicate").otherwise("inserted")
+    why = F.when(F.col("_again"), "Duplicate leadId within staging batch").when(F.col("_invalid").isNotNull(), F.col("_invalid")).when(F.col("_second_again"), F.concat(F.lit("Duplicate mobilePhone within batch: "), F.col("mobilePhone"))).otherwise(F.col("failure_reason"))
     return there.withColumns({"outcome": outcome, "failure_reason": why}).select(*staged.columns, "outcome", "failure_reason")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridmill.operators import diff, geo, sampling, segment
 from gridmill.plans import migration, telemetry, transform, workflow
 from gridmill.plans.fixtures import Tables
-from gridmill.plans.queries_tables import _GEO, _MASHUP, _ntz, _pairs
+from gridmill.plans.queries_tables import _GEO, CRM, MASHUP, _ntz, _pairs, mashed
 from gridmill.plans.registry import query
 
 _SNAPSHOTS = ("snapshot_old", "snapshot_new")
@@ -56,6 +56,16 @@ c2 AS (SELECT *, CASE WHEN bad IS NULL THEN row_number() OVER (PARTITION BY mobi
 c3 AS (SELECT c2.*, EXISTS (SELECT 1 FROM ld WHERE ld.mobilePhone = c2.mobilePhone) AS has_phone, EXISTS (SELECT 1 FROM ld WHERE ld.leadId = c2.leadId) AS has_id FROM c2)"""
 
 
+@query("W4_batch_first", """WITH a AS (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY modified_at, seq, part_ref) > 1 AS again FROM survey_src), v AS (SELECT *, NOT again AND kin_phone IS NOT NULL AND relation IS NOT NULL AS valid FROM a)
+SELECT lead_id, seq, part_ref, CASE WHEN again THEN 'duplicate' WHEN NOT valid THEN 'invalid' WHEN row_number() OVER (PARTITION BY kin_phone, valid ORDER BY modified_at, lead_id, seq, part_ref) > 1 THEN 'duplicate phone' ELSE 'first' END AS outcome FROM v""", "survey_src")
+def _(t: Tables) -> DataFrame:
+    batch = t.survey_src.withColumn("position", F.struct("modified_at", "lead_id", "seq", "part_ref"))
+    reason = F.when(F.col("kin_phone").isNull() | F.col("relation").isNull(), "Missing required field")
+    found = migration.first_valid_first(batch, "lead_id", reason, "kin_phone", "position")
+    outcome = F.when(F.col("_again"), "duplicate").when(F.col("_invalid").isNotNull(), "invalid").when(F.col("_second_again"), "duplicate phone").otherwise("first")
+    return found.select("lead_id", "seq", "part_ref", outcome.alias("outcome"))
+
+
 @query("D6_migrate_leads", f"""WITH {_STAGED} SELECT leadId, CASE WHEN bad IS NOT NULL THEN 'invalid' WHEN n > 1 OR has_phone OR has_id THEN 'duplicate' ELSE 'inserted' END AS outcome,
  CASE WHEN bad IS NOT NULL THEN 'Validation failed: ' || bad WHEN n > 1 THEN 'Duplicate mobilePhone within batch: ' || mobilePhone WHEN has_phone THEN 'Duplicate mobilePhone: ' || mobilePhone WHEN has_id THEN 'Duplicate leadId' END AS failure_reason FROM c3""", "leads_src")
 def _(t: Tables) -> DataFrame:
@@ -90,25 +100,30 @@ def _(t: Tables) -> DataFrame:
     return migration.migrate_kin(staged, staged.where("part_ref % 50 = 0"), leads).select("leadId", "seq", "part_ref", "outcome")
 
 
-def _mashed(t: Tables) -> DataFrame:
-    return transform.mashup(t.leads_src, t.survey_src, t.users_dim)
-
-
-@query("D9_leads_layout", f"""WITH {_MASHUP} SELECT l.lead_id AS "leadId", coalesce(l.full_name, 'N/A') AS "firstName", CASE WHEN purchase_date = 'Now' THEN 'NOW' ELSE 'LATER' END AS "purchaseDate", CASE l.status WHEN 'New' THEN 'NEW' WHEN 'Converted' THEN 'CONVERTED' WHEN 'Qualified' THEN 'QUALIFIED' ELSE 'NEW' END AS status,
- CASE WHEN l.status = 'Converted' THEN 'CONVERTED' ELSE 'LEAD_CREATION' END AS "leadStatus", CASE lower(lead_source) WHEN 'engineer referral' THEN 'EMPLOYEE' WHEN 'ipos' THEN 'IPOS' WHEN 'refer & earn' THEN 'CUSTOMER' END AS "referralType", (coalesce(lead_source, '') = 'Reshuffled Leads')::INT AS "isReshuffleLead", m.created_by AS "createdById", m.modified_by AS "lastUpdatedById" FROM leads_src l JOIN m USING (lead_id)""", "leads_src", "survey_src", "users_dim")
+@query("D9_leads_layout", f"""WITH {MASHUP} SELECT lead_id AS "leadId", coalesce(first_name, name) AS "firstName", last_name AS "lastName", phone AS "mobilePhone", id_number AS "idNumber", 1::INT AS "companyRegionId", converted_at AS "leadConvertedDate", coalesce(payment_method, 'CASH') AS "paymentMethod",
+ CASE WHEN purchase_date = 'Now' THEN 'NOW' ELSE 'LATER' END AS "purchaseDate", CASE status WHEN 'Converted' THEN 'CONVERTED' WHEN 'Qualified' THEN 'QUALIFIED' ELSE 'NEW' END AS status, CASE is_converted WHEN 0 THEN 'LEAD_CREATION' WHEN 1 THEN 'CONVERTED' END AS "leadStatus", CASE category WHEN 'Hot' THEN 'HOT' WHEN 'Cold' THEN 'COLD' ELSE 'WARM' END AS "leadCategory",
+ referral_id AS "referralId", product AS "productOfInterest", language AS "preferredLanguage", agent AS "agentId", agent AS "createdById", modified_by AS "lastUpdatedById", lead_id AS "throughPartnerLeadId", (lead_source = 'Reshuffled Leads')::INT AS "isReshuffleLead", created_at AS "createdAt", updated_at AS "updatedAt", phone AS "phoneNumber", name, tax_pin AS "kraPinNumber", lead_source AS source,
+ customer_id AS "leadAmtCustomerId", 'INDIVIDUAL' AS "entityType", customer_type AS "customerTypeId", channel_id::BIGINT AS "leadChannelId", CASE lead_source WHEN 'Engineer Referral' THEN 'EMPLOYEE' WHEN 'iPOs' THEN 'IPOS' WHEN 'Refer & Earn' THEN 'CUSTOMER' END AS "referralType", CASE WHEN lead_source = 'Engineer Referral' THEN employee_id END AS "employeeReferralId", 1::INT AS "isActive", source_id::BIGINT AS "leadSourceId", updated_at AS "lastModifiedAt", modified_by AS "lastModifiedBy", 1::INT AS is_migrated,
+ NULL::VARCHAR AS "middleName", NULL::VARCHAR AS "email", NULL::VARCHAR AS "alternatePhoneNumber", NULL::VARCHAR AS "companyName", NULL::VARCHAR AS "paymentTerms", NULL::VARCHAR AS "formVersion",
+ NULL::BIGINT AS "sundeskUserId", NULL::BIGINT AS "agent_provider_id", NULL::BIGINT AS "kycId", NULL::BIGINT AS "tdhId", NULL::BIGINT AS "deletedBy", NULL::BIGINT AS "formId", NULL::BIGINT AS "archivedBy", NULL::TIMESTAMP AS "deletedAt", NULL::TIMESTAMP AS "archivedAt" FROM m""", *CRM)
 def _(t: Tables) -> DataFrame:
-    return transform.leads_layout(_mashed(t)).select("leadId", "firstName", "purchaseDate", "status", "leadStatus", "referralType", "isReshuffleLead", "createdById", "lastUpdatedById")
+    return transform.leads_layout(mashed(t))
 
 
-@query("D9_kyc_layout", f"""WITH {_MASHUP} SELECT 'sf-' || json_extract_string(kyc_json, '$.SmileJobID') AS "externalRefId", l.lead_id AS "leadId", CASE WHEN lower(json_extract_string(kyc_json, '$.DOB')) IN ('null', '', 'not available') THEN NULL ELSE json_extract_string(kyc_json, '$.DOB') END AS dob,
- CASE json_extract_string(kyc_json, '$._status_') WHEN 'COMPLETED' THEN 'SUCCESS' WHEN 'FAILED' THEN 'FAILED' ELSE 'PENDING' END AS status, m.modified_by AS "updatedBy" FROM leads_src l JOIN m USING (lead_id) WHERE kyc_json IS NOT NULL""", "leads_src", "survey_src", "users_dim")
+@query("D9_kyc_layout", f"""WITH {MASHUP}, k AS (SELECT m.*, json_extract_string(kyc_json, '$.DOB') AS born, json_extract_string(kyc_json, '$.SmileJobID') AS job FROM m)
+ SELECT 'sf-' || job AS "externalRefId", lead_id AS "leadId", coalesce(json_extract_string(kyc_json, '$.IDNumber'), id_number) AS "idNumber", CASE WHEN born IN ('null', '', 'Not Available') OR born IS NULL THEN date_of_birth ELSE born END AS dob, CASE json_extract_string(kyc_json, '$._status_') WHEN 'COMPLETED' THEN 'SUCCESS' WHEN 'FAILED' THEN 'FAILED' ELSE 'PENDING' END AS status, 1::INT AS "companyRegionId", kyc_json AS meta,
+ agent AS "createdBy", CASE WHEN modified_by = 1007 THEN agent ELSE modified_by END AS "updatedBy", created_at AS "createdAt", updated_at AS "updatedAt", json_extract_string(kyc_json, '$.IDType') AS "documentType", job AS "smileJobId", json_extract_string(kyc_json, '$.ResultCode') AS "resultCode", json_extract_string(kyc_json, '$.ResultType') AS source, gender, 1::INT AS "isActive", updated_at AS "lastModifiedAt", modified_by AS "lastModifiedBy", 1::INT AS is_migrated,
+ NULL::VARCHAR AS "serialNumber", NULL::VARCHAR AS "description", NULL::VARCHAR AS "documentType_temp", NULL::VARCHAR AS "callbackJsonBlob", NULL::VARCHAR AS "resultText", NULL::VARCHAR AS "actions", NULL::VARCHAR AS "description2", NULL::VARCHAR AS "formVersion",
+ NULL::BIGINT AS "formId", NULL::BIGINT AS "deletedBy", NULL::BIGINT AS "archivedBy", NULL::TIMESTAMP AS "deletedAt", NULL::TIMESTAMP AS "archivedAt"
+ FROM k WHERE job IS NOT NULL AND coalesce(json_extract_string(kyc_json, '$.IDNumber'), id_number) IS NOT NULL AND (date_of_birth IS NOT NULL OR born NOT IN ('null', '', 'Not Available'))""", *CRM)
 def _(t: Tables) -> DataFrame:
-    return transform.kyc_layout(_mashed(t)).select("externalRefId", "leadId", "dob", "status", "updatedBy")
+    return transform.kyc_layout(mashed(t), invalid=(1007,))
 
 
-@query("D9_kin_layout", f"""WITH {_MASHUP} SELECT m.lead_id AS "leadId", m.kin_phone AS "phoneNumber", CASE WHEN m.relation IS NULL OR m.relation = 'Parent' THEN 'Other' WHEN m.relation IN ('Wife', 'Husband') THEN 'Spouse' ELSE m.relation END AS relationship, CASE WHEN s.created_by = 7 THEN 895 ELSE coalesce(s.created_by, m.modified_by, 895) END AS "createdBy" FROM m JOIN s ON s.lead_id = m.lead_id AND s.n = 1""", "leads_src", "survey_src", "users_dim")
+@query("D9_kin_layout", f"""WITH {MASHUP} SELECT 'SALESFORCE' AS "sourceSystemId", lead_id AS "leadId", coalesce(kin_name, kin_surname, 'Not Specified') AS "firstName", coalesce(kin_surname, kin_name, 'Not Specified') AS "lastName", kin_phone AS "phoneNumber", CASE WHEN relation IS NULL OR relation = 'Parent' THEN 'Other' WHEN relation IN ('Wife', 'Husband') THEN 'Spouse' ELSE relation END AS relationship, 'NEXT_OF_KIN' AS type, 1::INT AS "isActive", kin_created_at AS "createdAt",
+ CASE WHEN kin_created_by = 1007 THEN 895 ELSE coalesce(kin_created_by, kin_modified_by, 895) END AS "createdBy", kin_modified_at AS "updatedAt", kin_modified_by AS "updatedBy", 1::INT AS is_migrated, NULL::VARCHAR AS "sourceSystem", NULL::VARCHAR AS "alternativePhoneNumber", NULL::VARCHAR AS "gender", NULL::VARCHAR AS "id_number_c" FROM m WHERE kin_phone IS NOT NULL""", *CRM)
 def _(t: Tables) -> DataFrame:
-    return transform.kin_layout(_mashed(t), invalid=(7,)).select("leadId", "phoneNumber", "relationship", "createdBy")
+    return transform.kin_layout(mashed(t), invalid=(1007,))
 
 
 @query("D10_delete_audit", """SELECT 'snapshot' AS table_name, id::VARCHAR AS record_id, '{"id":' || id || ',"segment":' || CASE WHEN segment IS NULL THEN 'null' ELSE '"' || segment || '"' END || '}' AS deleted_data FROM snapshot_old WHERE id NOT IN (SELECT id FROM snapshot_new)""", *_SNAPSHOTS)

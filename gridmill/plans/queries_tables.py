@@ -70,23 +70,33 @@ def _(t: Tables) -> DataFrame:
     return rows.select("id", F.col("segment_source").alias("segment_old"), F.col("segment_target").alias("segment_new"), F.col("amount_source").alias("amount_old"), F.col("amount_target").alias("amount_new"))
 
 
-_MASHUP = """s AS (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY modified_at DESC, seq DESC, part_ref DESC) AS n FROM survey_src),
-m AS (SELECT DISTINCT l.lead_id, l.status, s.relation, s.kin_phone, a.employee_id AS created_by, b.employee_id AS modified_by FROM leads_src l LEFT JOIN s ON s.lead_id = l.lead_id AND s.n = 1
- LEFT JOIN users_dim a ON lower(a.user_id) = lower(l.created_by_id) LEFT JOIN users_dim b ON lower(b.user_id) = lower(l.modified_by_id))"""
+#: The derived tables of the enrichment, and its rows as SQL.
+CRM = ("crm_leads", "crm_survey", "users_dim", "crm_agents", "crm_referrals", "crm_customers", "crm_sources", "crm_channels")
+MASHUP = """s AS (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY modified_at DESC, seq DESC, part_ref DESC) AS n FROM crm_survey),
+m AS (SELECT DISTINCT l.* REPLACE (coalesce(l.lead_source, 'Others') AS lead_source, coalesce(l.channel, 'Others') AS channel), s.kin_name, s.kin_surname, s.relation, s.kin_phone, s.created_at AS kin_created_at, s.modified_at AS kin_modified_at,
+ f.referral_id, a.employee_id AS agent_employee, u1.employee_id AS created_by, u2.employee_id AS modified_by, u3.employee_id AS kin_created_by, u4.employee_id AS kin_modified_by, c.customer_id, o.source_id, CASE WHEN l.channel = 'SALESAPP' THEN 8 ELSE h.channel_id END AS channel_id, coalesce(l.employee_id, a.employee_id) AS agent
+ FROM crm_leads l LEFT JOIN s ON s.lead_id = l.lead_id AND s.n = 1 LEFT JOIN crm_referrals f ON lower(f.lead_id) = lower(l.lead_id) LEFT JOIN crm_agents a ON lower(a.agent_id) = lower(l.agent_id)
+ LEFT JOIN users_dim u1 ON lower(u1.user_id) = lower(l.created_by_id) LEFT JOIN users_dim u2 ON lower(u2.user_id) = lower(l.modified_by_id) LEFT JOIN users_dim u3 ON lower(u3.user_id) = lower(s.created_by_id) LEFT JOIN users_dim u4 ON lower(u4.user_id) = lower(s.created_by_id)
+ LEFT JOIN crm_customers c ON c.id_number = l.id_number LEFT JOIN crm_sources o ON lower(o.name) = lower(coalesce(l.lead_source, 'Others')) LEFT JOIN crm_channels h ON lower(h.name) = lower(coalesce(l.channel, 'Others')))"""
+_MASHED = ["lead_id", "status", "lead_source", "channel", "relation", "kin_phone", "kin_modified_at", "referral_id", "agent", "created_by", "modified_by", "kin_created_by", "kin_modified_by", "customer_id", "source_id", "channel_id"]
 
 
-@query("J1_enrichment", f"WITH {_MASHUP} SELECT * FROM m", "leads_src", "survey_src", "users_dim")
-def _(t: Tables) -> DataFrame:
-    from gridmill.plans.transform import mashup
+def mashed(t: Tables) -> DataFrame:
+    from gridmill.plans.transform import Dimensions, mashup
+
+    return mashup(t.crm_leads, t.crm_survey, Dimensions(t.users_dim, t.crm_agents, t.crm_referrals, t.crm_customers, t.crm_sources, t.crm_channels))
 
-    return mashup(t.leads_src.select("lead_id", "status", "created_by_id", "modified_by_id"), t.survey_src, t.users_dim).select("lead_id", "status", "relation", "kin_phone", "created_by", "modified_by")
+
+@query("J1_enrichment", f"WITH {MASHUP} SELECT {', '.join(_MASHED)} FROM m", *CRM)
+def _(t: Tables) -> DataFrame:
+    return mashed(t).select(*_MASHED)
 
 
 @query("J2_collated_join", "SELECT l.lead_id, u.employee_id FROM leads_src l JOIN users_dim u ON lower(u.user_id) = lower(l.created_by_id)", "leads_src", "users_dim")
 def _(t: Tables) -> DataFrame:
-    from gridmill.plans.transform import _user
+    from gridmill.plans.transform import looked_up
 
-    return _user(t.leads_src.select("lead_id", "created_by_id"), t.users_dim, "created_by_id", "employee_id").where("employee_id IS NOT NULL").select("lead_id", "employee_id")
+    return looked_up(t.leads_src.select("lead_id", "created_by_id"), "created_by_id", t.users_dim, "user_id", "employee_id", "employee_id").where("employee_id IS NOT NULL").select("lead_id", "employee_id")
 
 
 @query("J3_two_roles", "SELECT l.lead_id, a.user_name AS creator, b.user_name AS modifier FROM leads_src l LEFT JOIN users_dim a ON lower(a.user_id) = lower(l.created_by_id) LEFT JOIN users_dim b ON lower(b.user_id) = lower(l.modified_by_id)", "leads_src", "users_dim")
