@@ -30,8 +30,8 @@ from gridmill.llm.common import WORD, drop, keep, row_hash, scratch, table
 WEIGHTS = (1, 2, 3)
 REPEATS = 3
 SEED = "mix"
-#: Hash ranges of a source's order, by so many hexadecimal digits.
-DIGITS = 4
+#: Hash ranges of a source's order, by so many hexadecimal digits; the first of them name a coarse range.
+DIGITS, COARSE = 4, 2
 #: Ranges of virtual time up to 1.
 RANGES = 4096
 
@@ -72,6 +72,19 @@ def _time_range(finish: Column) -> Column:
     return F.when(finish < 2, F.floor(finish * RANGES)).otherwise(2 * RANGES - 256 + F.floor(F.log2(finish) * 256)).cast("long")
 
 
+def _range_offsets(ranged: DataFrame) -> DataFrame:
+    """of_source, of_range, offset: what each source queues before each of its ranges. Coarse
+    ranges are summed up first, then the ranges inside each, so that one task never sees more
+    than a coarse range's or a source's coarse ranges, ``16 ** COARSE`` rows either way."""
+    fine = ranged.groupBy("source", "range").agg(F.sum("size").alias("range_size")).withColumn("coarse", F.floor(F.col("range") / 16 ** (DIGITS - COARSE)))
+    before = lambda *keys: Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    coarse = fine.groupBy(F.col("source").alias("coarse_source"), F.col("coarse").alias("of_coarse")).agg(F.sum("range_size").alias("coarse_size"))
+    coarse = coarse.withColumn("coarse_offset", F.coalesce(F.sum("coarse_size").over(before("coarse_source", "of_coarse")), F.lit(0)))
+    inside = fine.withColumn("inside", F.coalesce(F.sum("range_size").over(before("source", "coarse", "range")), F.lit(0)))
+    joined = inside.join(coarse, inside["source"].eqNullSafe(coarse["coarse_source"]) & (inside["coarse"] == coarse["of_coarse"]))
+    return joined.select(F.col("source").alias("of_source"), F.col("range").alias("of_range"), (F.col("coarse_offset") + F.col("inside")).alias("offset"))
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, seed: str = SEED, text: str = "text", carry: bool = False) -> DataFrame:
     """doc_id, row, source, size, source_size, target, copies, taken and position of each document.
 
@@ -87,9 +100,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, seed: str = SE
     targets = keep(source_targets(sized, weights, repeats), f"{folder}/targets")
 
     ranged = sized.withColumn("range", F.conv(F.substring("order", 1, DIGITS), 16, 10).cast("int"))
-    offsets = ranged.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
-    up_to = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = offsets.select(F.col("source").alias("of_source"), F.col("range").alias("of_range"), F.coalesce(F.sum("range_size").over(up_to), F.lit(0)).alias("offset"))
+    offsets = _range_offsets(ranged)
     inside = Window.partitionBy("source", "range").orderBy("order", F.col("doc_id").asc_nulls_first(), "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     within = ranged.withColumn("within", F.sum("size").over(inside))
     named = targets.withColumnRenamed("source", "target_source")
