@@ -85,6 +85,35 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a text column in a row, and where each text starts (and the last ends).
+    Nulls are empty."""
+    kind = pa.large_binary() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else pa.large_string()
+    column = column.fill_null(b"" if kind == pa.large_binary() else "").cast(kind)
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return flat[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def windows(flat: np.ndarray, offsets: np.ndarray, cuts: Callable[[np.ndarray, int, int], np.ndarray], size: int) -> Iterator[tuple[int, int]]:
+    """Stretches of ``size`` bytes or somewhat more, each ending where a text does or where
+    ``cuts`` (of the bytes, for a range) allows it, so that long texts pass in parts."""
+    at = 0
+    while at < len(flat):
+        end, step = at + size, 1 << 16
+        while end < len(flat):
+            place = offsets[np.searchsorted(offsets, end)]  # the next text's start
+            found = np.flatnonzero(cuts(flat, end, min(end + step, len(flat))))
+            if len(found) or place <= end + step:
+                end = min(place, end + found[0] if len(found) else place)
+                break
+            end += step
+        end = min(end, len(flat))
+        yield at, int(end)
+        at = int(end)
+
+
 def numbered_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The different words of all texts (A-Z lowered, cut at ASCII white space), the number
     of each word in a row, and how many each text has."""

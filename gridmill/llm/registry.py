@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridmill.llm import decontamination, media, mixing, perplexity, pii, repeats, secrets, similarity, tokens, toxicity
+from gridmill.llm import decontamination, media, mixing, perplexity, pieces, pii, repeats, search, secrets, similarity, tokens, toxicity, turns
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,9 +15,14 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_repeats": repeats.op10_repeats,
+    "op11_pieces": pieces.op11_pieces,
+    "op12_search": search.op12_search,
+    "op13_turns": turns.op13_turns,
 }
 ORACLE_SQL = {
     "op1_mixing": mixing.OP1_SQL,
     "op8_secrets": secrets.OP8_SQL,
     "op9_decontamination": decontamination.OP9_SQL,
+    "op12_search": search.OP12_SQL,
+    "op13_turns": turns.OP13_SQL,
 }

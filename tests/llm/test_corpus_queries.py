@@ -22,6 +22,9 @@ COLUMNS = {
     "op8_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op9_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op10_repeats": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op11_pieces": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op12_search": ["item_id", "rank", "doc_id", "score"],
+    "op13_turns": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
 }
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
 
@@ -37,9 +40,10 @@ def test_query(spark, name):
     assert df.columns[: len(COLUMNS[name])] == COLUMNS[name]
     got = [tuple(map(plain, r)) for r in df.select(COLUMNS[name]).collect()]
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
-    assert len(got) == con.execute("SELECT count(*) FROM documents").fetchone()[0]
+    if COLUMNS[name][0] == "doc_id":
+        assert len(got) == con.execute("SELECT count(*) FROM documents").fetchone()[0]
     if name in ORACLE_SQL:
         found = con.execute(f"SELECT {', '.join(COLUMNS[name])} FROM ({ORACLE_SQL[name]})").fetchall()
         assert sorted(got, key=str) == sorted((tuple(map(plain, r)) for r in found), key=str)
