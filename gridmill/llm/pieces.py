@@ -350,7 +350,7 @@ def _rows(codec: Codec, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def encode_documents(docs: DataFrame, model: Broadcast, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text as an array column; one of that name is replaced."""
     docs = docs.drop(ids)
-    at, schema = docs.columns.index(text), docs.schema.add(ids, T.ArrayType(T.IntegerType()))
+    at, schema = docs.columns.index(text), T.StructType([*docs.schema, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model.value)
@@ -365,7 +365,7 @@ def encode_documents(docs: DataFrame, model: Broadcast, text: str = "text", ids:
 def decode_documents(rows: DataFrame, model: Broadcast, ids: str = "ids", text: str = "text") -> DataFrame:
     """``rows`` with the text of each array of ids; null arrays give empty texts."""
     rows = rows.drop(text)
-    at, schema = rows.columns.index(ids), rows.schema.add(text, "string")
+    at, schema = rows.columns.index(ids), T.StructType([*rows.schema, T.StructField(text, T.StringType())])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model.value)
