@@ -85,11 +85,12 @@ def deltas(source: DataFrame, target: DataFrame, key: str, updated: str, exclude
 
 def apply_deltas(target: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """The target after the updates: rows that were updated take the source's columns and
-    are marked as migrated; nothing is inserted."""
-    new = found.where("outcome = 'updated'").select(key, *[F.col(c).alias(f"_new_{c}") for c in found.columns if c in target.columns and c != key], F.lit(True).alias("_hit"))
+    are marked as migrated, as they stay if they were; nothing is inserted."""
+    marked = F.coalesce("is_migrated", F.lit(0)) if "is_migrated" in target.columns else F.lit(0)
+    new = found.where("outcome = 'updated'").select(key, *[F.col(c).alias(f"_new_{c}") for c in found.columns if c in target.columns and c not in (key, "is_migrated")], F.lit(True).alias("_hit"))
     joined = target.join(new, key, "left")
-    held = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if f"_new_{c}" in new.columns else F.col(c) for c in target.columns if c != key]
-    return joined.select(key, *held, F.when(F.col("_hit"), 1).otherwise(0).alias("is_migrated"))
+    held = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if f"_new_{c}" in new.columns else F.col(c) for c in target.columns if c not in (key, "is_migrated")]
+    return joined.select(key, *held, F.when(F.col("_hit"), 1).otherwise(marked).alias("is_migrated"))
 
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], updated: str | None = None) -> DataFrame:

@@ -6,6 +6,8 @@ separate call, so that a dry run is the same plan.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,22 +33,32 @@ def first_valid_first(batch: DataFrame, key: str, reason: Column, second: str, o
     valid row). The order of these three tests decides: an invalid row blocks no second key."""
     first = batch.withColumn("_again", _nth(key, F.col(order)) > 1)
     checked = first.withColumn("_invalid", F.when(~F.col("_again"), reason)).withColumn("_valid", ~F.col("_again") & F.col("_invalid").isNull())
-    # Only valid rows count among those of a second key; the others stand in groups of their own.
-    group = F.when(F.col("_valid") & F.col(second).isNotNull(), F.concat(F.lit("key:"), F.col(second).cast("string"))).otherwise(F.concat(F.lit("row:"), F.col(order).cast("string")))
-    grouped = checked.withColumn("_group", group).withColumn("_second_again", F.col("_valid") & (_nth("_group", F.col(order)) > 1))
+    grouped = checked.withColumn("_group", own_group(F.col("_valid") & F.col(second).isNotNull(), second, order)).withColumn("_second_again", F.col("_valid") & (_nth("_group", F.col(order)) > 1))
     return grouped.drop("_valid", "_group")
 
 
+def own_group(counts: Column, key: str, order: str) -> Column:
+    """Rows that count go by ``key``; the others stand in groups of their own."""
+    return F.when(counts, F.concat(F.lit("key:"), F.col(key).cast("string"))).otherwise(F.concat(F.lit("row:"), F.col(order).cast("string")))
+
+
+def lead_reason(staged: DataFrame) -> Column:
+    return F.concat(F.lit("Validation failed: "), first_reason(staged, LEAD_REQUIRED, LEAD_ALLOWED))
+
+
 def migrate_leads(staged: DataFrame, loaded: DataFrame, order: str) -> DataFrame:
     """In order: the same lead again; validation; the same phone again among valid leads;
     leads or phones that are loaded (the phone's reason wins). A phone first seen on an
     invalid lead blocks none; one of a lead that is rejected later does."""
-    reason = F.concat(F.lit("Validation failed: "), first_reason(staged, LEAD_REQUIRED, LEAD_ALLOWED))
-    phones = first_valid_first(staged, "leadId", reason, "mobilePhone", order)
+    return lead_outcomes(first_valid_first(staged, "leadId", lead_reason(staged), "mobilePhone", order), loaded, staged.columns)
+
+
+def lead_outcomes(phones: DataFrame, loaded: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Outcome and reason of leads that have been held against each other."""
     there = loaded_reason(phones, [(loaded, ["leadId"], F.lit("Duplicate leadId")), (loaded, ["mobilePhone"], F.concat(F.lit("Duplicate mobilePhone: "), F.col("mobilePhone")))])
     outcome = F.when(F.col("_again"), "duplicate").when(F.col("_invalid").isNotNull(), "invalid").when(F.col("_second_again") | F.col("failure_reason").isNotNull(), "duplicate").otherwise("inserted")
     why = F.when(F.col("_again"), "Duplicate leadId within staging batch").when(F.col("_invalid").isNotNull(), F.col("_invalid")).when(F.col("_second_again"), F.concat(F.lit("Duplicate mobilePhone within batch: "), F.col("mobilePhone"))).otherwise(F.col("failure_reason"))
-    return there.withColumns({"outcome": outcome, "failure_reason": why}).select(*staged.columns, "outcome", "failure_reason")
+    return there.withColumns({"outcome": outcome, "failure_reason": why}).select(*columns, "outcome", "failure_reason")
 
 
 def migrate_kyc(staged: DataFrame, loaded: DataFrame, leads: DataFrame, order: str) -> DataFrame:

@@ -66,14 +66,21 @@ def _(t: Tables) -> DataFrame:
     return found.select("lead_id", "seq", "part_ref", outcome.alias("outcome"))
 
 
-@query("D6_migrate_leads", f"""WITH {_STAGED} SELECT leadId, CASE WHEN bad IS NOT NULL THEN 'invalid' WHEN n > 1 OR has_phone OR has_id THEN 'duplicate' ELSE 'inserted' END AS outcome,
- CASE WHEN bad IS NOT NULL THEN 'Validation failed: ' || bad WHEN n > 1 THEN 'Duplicate mobilePhone within batch: ' || mobilePhone WHEN has_phone THEN 'Duplicate mobilePhone: ' || mobilePhone WHEN has_id THEN 'Duplicate leadId' END AS failure_reason FROM c3""", "leads_src")
-def _(t: Tables) -> DataFrame:
+D6_SQL = f"""WITH {_STAGED} SELECT leadId, CASE WHEN bad IS NOT NULL THEN 'invalid' WHEN n > 1 OR has_phone OR has_id THEN 'duplicate' ELSE 'inserted' END AS outcome,
+ CASE WHEN bad IS NOT NULL THEN 'Validation failed: ' || bad WHEN n > 1 THEN 'Duplicate mobilePhone within batch: ' || mobilePhone WHEN has_phone THEN 'Duplicate mobilePhone: ' || mobilePhone WHEN has_id THEN 'Duplicate leadId' END AS failure_reason FROM c3"""
+
+
+def staged_leads(t: Tables) -> DataFrame:
     s = F.col("status")
-    staged = t.leads_src.select(
+    return t.leads_src.select(
         F.col("lead_id").alias("leadId"), F.col("full_name").alias("firstName"), F.col("phone_raw").alias("mobilePhone"), F.lit(1).alias("companyRegionId"), F.col("created_at").alias("createdAt"), F.col("updated_at").alias("updatedAt"), F.col("id_number").alias("leadSourceId"),
         F.lit("CASH").alias("paymentMethod"), F.when(s == "New", "NEW").when(s == "Converted", "CONVERTED").otherwise("Qualified").alias("status"), F.lit("CONVERTED").alias("leadStatus"), F.lit("NOW").alias("purchaseDate"), F.lit("INDIVIDUAL").alias("entityType"),
     )
+
+
+@query("D6_migrate_leads", D6_SQL, "leads_src")
+def _(t: Tables) -> DataFrame:
+    staged = staged_leads(t)
     loaded = staged.where("leadId LIKE '%7'").select("leadId", "mobilePhone")
     return migration.migrate_leads(staged, loaded, "leadId").select("leadId", "outcome", "failure_reason")
 

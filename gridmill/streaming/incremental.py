@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmill.operators.diff import apply_deltas, deltas
+from gridmill.sources.merged import MergedTable
 
 
 def resume_load(spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, classify: Callable[[DataFrame], DataFrame], files_per_batch: int = 100) -> None:
@@ -30,20 +31,32 @@ def batch_statistics(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).groupBy("batch", "outcome").agg(F.count("*").alias("n")).orderBy("batch", "outcome")
 
 
-def sync_updates(spark: SparkSession, source: str, schema: T.StructType, versions: str, checkpoint: str, key: str, updated: str) -> None:
-    """Bring a table, kept as numbered versions under ``versions`` with version 0 to start
-    from, up to date with new files. Each batch reads the version before its own."""
+def sync_updates(spark: SparkSession, source: str, schema: T.StructType, table: MergedTable, checkpoint: str, key: str, updated: str) -> None:
+    """Bring a stored table up to date with new files: newer rows' changed fields, no inserts.
+
+    Only buckets with such rows are written anew. Each commit notes the batch that it took
+    in and the latest update that it has seen; a batch that is tried again after its commit
+    is left out, one that failed before it finds the table as it was."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        target = spark.read.parquet(f"{versions}/version={number}")
+        if int(table.manifest().notes.get("batch", -1)) >= number:
+            return
         newest = rows.withColumn("_nth", F.row_number().over(_newest(key, updated, rows.columns))).where("_nth = 1").drop("_nth")
-        found = deltas(newest, target, key, updated, exclude=("is_migrated",))
-        apply_deltas(target.drop("is_migrated"), found, key).write.mode("overwrite").parquet(f"{versions}/version={number + 1}")
+        found = deltas(newest, table.read(), key, updated, exclude=("is_migrated",)).where("outcome = 'updated'").persist()
+        try:
+            seen = [t for t in (table.manifest().notes.get("watermark"), _text(watermark(rows, updated))) if t]
+            table.merge(found, lambda held, changed: apply_deltas(held, changed, key), {"batch": str(number), "watermark": max(seen, default="")})
+        finally:
+            found.unpersist()
 
     stream = spark.readStream.schema(schema).parquet(source)
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def _text(moment) -> str | None:
+    return None if moment is None else moment.isoformat(" ", "microseconds")
+
+
 def _newest(key: str, updated: str, columns: list[str]):
     """Newest first; rows of one time by a hash of all they hold, so that reruns agree."""
     from pyspark.sql import Window
