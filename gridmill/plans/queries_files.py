@@ -9,7 +9,7 @@ from gridmill.operators import aggregates, diff
 from gridmill.plans import queries_jobs
 from gridmill.plans.fixtures import Tables
 from gridmill.plans.registry import query
-from gridmill.sources import files, tables
+from gridmill.sources import files, numbered, tables
 from gridmill.sources.merged import MergedTable
 from gridmill.streaming import first_seen, incremental
 
@@ -55,6 +55,14 @@ def _(t: Tables) -> DataFrame:
     return exported.agg(least.cast("bigint").alias("least_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
+@query("S6_numbered_export", "SELECT (i // 5000 + 1)::INT AS part, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) GROUP BY 1")
+def _(t: Tables) -> DataFrame:
+    path = tables.scratch_folder(t.spark, "export")
+    numbered.export_numbered(t.orders, path, order=["o_orderkey"])
+    part = F.regexp_extract(F.input_file_name(), r"batch_(\d+)\.parquet$", 1).cast("int")
+    return t.spark.read.parquet(path).groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
+
+
 @query("S10_monthly_append", "SELECT strftime(l_shipdate, '%Y%m')::INT AS yyyymm, count(*) AS n FROM lineitem GROUP BY 1")
 def _(t: Tables) -> DataFrame:
     path = tables.scratch_folder(t.spark, "monthly")
