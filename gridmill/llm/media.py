@@ -41,9 +41,10 @@ ROW = 192
 #: Bytes of archive in a partition.
 RANGE = 8 << 20
 TRIES = 4
-SCHEMA = "doc_id long, n_bytes long, media binary, payload binary"
+SCHEMA = "doc_id {}, n_bytes long, media binary, payload binary"
 LISTING = "archives.json"
-_HEAD = struct.Struct("<4sBqQQI")  # mark, whether the id is null, id, payload's own bytes, media bytes, crc of the media
+_HEAD = struct.Struct("<4sBQQQI")  # mark, kind of the id, its bytes, payload's own bytes, media bytes, crc of id and media
+_NO_ID, _NUMBER, _NAME = 0, 1, 2
 _MARK = b"MEMB"
 _TAIL = struct.Struct("<QQ4s")  # offset and length of the directory
 _PNG = b"\x89PNG\r\n\x1a\n"  # fixed value: how such images begin
@@ -105,20 +106,21 @@ class Damaged(IOError):
     pass
 
 
-def read_member(source, offset: int) -> tuple[int | None, int, bytes, int]:
+def read_member(source, offset: int) -> tuple[int | str | None, int, bytes, int]:
     """(id, payload's own bytes, media, offset of the next member) of the member at an offset."""
     source.seek(offset)
     head = source.read(_HEAD.size)
     if len(head) < _HEAD.size:
         raise Damaged(f"no member at {offset}")
-    mark, no_id, doc_id, own, size, crc = _HEAD.unpack(head)
-    media = source.read(size) if mark == _MARK else b""
-    if mark != _MARK or len(media) < size or zlib.crc32(media) != crc:
+    mark, kind, name, own, size, crc = _HEAD.unpack(head)
+    body = source.read(name + size) if mark == _MARK else b""
+    if mark != _MARK or len(body) < name + size or zlib.crc32(body) != crc:
         raise Damaged(f"the member at {offset} is damaged")
-    return None if no_id else doc_id, own, media, offset + _HEAD.size + size
+    doc_id = None if kind == _NO_ID else int(body[:name]) if kind == _NUMBER else body[:name].decode()
+    return doc_id, own, body[name:], offset + _HEAD.size + name + size
 
 
-def members(open_source, first: int, last: int, tries: int = TRIES, wait: float = 0.2) -> Iterator[tuple[int | None, int, bytes]]:
+def members(open_source, first: int, last: int, tries: int = TRIES, wait: float = 0.2) -> Iterator[tuple[int | str | None, int, bytes]]:
     """The members in [first, last). ``open_source`` opens the archive anew for another try."""
     source, at = open_source(), first
     try:
@@ -140,8 +142,8 @@ def members(open_source, first: int, last: int, tries: int = TRIES, wait: float
 
 
 class ArchiveWriter(DataSourceArrowWriter):
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, folder: str, ids: str = "long"):
+        self.folder, self.ids = folder, ids
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = filesystem(self.folder)
@@ -155,8 +157,9 @@ class ArchiveWriter(DataSourceArrowWriter):
                     starts.append(at)
                     due = at + RANGE
                 media = to_image(payload_of(text))
-                sink.write(_HEAD.pack(_MARK, doc_id is None, doc_id or 0, len(text), len(media), zlib.crc32(media)) + media)
-                at += _HEAD.size + len(media)
+                label, kind = b"" if doc_id is None else str(doc_id).encode(), _NO_ID if doc_id is None else _NUMBER if isinstance(doc_id, int) else _NAME
+                sink.write(_HEAD.pack(_MARK, kind, len(label), len(text), len(media), zlib.crc32(media, zlib.crc32(label))) + label + media)
+                at += _HEAD.size + len(label) + len(media)
         if sink is None:
             return Written(None)
         directory = np.array(starts, "<u8").tobytes()
@@ -168,20 +171,19 @@ class ArchiveWriter(DataSourceArrowWriter):
         fs, root = filesystem(self.folder)
         fs.create_dir(root, recursive=True)
         with fs.open_output_stream(f"{root}/{LISTING}", compression=None) as sink:
-            sink.write(json.dumps([m.archive for m in messages if m is not None and m.archive]).encode())
+            sink.write(json.dumps({"ids": self.ids, "archives": [m.archive for m in messages if m is not None and m.archive]}).encode())
 
     def abort(self, messages: list) -> None:
         """Nothing to undo: what is not listed is not read."""
 
 
 class ArchiveReader(DataSourceReader):
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, folder: str, ids: str = "long"):
+        self.folder, self.ids = folder, ids
 
     def partitions(self) -> list[ByteRange]:
         fs, root = filesystem(self.folder)
-        with fs.open_input_stream(f"{root}/{LISTING}") as source:
-            names = json.loads(source.read())
+        names = listing(self.folder)["archives"]
         out = []
         for name in names:
             with fs.open_input_file(f"{root}/{name}") as source:
@@ -194,7 +196,7 @@ class ArchiveReader(DataSourceReader):
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(self.folder)
-        schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary()), ("payload", pa.binary())])
+        schema = pa.schema([("doc_id", pa.int64() if self.ids == "long" else pa.string()), ("n_bytes", pa.int64()), ("media", pa.binary()), ("payload", pa.binary())])
         held: list[tuple] = []
         size = 0
         if partition.archive:
@@ -211,20 +213,31 @@ class ArchiveReader(DataSourceReader):
 
 class MediaArchive(DataSource):
     """``spark.read.format("media_archive").option("path", folder)``, and the same to write
-    (doc_id long, text string)."""
+    (doc_id long or string, text string)."""
 
     @classmethod
     def name(cls) -> str:
         return "media_archive"
 
     def schema(self) -> str:
-        return SCHEMA
+        return SCHEMA.format(listing(self.options["path"])["ids"])
 
     def reader(self, schema) -> ArchiveReader:
-        return ArchiveReader(self.options["path"])
+        return ArchiveReader(self.options["path"], _ids(schema))
 
     def writer(self, schema, overwrite: bool) -> ArchiveWriter:
-        return ArchiveWriter(self.options["path"])
+        return ArchiveWriter(self.options["path"], _ids(schema))
+
+
+def _ids(schema) -> str:
+    return "long" if schema["doc_id"].dataType.typeName() == "long" else "string"
+
+
+def listing(folder: str) -> dict:
+    """Names of the archives, and the type of their ids."""
+    fs, root = filesystem(folder)
+    with fs.open_input_stream(f"{root}/{LISTING}") as source:
+        return json.loads(source.read())
 
 
 def register(spark: SparkSession) -> None:
@@ -233,12 +246,16 @@ def register(spark: SparkSession) -> None:
 
 
 def write_archives(docs: DataFrame, folder: str, text: str = "text") -> None:
+    """Whole numbers stay numbers; ids of other types are written as text."""
     register(docs.sparkSession)
-    docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).write.format("media_archive").option("path", folder).mode("append").save()
+    kind = "long" if docs.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long") else "string"
+    docs.select(F.col("doc_id").cast(kind).alias("doc_id"), F.col(text).alias("text")).write.format("media_archive").option("path", folder).mode("append").save()
 
 
-def media_features(media: DataFrame) -> DataFrame:
-    """Sizes, checksums and the feature string of archived members."""
+def media_features(media: DataFrame, kind: str | None = None) -> DataFrame:
+    """Sizes, checksums and the feature string of archived members; ids in the type ``kind``,
+    or as they were written."""
+    stored = media.schema["doc_id"].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,10 +268,10 @@ def media_features(media: DataFrame) -> DataFrame:
                 names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
             )
 
-    return media.select("doc_id", "n_bytes", "media", "payload").mapInArrow(tidy(measure), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.select("doc_id", "n_bytes", "media", "payload").mapInArrow(tidy(measure), f"doc_id {stored}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string").withColumn("doc_id", F.col("doc_id").cast(kind or stored))
 
 
 def op7_media(spark, sf_dir: str) -> DataFrame:
-    folder = scratch(spark, "media")
-    write_archives(table(spark, sf_dir, "documents"), folder)
-    return media_features(spark.read.format("media_archive").option("path", folder).load())
+    folder, docs = scratch(spark, "media"), table(spark, sf_dir, "documents")
+    write_archives(docs, folder)
+    return media_features(spark.read.format("media_archive").option("path", folder).load(), docs.schema["doc_id"].dataType.simpleString())

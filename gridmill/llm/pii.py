@@ -44,6 +44,10 @@ KINDS = ("email", "ip", "card", "phone")
 _DIGIT = re.compile("[0-9]")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: The same, found in one pass: a match can start only where a run of digits does, since the one before ended with its run.
+_IP_RUNS = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: What stands before a learnt span's kind; they are listed after the base.
@@ -75,13 +79,29 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _emails(text: str) -> list[tuple[int, int]]:
+    """What ``_EMAIL`` finds from left to right, from each @ to both sides: a search from every
+    letter would read a long run anew each time."""
+    out, last, seen = [], 0, 0  # the last match's end, and the sign after the last @
+    at = text.find("@")
+    while at >= 0:
+        low = max(last, seen)
+        start = low + len(text[low:at].rstrip(_LOCAL))
+        if start < at and (m := _DOMAIN.match(text, at + 1)):
+            out.append((start, m.end()))
+            last = m.end()
+        seen = at + 1
+        at = text.find("@", max(seen, last))
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end) of the base forms, by kind, then start; places are code points."""
     out = []
     if "@" in text:
-        out += [(0, *m.span()) for m in _EMAIL.finditer(text)]
+        out += [(0, *span) for span in _emails(text)]
     if _DIGIT.search(text):
-        for m in _IP.finditer(text):
+        for m in _IP_RUNS.finditer(text):
             if all(len(p := part.lstrip("0")) <= 3 and int(p or 0) <= 255 for part in m.group().split(".")):
                 out.append((1, *m.span()))
         for m in _CARD.finditer(text):
@@ -119,27 +139,42 @@ class _Words:
         self.text = text
         self.edges = [m.span() for m in _WORD.finditer(text)]
         self.starts = [a for a, _ in self.edges]
+        self.found: dict[tuple[int, int], tuple[bytes, int]] = {}
+        self.at: tuple[int, int] | None = None
+        self.around: list[int] = []
 
     def of(self, at: int) -> int:
         """Number of the word that holds a place."""
         return bisect.bisect_right(self.starts, at) - 1
 
     def _near(self, k: int, step: int) -> tuple[bytes, int]:
-        """The next word to one side that is more than signs."""
-        k += step
-        while 0 <= k < len(self.edges):
+        """The next word to one side that is more than signs. What was found is kept for all
+        words on the way, so that many places beside a long word read it once."""
+        passed, out = [], None
+        while out is None:
+            if (k, step) in self.found:
+                out = self.found[k, step]
+                break
+            passed.append(k)
+            k += step
+            if not 0 <= k < len(self.edges):
+                out = b"", k
+                break
             a, b = self.edges[k]
             bare = _bare(self.text[a:b].encode())
-            if bare:
-                return bare, k
-            k += step
-        return b"", k
+            out = (bare, k) if bare else None
+        for p in passed:
+            self.found[p, step] = out
+        return out
 
     def patterns(self, start: int, end: int) -> list[int]:
-        before, k = self._near(self.of(start), -1)
-        before2, _ = self._near(k, -1)
-        after, _ = self._near(self.of(end - 1), 1)
-        return _patterns(before2, before, after)
+        first, last = self.of(start), self.of(end - 1)
+        if (first, last) != self.at:  # else what stands around is the same as for the place before
+            before, k = self._near(first, -1)
+            before2, _ = self._near(k, -1)
+            after, _ = self._near(last, 1)
+            self.at, self.around = (first, last), _patterns(before2, before, after)
+        return self.around
 
     def trimmed(self, k: int) -> tuple[int, int]:
         start, end = self.edges[k]
@@ -168,14 +203,12 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for kind, a, b in base:
                 words = words or _Words(text)
                 own.append({"kind": kind, "start": a, "end": b, "word": _word_hash(text[a:b]), "patterns": words.patterns(a, b)})
-            last = -1
-            for m in _HINT.finditer(text):
+            m = _HINT.search(text)
+            while m:
                 words = words or _Words(text)
                 k = words.of(m.start())
-                if k == last:
-                    continue
-                last = k
                 a, b = words.trimmed(k)
+                m = _HINT.search(text, words.edges[k][1])
                 # Spans of one kind don't overlap: those of four kinds that reach past a start are few.
                 near = ends[max(0, bisect.bisect_left(firsts, a) - len(KINDS)) : bisect.bisect_left(firsts, b)]
                 if a < b and not any(x < b and a < y for x, y in near):
