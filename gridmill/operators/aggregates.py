@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridmill.operators.quantiles import modes, quantiles, value_counts, wide_quantiles
+
 
 def count_by(df: DataFrame, *columns: str, name: str = "n") -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias(name))
@@ -57,18 +59,25 @@ def row_count_comparison(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """A row per column: count, distinct, top and its frequency, mean, deviation, quartiles."""
-    def one(f: T.StructField) -> DataFrame:
-        c, number = F.col(f.name), isinstance(f.dataType, T.NumericType)
-        none = F.lit(None).cast("double")
-        top = F.mode(c, True)
-        stats = df.agg(
-            F.count(c).alias("n"), F.count_distinct(c).alias("n_distinct"), top.cast("string").alias("top"),
-            *[(x if number else none).cast("double").alias(n) for n, x in (("mean", F.avg(c) if number else none), ("std", F.stddev_samp(c) if number else none), ("minimum", F.min(c)), ("q1", F.percentile(c, F.lit(0.25)) if number else none), ("median", F.median(c) if number else none), ("q3", F.percentile(c, F.lit(0.75)) if number else none), ("maximum", F.max(c)))],
-        )
-        return stats.select(F.lit(f.name).alias("column_name"), *stats.columns)
-
-    return reduce(DataFrame.unionByName, [one(f) for f in df.schema.fields])
+    """A row per column: count, distinct, top, mean, deviation, quartiles. One pass for the
+    counts and moments, one for the values' counts, two for the quartiles, of all columns."""
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    none = F.lit(None).cast("double")
+
+    def one(name: str) -> Column:
+        c, number = F.col(name), name in numbers
+        moments = {"mean": F.avg(c) if number else none, "std": F.stddev_samp(c) if number else none, "minimum": F.min(c) if number else none, "maximum": F.max(c) if number else none}
+        return F.struct(F.lit(name).alias("column_name"), F.count(c).alias("n"), *[x.cast("double").alias(k) for k, x in moments.items()])
+
+    moments = df.agg(F.array(*[one(c) for c in df.columns]).alias("rows")).select(F.inline("rows"))
+    tops = modes(value_counts(df, df.columns)).select(F.col("column").alias("_top"), "n_distinct", "top")
+    out = moments.join(tops, F.col("column_name") == F.col("_top"), "left")
+    if numbers:
+        found = quantiles(df, numbers, (0.25, 0.5, 0.75)).groupBy(F.col("column").alias("_of")).agg(*[F.max(F.when(F.col("share") == s, F.col("value"))).alias(n) for n, s in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
+        out = out.join(found, F.col("column_name") == F.col("_of"), "left")
+    else:
+        out = out.withColumns({n: none for n in ("q1", "median", "q3")})
+    return out.select("column_name", "n", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), "top", "mean", "std", "minimum", "q1", "median", "q3", "maximum")
 
 
 def normalised_crosstab(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
@@ -83,14 +92,14 @@ def histogram_density(df: DataFrame, group: str, value: str, low: float, width:
 
 
 def five_numbers(df: DataFrame, group: str, value: str) -> DataFrame:
-    five = F.percentile(value, F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)])).alias("five")
-    return df.groupBy(group).agg(five).select(group, *[F.col("five")[i].alias(n) for i, n in enumerate(("minimum", "q1", "median", "q3", "maximum"))])
+    names = ("minimum", "q1", "median", "q3", "maximum")
+    return wide_quantiles(df, {n: (value, i / 4) for i, n in enumerate(names)}, [group])
 
 
 def fill_with_group_median(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Missing values take their group's median, which an aggregation finds; a group as
-    large as the table needs no task of its own."""
-    medians = df.groupBy(group).agg(F.median(value).alias("_median"))
+    """Missing values take their group's median; a group as large as the table needs no task
+    of its own."""
+    medians = wide_quantiles(df, {"_median": (value, 0.5)}, [group])
     joined = df.join(medians.withColumnRenamed(group, "_group"), df[group].eqNullSafe(F.col("_group")), "left")
     return joined.withColumn(value, F.coalesce(F.col(value).cast("double"), F.col("_median"))).select(*df.columns)
 

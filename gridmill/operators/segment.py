@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmill.operators.dedupe import average_rank
+from gridmill.operators.quantiles import modes, value_counts, wide_quantiles
 
 #: Starts of each clustering, of which the one of lowest cost counts.
 STARTS = 10
@@ -24,10 +25,18 @@ _FITS = 6
 
 
 def impute(df: DataFrame, key: str) -> DataFrame:
-    """Texts take their mode (the smallest on ties), numbers their median; one pass finds all."""
-    fields = [f for f in df.schema.fields if f.name != key]
-    stats = df.agg(*[(F.mode(f.name, True) if isinstance(f.dataType, T.StringType) else F.median(f.name)).alias(f.name) for f in fields]).first()
-    return df.fillna({f.name: stats[f.name] for f in fields if stats[f.name] is not None})
+    """Texts take their mode (the smallest on ties), numbers their median, as subqueries of one
+    row: nothing runs while the plan is built."""
+    texts = [f.name for f in df.schema.fields if f.name != key and isinstance(f.dataType, T.StringType)]
+    numbers = [f.name for f in df.schema.fields if f.name != key and isinstance(f.dataType, T.NumericType)]
+    filled = {}
+    if texts:
+        tops = modes(value_counts(df, texts)).groupBy().agg(*[F.max(F.when(F.col("column") == c, F.col("top"))).alias(c) for c in texts])
+        filled |= {c: F.coalesce(c, tops.select(c).scalar()) for c in texts}
+    if numbers:
+        medians = wide_quantiles(df, {c: (c, 0.5) for c in numbers})
+        filled |= {c: F.coalesce(c, medians.select(c).scalar().cast(df.schema[c].dataType)) for c in numbers}
+    return df.withColumns(filled)
 
 
 def label_codes(df: DataFrame, column: str, out: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.operators import aggregates, dedupe, geo, rules
+from gridmill.operators import aggregates, dedupe, geo, quantiles, rules
 from gridmill.plans import workflow
 from gridmill.plans.fixtures import Tables
 from gridmill.plans.registry import query
@@ -236,7 +236,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("A8_median", "SELECT income_level, median(balance) AS balance FROM persona_src GROUP BY income_level", "persona_src")
 def _(t: Tables) -> DataFrame:
-    return t.persona_src.groupBy("income_level").agg(F.median("balance").alias("balance"))
+    return quantiles.wide_quantiles(t.persona_src, {"balance": ("balance", 0.5)}, ["income_level"])
 
 
 @query("A9_mode", "SELECT income_level, water_source AS water FROM (SELECT income_level, water_source, row_number() OVER (PARTITION BY income_level ORDER BY count(*) DESC, water_source) AS n FROM persona_src WHERE water_source IS NOT NULL GROUP BY 1, 2) WHERE n = 1", "persona_src")
