@@ -34,10 +34,6 @@ def circle(lat: Column, lon: Column, radius_km: float, step: int = 10) -> Column
     return F.transform(angle, lambda a: F.struct((lon + r * F.cos(F.radians(a))).alias("lon"), (lat + r * F.sin(F.radians(a))).alias("lat")))
 
 
-def grid_cell(x: Column, size: float) -> Column:
-    return F.floor(x / size).cast("long")
-
-
 def hexagon(lat: Column, lon: Column, size: float) -> tuple[Column, Column]:
     """Column and row of the hexagon (pointed top, ``size`` degrees from centre to corner)
     whose centre is nearest: axial coordinates, rounded in the cube."""

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gridmill.sources.tables import scratch_folder
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -36,16 +39,63 @@ def average_rank(value: Column, *partition: str) -> Column:
     return (F.rank().over(over.orderBy(value.desc())) + (ties - 1) / 2).cast("int")
 
 
+def average_ranks(df: DataFrame, value: str, out: str) -> DataFrame:
+    """``df`` with the descending rank of ``value`` over all rows, ties sharing their mean,
+    without its fraction, nulls last. Counts by value are summed over ranges of values: each
+    task ranks its range and learns from a row a range how many rows come before."""
+    spark = df.sparkSession
+    path = scratch_folder(spark, "ranks")  # ranges are drawn from a sample: they must not change between two uses
+    counts = df.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    counts.repartitionByRange(F.col("_value").desc_nulls_last()).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    held = spark.read.schema("_value " + df.schema[value].dataType.simpleString() + ", _n long, _range int").parquet(path)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    starts = held.groupBy("_range").agg(F.sum("_n").alias("_all")).select("_range", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_range").orderBy(F.col("_value").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_start") + F.coalesce(F.sum("_n").over(within), F.lit(0)) + 1
+    ranks = held.join(starts, "_range").select("_value", (first + (F.col("_n") - 1) / 2).cast("int").alias(out))
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("_value"))).select(*df.columns, out)
+
+
+_PLAIN = (T.IntegralType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+#: Places of a key filter: 2 MB of bits, in rows of 4 KB.
+FILTER_BITS = 24
+
+
+def _places(keys: Sequence[str], log_bits: int) -> list[Column]:
+    return [F.xxhash64(F.lit(i), *keys).bitwiseAND(F.lit((1 << log_bits) - 1)) + 1 for i in (1, 2)]
+
+
+def possible(large: DataFrame, small: DataFrame, keys: Sequence[str], log_bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of ``large`` whose keys may be in ``small``: all that are, and some others. A
+    Bloom filter of two places a key is put together where the small side's rows lie, and
+    is broadcast: its size is given by ``log_bits``, whatever the number of keys. Where equal
+    keys could have different hashes (other types, collations, doubles), and for a stream's
+    small side, ``large`` stays as it is."""
+    kinds = [(large.schema[k].dataType, small.schema[k].dataType) for k in keys]
+    if small.isStreaming or any(a != b or not isinstance(a, _PLAIN) or isinstance(a, T.StringType) and not a.isUTF8BinaryCollation() for a, b in kinds):
+        return large
+    places = small.select(*keys).select(F.explode(F.array(*_places(keys, log_bits))).alias("place"))
+    bits = places.groupBy(F.expr("bitmap_bucket_number(place)").alias("_bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("_bits"))
+    out = large
+    for place in _places(keys, log_bits):
+        out = out.withColumn("_place", place)
+        set_ = F.expr("shiftright(CAST(conv(hex(substring(_bits, CAST(bitmap_bit_position(_place) DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), CAST(bitmap_bit_position(_place) % 8 AS INT)) & 1 = 1")
+        out = out.join(F.broadcast(bits), (F.expr("bitmap_bucket_number(_place)") == F.col("_bucket")) & set_, "left_semi").drop("_place")
+    return out
+
+
 def not_loaded(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(target.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows whose key the target lacks. Of the target, which may be far larger than a batch,
+    only rows that may match one are shuffled."""
+    return df.join(possible(target.select(*keys), df, keys), list(keys), "left_anti")
 
 
 def loaded_reason(df: DataFrame, tests: Sequence[tuple[DataFrame, Sequence[str], Column]]) -> DataFrame:
     """``df`` with ``failure_reason``: for each (target, keys, reason), in rising order of
-    precedence, whether the keys are in the target."""
+    precedence, whether the keys are in the target. Of targets only possible matches move."""
     out, reasons = df, []
     for i, (target, keys, reason) in enumerate(tests):
-        there = target.select(*[F.col(k).alias(f"_k{i}_{k}") for k in keys]).distinct().withColumn(f"_there{i}", F.lit(True))
+        there = possible(target.select(*keys), df, keys).select(*[F.col(k).alias(f"_k{i}_{k}") for k in keys]).distinct().withColumn(f"_there{i}", F.lit(True))
         on = [out[k] == there[f"_k{i}_{k}"] for k in keys]
         out = out.join(there, on, "left")
         reasons.insert(0, F.when(F.col(f"_there{i}"), reason))

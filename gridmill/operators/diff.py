@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridmill.functions.text import row_as_json
 from gridmill.operators.dedupe import one_per_key
+from gridmill.operators.digests import where_differing
 
 # Names that are taken as keys when none is known, in order.
 USUAL_KEYS = ("id", "uuid", "user_id", "email", "username")
@@ -47,11 +48,19 @@ def _changed(columns: Sequence[str]) -> Column:
 
 
 def differing(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows on both sides that differ: keys, the two values of each column."""
+    """Rows on both sides that differ: keys, the two values of each column. Only where digests
+    of the tables differ are their rows joined."""
+    source, target = where_differing(source, target, keys)
     joined, common = keyed_outer(source, target, keys)
     return joined.where((F.col("side") == "both") & _changed(common)).drop("side")
 
 
+def one_sided(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that only one side has, and which, found in the same way."""
+    joined, _ = keyed_outer(*where_differing(source, target, keys), keys)
+    return joined.where(F.col("side") != "both").select(*keys, "side")
+
+
 def differing_long(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A row for each key and column that differs, values as text."""
     rows = differing(source, target, keys)

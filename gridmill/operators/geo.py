@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.functions.places import KM_PER_DEGREE, circle, distance_km, grid_cell, hexagon, valid_place
+from gridmill.functions.places import KM_PER_DEGREE, circle, distance_km, hexagon, valid_place
 
 
 def normal_points(df: DataFrame, lat: str, lon: str, *columns: str) -> DataFrame:
@@ -17,16 +17,54 @@ def normal_points(df: DataFrame, lat: str, lon: str, *columns: str) -> DataFrame
     return out.where(valid_place(F.col("lat"), F.col("lon")))
 
 
-def within_distance(points: DataFrame, centres: DataFrame, km: float, point: str, centre: str) -> DataFrame:
-    """Pairs of a point and a centre at most ``km`` apart. Cells as wide as the distance are
-    matched by equality, each centre standing for its own cell and the eight around it, so
-    that only neighbours are measured."""
-    size = km / KM_PER_DEGREE
-    near = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    p = points.select(F.col(point).alias("point"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), grid_cell(F.col("lat"), size).alias("row"), grid_cell(F.col("lon"), size).alias("col"))
+#: Points of a leaf of the quadtree.
+LEAF_POINTS = 20_000
+#: Levels of the quadtree: the smallest cells are a quarter of the distance wide, each level's twice as wide as those below.
+TREE_LEVELS = 8
+
+
+def _smallest(value: str, size: float, shift: float) -> Column:
+    return F.floor((F.col(value) + shift) / size).cast("long")
+
+
+def quadtree(points: DataFrame, size: float, leaf_points: int = LEAF_POINTS, levels: int = TREE_LEVELS) -> DataFrame:
+    """The leaf of each smallest cell (row, col of width ``size``) that holds points: its level,
+    and in how many slices it is dealt. A leaf is the largest cell around with at most
+    ``leaf_points``; smallest cells with more, which space cannot divide, get slices.
+    Points are counted by smallest cell, and these counts summed level by level."""
+    counts = points.groupBy("row", "col").agg(F.count("*").alias("n"))
+    every = counts.select("row", "col", "n", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level"))
+    node = [F.expr("shiftright(row, level)").alias("up_row"), F.expr("shiftright(col, level)").alias("up_col")]
+    sums = every.groupBy("level", *node).agg(F.sum("n").alias("n"))
+    fits = sums.where((F.col("n") <= leaf_points) | (F.col("level") == 0)).select("level", "up_row", "up_col", F.ceil(F.col("n") / leaf_points).cast("int").alias("slices"))
+    found = every.select("row", "col", "level", *node).join(fits, ["level", "up_row", "up_col"])
+    return found.groupBy("row", "col").agg(F.max(F.struct("level", "slices")).alias("leaf")).select("row", "col", "leaf.level", "leaf.slices")
+
+
+def within_distance(points: DataFrame, centres: DataFrame, km: float, point: str, centre: str, leaf_points: int = LEAF_POINTS) -> DataFrame:
+    """Pairs of a point and a centre at most ``km`` apart, by the leaves of a quadtree over the
+    points: each point lies in one leaf (or in one of its slices, by hash), and a centre is
+    sent to the leaves that its square of ``km`` around touches. So however densely points
+    lie, about ``leaf_points`` of them share a key."""
+    size = km / KM_PER_DEGREE / 4
+    place = [_smallest("lat", size, 90.0).alias("row"), _smallest("lon", size, 180.0).alias("col")]
+    p = points.select(F.col(point).alias("point"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), *place)
+    cells = quadtree(p, size, leaf_points)
+    key = ["level", "leaf_row", "leaf_col", "slice"]
+    leaf = [F.expr("shiftright(row, level)").alias("leaf_row"), F.expr("shiftright(col, level)").alias("leaf_col")]
+    slice_ = F.expr("pmod(xxhash64(point, p_lat, p_lon), slices)").cast("int").alias("slice")
+    p = p.join(cells, ["row", "col"]).select("point", "p_lat", "p_lon", "level", *leaf, slice_)
+    leaves = cells.select("level", *leaf, "slices").distinct()
     c = centres.select(F.col(centre).alias("centre"), F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"))
-    c = c.withColumn("row", F.explode(F.transform(near, lambda i: grid_cell(F.col("c_lat"), size) + i))).withColumn("col", F.explode(F.transform(near, lambda i: grid_cell(F.col("c_lon"), size) + i)))
-    pairs = p.join(c, ["row", "col"]).withColumn("km", distance_km(F.col("p_lat"), F.col("p_lon"), F.col("c_lat"), F.col("c_lon")))
+    c = c.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(TREE_LEVELS - 1))))
+    # A hair more than the distance, so that rounding at a cell's edge loses nothing.
+    reach = 4 * size * (1 + 1e-9) + 1e-9
+    for axis, value, shift in (("row", "c_lat", 90.0), ("col", "c_lon", 180.0)):
+        low, high = (F.floor((F.col(value) + shift + sign * reach) / size).cast("long") for sign in (-1, 1))
+        c = c.withColumn("_low", low).withColumn("_high", high)
+        c = c.withColumn(f"leaf_{axis}", F.explode(F.expr("sequence(shiftright(_low, level), shiftright(_high, level))"))).drop("_low", "_high")
+    c = c.join(leaves, key[:3]).withColumn("slice", F.explode(F.expr("sequence(0, slices - 1)")))
+    pairs = p.join(c, key).withColumn("km", distance_km(F.col("p_lat"), F.col("p_lon"), F.col("c_lat"), F.col("c_lon")))
     return pairs.where(F.col("km") <= km).select("centre", "point", "p_lat", "p_lon", "km")
 
 

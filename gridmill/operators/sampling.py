@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Hexadecimal digits of a hash by which rows are counted: 65536 steps a stratum.
+STEP_DIGITS = 4
+
 
 def allocate(frame: DataFrame, strata: Sequence[str], n: int, least: int = 1) -> DataFrame:
     """strata..., available, allocated: ``n`` units over the strata by their sizes.
@@ -36,15 +39,31 @@ def allocate(frame: DataFrame, strata: Sequence[str], n: int, least: int = 1) ->
 
 
 def draw(frame: DataFrame, allocation: DataFrame, strata: Sequence[str], key: str, seed: int = 42) -> DataFrame:
-    """As many rows of each stratum as it was allocated, or all it has. The order is a hash
-    of the key and the seed: the same draw each time, none twice."""
-    on = None
+    """As many rows of each stratum as it was allocated, or all it has: those of the least
+    hashes of key and seed, the same draw each time, none twice.
+
+    Counts by the first ``STEP_DIGITS`` digits of the hash tell below which step all of a
+    stratum's rows are drawn; only rows of the one step that is drawn in part are ranked."""
     given = allocation.select(*[F.col(s).alias(f"_{s}") for s in strata], "allocated")
+    hashed = frame.withColumn("_hash", F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))).withColumn("_step", F.substring("_hash", 1, STEP_DIGITS))
+    counts = hashed.groupBy(*strata, "_step").agg(F.count("*").alias("_n")).join(given, _match(strata, "_"))
+    upto = F.sum("_n").over(Window.partitionBy(*strata).orderBy(F.col("_step").asc_nulls_first()))
+    # Of each stratum the first step with which it has enough rows, and how many of that step it needs.
+    steps = counts.withColumn("_upto", upto).where(F.col("_upto") >= F.col("allocated"))
+    steps = steps.groupBy(*[F.col(s).alias(f"_s_{s}") for s in strata]).agg(F.min(F.struct(F.col("_step").isNotNull().alias("known"), F.col("_step").alias("step"), (F.col("allocated") - F.col("_upto") + F.col("_n")).alias("need"))).alias("_last"))
+    met = hashed.join(given, _match(strata, "_")).join(steps, _match(strata, "_s_"), "left")
+    in_part = F.col("_last").isNotNull() & F.col("_step").eqNullSafe(F.col("_last.step"))
+    below = F.col("_last").isNull() | (F.col("_step") < F.col("_last.step")) | (F.col("_step").isNull() & F.col("_last.known"))
+    nth = F.row_number().over(Window.partitionBy(*strata).orderBy("_hash", key))
+    ranked = met.where(in_part).withColumn("_nth", nth).where(F.col("_nth") <= F.col("_last.need"))
+    return met.where(below).select(*frame.columns).unionByName(ranked.select(*frame.columns))
+
+
+def _match(strata: Sequence[str], prefix: str) -> Column:
+    on = F.lit(True)
     for s in strata:
-        same = F.col(s).eqNullSafe(F.col(f"_{s}"))
-        on = same if on is None else on & same
-    nth = F.row_number().over(Window.partitionBy(*strata).orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key))
-    return frame.join(given, on).withColumn("_nth", nth).where(F.col("_nth") <= F.col("allocated")).select(*frame.columns)
+        on = on & F.col(s).eqNullSafe(F.col(f"{prefix}{s}"))
+    return on
 
 
 def observed(frame: DataFrame, indicator: Column, key: str) -> DataFrame:

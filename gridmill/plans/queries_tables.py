@@ -160,6 +160,13 @@ def _(t: Tables) -> DataFrame:
     return keyed_outer(t.snapshot_old, t.snapshot_new, ["id"])[0].select("id", "side")
 
 
+@query("J12_one_sided", "SELECT coalesce(o.id, n.id) AS id, CASE WHEN n.id IS NULL THEN 'only_source' ELSE 'only_target' END AS side FROM snapshot_old o FULL JOIN snapshot_new n ON o.id = n.id WHERE o.id IS NULL OR n.id IS NULL", "snapshot_old", "snapshot_new")
+def _(t: Tables) -> DataFrame:
+    from gridmill.operators.diff import one_sided
+
+    return one_sided(t.snapshot_old, t.snapshot_new, ["id"])
+
+
 _GEO = """g AS (SELECT name, kind, try_cast(lat_raw AS DOUBLE) AS lat, try_cast(lon_raw AS DOUBLE) AS lon FROM geo_points),
 v AS (SELECT * FROM g WHERE lat BETWEEN -5 AND 5 AND lon BETWEEN 28 AND 42 AND NOT (lat = 0 AND lon = 0)),
 w AS (SELECT d.name AS centre, c.name AS point, sqrt(power(c.lon - d.lon, 2) + power(c.lat - d.lat, 2)) * 111.0 AS km FROM v d JOIN v c ON d.kind = 'Agro-Dealer' AND c.kind = 'Customer'),
@@ -372,6 +379,12 @@ def _(t: Tables) -> DataFrame:
     return t.nation.select(F.col("n_name").alias("name"), dedupe.average_rank(F.col("n_regionkey")).alias("r"))
 
 
+@query("W6_average_ranks", "SELECT c_custkey, floor(rank() OVER (ORDER BY x DESC NULLS LAST) + (count(*) OVER (PARTITION BY x) - 1) / 2)::INT AS r FROM (SELECT c_custkey, CASE WHEN c_nationkey <> 3 THEN round(c_acctbal / 100) END AS x FROM customer)")
+def _(t: Tables) -> DataFrame:
+    rows = t.customer.select("c_custkey", F.when(F.col("c_nationkey") != 3, F.round(F.col("c_acctbal") / 100)).alias("x"))
+    return dedupe.average_ranks(rows, "x", "r").select("c_custkey", "r")
+
+
 @query("W9_position", "SELECT c_mktsegment, c_custkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS position FROM customer")
 def _(t: Tables) -> DataFrame:
     from pyspark.sql import Window
