@@ -83,6 +83,15 @@ def _(t: Tables) -> DataFrame:
     return found.select("table_name", "source_rows", "target_rows", "difference")
 
 
+@query("D3_row_count_status", """WITH c AS (SELECT 'snapshot' AS table_name, (SELECT count(*) FROM snapshot_old) AS s, (SELECT count(*) FROM snapshot_new) AS t UNION ALL SELECT 'customer', (SELECT count(*) FROM customer), (SELECT count(*) FROM customer) UNION ALL SELECT 'account', (SELECT count(*) FROM accounts WHERE false), (SELECT count(*) FROM accounts)
+ UNION ALL SELECT 'premises', (SELECT count(*) FROM customer), (SELECT count(*) FROM premises))
+SELECT table_name, s AS source_rows, t AS target_rows, t - s AS difference, CASE WHEN s = 0 THEN CASE WHEN t = 0 THEN 0.0 ELSE 100.0 END ELSE round_even((t - s) / s * 100, 2) END AS percent, CASE WHEN t = s THEN 'MATCH' WHEN t > s THEN 'TARGET_HAS_MORE' ELSE 'SOURCE_HAS_MORE' END AS status FROM c""", "snapshot_old", "snapshot_new", "accounts", "premises")
+def _(t: Tables) -> DataFrame:
+    source = {"snapshot": t.snapshot_old, "customer": t.customer, "account": t.accounts.where("false"), "premises": t.customer}
+    target = {"snapshot": t.snapshot_new, "customer": t.customer, "account": t.accounts, "premises": t.premises}
+    return aggregates.row_count_comparison(aggregates.row_counts(source), aggregates.row_counts(target))
+
+
 @query("D20_resumable_load", "SELECT CASE WHEN amount < 0 THEN 'rejected' ELSE 'loaded' END AS outcome, count(*) AS n FROM snapshot_new GROUP BY 1", "snapshot_new")
 def _(t: Tables) -> DataFrame:
     base = tables.scratch_folder(t.spark, "load")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.operators import diff, geo, sampling, segment
+from gridmill.operators import diff, geo, sampling, segment, sweep
 from gridmill.plans import migration, telemetry, transform, workflow
 from gridmill.plans.fixtures import Tables
 from gridmill.plans.queries_tables import _GEO, CRM, MASHUP, _ntz, _pairs, mashed
@@ -30,7 +30,15 @@ def _(t: Tables) -> DataFrame:
     return diff.differing(_slim(t.snapshot_old), _slim(t.snapshot_new), diff.choose_keys(t.snapshot_old, t.snapshot_new))
 
 
-@query("D2_schema_reconcile")
+# What the catalogs of these tables hold: one column's type differs, and each half of the split table has its share.
+_D2 = ", ".join(
+    [f"('orders', 'o_{c}', '{k}', '{k}', 'match')" for c, k in (("orderkey", "bigint"), ("custkey", "bigint"), ("orderstatus", "string"), ("totalprice", "double"), ("orderdate", "timestamp_ntz"), ("orderpriority", "string"))]
+    + [f"('snapshot_v2', '{c}', '{k}', '{k}', 'match')" for c, k in (("id", "bigint"), ("name", "string"), ("segment", "string"), ("amount", "double"), ("updated_at", "timestamp"))]
+    + ["('snapshot_v2', 'region_id', 'int', 'string', 'type_mismatch')"]
+)
+
+
+@query("D2_schema_reconcile", f"SELECT * FROM (VALUES {_D2}) v(table_name, column_name, source_type, target_type, status)")
 def _(t: Tables) -> DataFrame:
     a = diff.schema_rows(t.snapshot_old, "snapshot").unionByName(diff.schema_rows(t.orders, "orders"))
     b = diff.schema_rows(t.snapshot_new.withColumn("region_id", F.col("region_id").cast("string")), "snapshot_v2").unionByName(diff.schema_rows(t.orders.select("o_orderkey", "o_custkey"), "orders_a")).unionByName(diff.schema_rows(t.orders.drop("o_custkey"), "orders_b"))
@@ -266,6 +274,16 @@ def _(t: Tables) -> DataFrame:
     return segment.silhouettes(_encoded(t), range(2, 8))
 
 
+@query("M6_elbow_sweep")
+def _(t: Tables) -> DataFrame:
+    return sweep.elbow(_encoded(t), range(1, 10), range(42, 52))
+
+
+@query("M7_silhouette_sweep")
+def _(t: Tables) -> DataFrame:
+    return sweep.silhouette_sweep(_encoded(t), range(2, 8), range(42, 52))
+
+
 @query("M8_kept_components")
 def _(t: Tables) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
@@ -394,6 +412,13 @@ def _(t: Tables) -> DataFrame:
     return geo.hulls(_pairs(t)).select("centre", F.size("ring").alias("corners"))
 
 
+@query("G3_rings", "SELECT name, i, round(lon + 50 / 111.0 * cos(radians(i * 10)), 6) AS lon, round(lat + 50 / 111.0 * sin(radians(i * 10)), 6) AS lat FROM (SELECT name, try_cast(lat_raw AS DOUBLE) AS lat, try_cast(lon_raw AS DOUBLE) AS lon FROM geo_points WHERE kind = 'Agro-Dealer'), range(37) r(i) WHERE lat BETWEEN -5 AND 5 AND lon BETWEEN 28 AND 42 AND NOT (lat = 0 AND lon = 0)", "geo_points")
+def _(t: Tables) -> DataFrame:
+    dealers = geo.normal_points(t.geo_points.where("kind = 'Agro-Dealer'"), "lat_raw", "lon_raw", "name")
+    corners = geo.circles(dealers, "name", 50.0).select("name", F.posexplode("ring").alias("i", "at"))
+    return corners.select("name", F.col("i").cast("long").alias("i"), F.round("at.lon", 6).alias("lon"), F.round("at.lat", 6).alias("lat"))
+
+
 @query("G3_circles", f"WITH {_GEO} SELECT name, 37 AS corners FROM v WHERE kind = 'Agro-Dealer'", "geo_points")
 def _(t: Tables) -> DataFrame:
     points = geo.normal_points(t.geo_points, "lat_raw", "lon_raw", "name", "kind").where("kind = 'Agro-Dealer'")

@@ -67,6 +67,9 @@ def scratch_folder(spark: SparkSession, what: str) -> str:
 
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = f"/tmp/checkpoints/{os.getuid()}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
