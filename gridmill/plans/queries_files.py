@@ -113,7 +113,7 @@ def _(t: Tables) -> DataFrame:
     table = MergedTable.create(t.spark, f"{base}/table", old.withColumn("is_migrated", F.lit(0)), ["id"])
     for part in (0, 1):  # the second run goes on where the first one stopped
         new.where(F.col("id") % 2 == part).write.mode("append").parquet(f"{base}/in")
-        incremental.sync_updates(t.spark, f"{base}/in", new.schema, table, f"{base}/state", "id", "updated_at")
+        incremental.sync_stored(t.spark, f"{base}/in", new.schema, table, f"{base}/state", "id", "updated_at")
     return table.read().select("id", "segment", "is_migrated")
 
 

@@ -31,7 +31,22 @@ def batch_statistics(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).groupBy("batch", "outcome").agg(F.count("*").alias("n")).orderBy("batch", "outcome")
 
 
-def sync_updates(spark: SparkSession, source: str, schema: T.StructType, table: MergedTable, checkpoint: str, key: str, updated: str) -> None:
+def sync_updates(spark: SparkSession, source: str, schema: T.StructType, versions: str, checkpoint: str, key: str, updated: str) -> None:
+    """Bring a table, kept as numbered versions under ``versions`` with version 0 to start
+    from, up to date with new files. Each batch reads the version before its own and writes
+    a whole one; :func:`sync_stored` rewrites only what changes."""
+
+    def batch(rows: DataFrame, number: int) -> None:
+        target = spark.read.parquet(f"{versions}/version={number}")
+        newest = rows.withColumn("_nth", F.row_number().over(_newest(key, updated, rows.columns))).where("_nth = 1").drop("_nth")
+        found = deltas(newest, target, key, updated, exclude=("is_migrated",))
+        apply_deltas(target.drop("is_migrated"), found, key).write.mode("overwrite").parquet(f"{versions}/version={number + 1}")
+
+    stream = spark.readStream.schema(schema).parquet(source)
+    stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def sync_stored(spark: SparkSession, source: str, schema: T.StructType, table: MergedTable, checkpoint: str, key: str, updated: str) -> None:
     """Bring a stored table up to date with new files: newer rows' changed fields, no inserts.
 
     Only buckets with such rows are written anew. Each commit notes the batch that it took

@@ -67,14 +67,14 @@ def test_sync_takes_each_batch_once(spark, tmp_path):
     base, new = str(tmp_path), rows_of(spark, (1, "x", 5), (1, "y", 4), (2, "b", 9), (3, "z", 1), (9, "none", 9))
     table = MergedTable.create(spark, f"{base}/t", rows_of(spark, (1, "a", 2), (2, "b", 2), (3, "c", 2)).withColumn("is_migrated", F.lit(0)), ["id"], buckets=4)
     new.write.parquet(f"{base}/in")
-    incremental.sync_updates(spark, f"{base}/in", new.schema, table, f"{base}/state", "id", "updated_at")
+    incremental.sync_stored(spark, f"{base}/in", new.schema, table, f"{base}/state", "id", "updated_at")
     assert plain(table.read()) == [(1, "x"), (2, "b"), (3, "c")]
     assert table.manifest().notes == {"batch": "0", "watermark": "2024-01-09 00:00:00.000000"}
     rows_of(spark, (3, "w", 8)).write.mode("append").parquet(f"{base}/in")
-    incremental.sync_updates(spark, f"{base}/in", new.schema, table, f"{base}/state", "id", "updated_at")
+    incremental.sync_stored(spark, f"{base}/in", new.schema, table, f"{base}/state", "id", "updated_at")
     assert sorted(tuple(r) for r in table.read().select("id", "name", "is_migrated").collect()) == [(1, "x", 1), (2, "b", 0), (3, "w", 1)]
     version = table.manifest().version
-    incremental.sync_updates(spark, f"{base}/in", new.schema, table, f"{base}/again", "id", "updated_at")  # its batch 0 is known
+    incremental.sync_stored(spark, f"{base}/in", new.schema, table, f"{base}/again", "id", "updated_at")  # its batch 0 is known
     assert table.manifest().version == version
 
 
