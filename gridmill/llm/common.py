@@ -73,6 +73,17 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
+def parts_of(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in stretches of rows whose texts have about ``size`` bytes (a longer text
+    alone), so that arrays made of them stay small."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def text_hash(text: str = "text") -> Column:
     """With the document id, a row's identity: rows equal in both are copies."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())

@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import filesystem, keep, scratch, table, tidy
+from gridmill.llm.common import filesystem, keep, parts_of, scratch, table, tidy
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
@@ -55,6 +55,8 @@ _BLOCK_HEAD = struct.Struct("<IIBI")
 _TRAILER = struct.Struct("<6Q")
 #: Words a worker remembers; beyond that it starts anew.
 REMEMBERED = 500_000
+#: Bytes of texts that are encoded together.
+PART_BYTES = 2 << 20
 # What a vocabulary file must say of texts for its words to be encoded one by one.
 WORD_WISE = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -298,9 +300,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end: int =
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, base = filesystem(folder)
         shard, name, out, doc_ids = TaskContext.get().partitionId(), f"ids/{uuid.uuid4().hex}.pfor", None, []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for batch in batches for part in parts_of(batch, 1, PART_BYTES)):
             if out is None:
                 sink = own.open_output_stream(f"{base}/{name}", compression=None)
                 out = Writer(sink)
