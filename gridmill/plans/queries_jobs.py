@@ -245,6 +245,11 @@ def _encoded(t: Tables) -> DataFrame:
     return segment.encoder(_TEXTS, ["balance"]).fit(rows).transform(rows).select("customer_id", *_TEXTS, "balance", "features")
 
 
+def _components(t: Tables) -> DataFrame:
+    rows = t.customer.select("c_custkey", F.col("c_nationkey").cast("double").alias("nation"), "c_acctbal")
+    return segment.component_clusters(["nation", "c_acctbal"]).fit(rows).transform(rows)
+
+
 @query("M3_encoded")
 def _(t: Tables) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
@@ -252,10 +257,35 @@ def _(t: Tables) -> DataFrame:
     return _encoded(t).select("customer_id", F.transform(vector_to_array("features"), lambda x: F.round(x, 6)).alias("features"))
 
 
+_MODES = ", ".join(f"(SELECT {c} FROM persona_src WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS {c}" for c in _TEXTS)
+_SLOTS = " UNION ALL ".join(f"SELECT customer_id, {i} AS c, coalesce(p.{c}, a.{c}) AS v FROM persona_src p, a" for i, c in enumerate(_TEXTS))
+
+
+@query("M3_values", f"""WITH a AS (SELECT median(balance) AS balance, {_MODES} FROM persona_src), f AS ({_SLOTS}),
+cats AS (SELECT c, v, row_number() OVER (PARTITION BY c ORDER BY v) - 1 AS code, count(*) OVER (PARTITION BY c) + 2 AS size FROM (SELECT DISTINCT c, v FROM f)),
+sizes AS (SELECT c, size, sum(size) OVER (ORDER BY c) - size AS start FROM (SELECT DISTINCT c, size FROM cats)), slots AS (SELECT c, start, unnest(range(size)) AS s FROM sizes),
+x AS (SELECT customer_id, start + s AS i, (code = s)::INT::DOUBLE AS x FROM f JOIN cats USING (c, v) JOIN slots USING (c) UNION ALL SELECT customer_id, (SELECT sum(size) FROM sizes), coalesce(p.balance, a.balance)::DOUBLE FROM persona_src p, a)
+SELECT customer_id, i::BIGINT AS i, round(coalesce((x - avg(x) OVER o) / nullif(stddev_samp(x) OVER o, 0), 0), 6) + 0.0::DOUBLE AS value FROM x WINDOW o AS (PARTITION BY i)""", "persona_src")
+def _(t: Tables) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    values = _encoded(t).select("customer_id", F.posexplode(vector_to_array("features")).alias("i", "value"))
+    return values.select("customer_id", F.col("i").cast("long").alias("i"), (F.round("value", 6) + F.lit(0.0)).alias("value"))
+
+
 @query("M4_component_clusters")
 def _(t: Tables) -> DataFrame:
-    rows = t.customer.select("c_custkey", F.col("c_nationkey").cast("double").alias("nation"), "c_acctbal")
-    return segment.component_clusters(["nation", "c_acctbal"]).fit(rows).transform(rows).select("c_custkey", "cluster")
+    return _components(t).select("c_custkey", "cluster")
+
+
+# Two standardised columns have the components (z1 + z2) / sqrt(2) and (z1 - z2) / sqrt(2), the larger first; signs are free.
+@query("M4_components", """WITH z AS (SELECT c_custkey, (c_nationkey - avg(c_nationkey) OVER ()) / stddev_samp(c_nationkey) OVER () AS a, (c_acctbal - avg(c_acctbal) OVER ()) / stddev_samp(c_acctbal) OVER () AS b, sign(corr(c_nationkey, c_acctbal) OVER ()) AS s FROM customer)
+SELECT c_custkey, round(abs(a + s * b) / sqrt(2), 6) AS first, round(abs(a - s * b) / sqrt(2), 6) AS second FROM z""")
+def _(t: Tables) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    values = _components(t).select("c_custkey", vector_to_array("features").alias("v"))
+    return values.select("c_custkey", *[F.round(F.abs(F.col("v")[i]), 6).alias(name) for i, name in enumerate(("first", "second"))])
 
 
 @query("M5_kmeans")
@@ -397,6 +427,11 @@ def _(t: Tables) -> DataFrame:
     return sampling.allocate(t.customer, ["c_mktsegment"], 5)
 
 
+@query("W8_nation_segments", _allocation(["c_nationkey", "c_mktsegment"], "customer", 500))
+def _(t: Tables) -> DataFrame:
+    return sampling.allocate(t.customer, ["c_nationkey", "c_mktsegment"], 500)
+
+
 @query("G1_points", f"WITH {_GEO} SELECT name, kind, lat, lon FROM v", "geo_points")
 def _(t: Tables) -> DataFrame:
     return geo.normal_points(t.geo_points, "lat_raw", "lon_raw", "name", "kind")
@@ -412,6 +447,16 @@ def _(t: Tables) -> DataFrame:
     return geo.hulls(_pairs(t)).select("centre", F.size("ring").alias("corners"))
 
 
+# A point is a corner if all others of its centre lie within less than half a turn.
+@query("G2_hull_corners", f"""WITH {_GEO}, y AS (SELECT DISTINCT x.centre, v.lon, v.lat FROM x JOIN v ON v.name = x.point AND v.kind = 'Customer'),
+a AS (SELECT p.centre, p.lon, p.lat, atan2(q.lat - p.lat, q.lon - p.lon) AS angle FROM y p JOIN y q ON p.centre = q.centre AND (p.lon <> q.lon OR p.lat <> q.lat)),
+b AS (SELECT *, coalesce(lead(angle) OVER o, min(angle) OVER (PARTITION BY centre, lon, lat) + 2 * pi()) - angle AS gap FROM a WINDOW o AS (PARTITION BY centre, lon, lat ORDER BY angle)),
+c AS (SELECT centre, lon, lat FROM b GROUP BY ALL HAVING max(gap) > pi() + 1e-9)
+SELECT centre, lon, lat FROM (SELECT *, count(*) OVER (PARTITION BY centre) AS n FROM c) WHERE n > 2""", "geo_points")
+def _(t: Tables) -> DataFrame:
+    return geo.hulls(_pairs(t)).select("centre", F.inline("ring").alias("lon", "lat"))
+
+
 @query("G3_rings", "SELECT name, i, round(lon + 50 / 111.0 * cos(radians(i * 10)), 6) AS lon, round(lat + 50 / 111.0 * sin(radians(i * 10)), 6) AS lat FROM (SELECT name, try_cast(lat_raw AS DOUBLE) AS lat, try_cast(lon_raw AS DOUBLE) AS lon FROM geo_points WHERE kind = 'Agro-Dealer'), range(37) r(i) WHERE lat BETWEEN -5 AND 5 AND lon BETWEEN 28 AND 42 AND NOT (lat = 0 AND lon = 0)", "geo_points")
 def _(t: Tables) -> DataFrame:
     dealers = geo.normal_points(t.geo_points.where("kind = 'Agro-Dealer'"), "lat_raw", "lon_raw", "name")

@@ -80,3 +80,16 @@ def test_kept_components_are_clustered(spark):
     means = np.array([kept[clusters == c].mean(axis=0) for c in range(5)])
     distance = ((kept[:, None] - means) ** 2).sum(axis=2)
     assert (distance[np.arange(len(kept)), clusters] <= distance.min(axis=1) + 1e-3).all()
+
+
+@given
+def test_component_clusters_are_nearest(spark):
+    cluster = {r.c_custkey: r.cluster for r in QUERIES["M4_component_clusters"](spark, FOLDER).collect()}
+    rows = spark.read.parquet(f"{FOLDER}/customer.parquet").select("c_custkey", "c_nationkey", "c_acctbal").toPandas()
+    z = rows[["c_nationkey", "c_acctbal"]].astype(float).to_numpy()
+    z = (z - z.mean(axis=0)) / z.std(axis=0, ddof=1)  # turning to components keeps distances
+    of = rows["c_custkey"].map(cluster).to_numpy()
+    assert set(of) == set(range(5)) and len(cluster) == len(rows)
+    distance = ((z[:, None] - np.array([z[of == c].mean(axis=0) for c in range(5)])) ** 2).sum(axis=2)
+    # One start of at most twenty rounds: all but a few rows at borders lie nearest their own mean.
+    assert (distance[np.arange(len(z)), of] <= distance.min(axis=1) + 1e-2).mean() > 0.97
