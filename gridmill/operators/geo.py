@@ -128,3 +128,13 @@ def hulls(pairs: DataFrame, bands: int = 64) -> DataFrame:
         f"centre {kind}, ring array<struct<lon:double,lat:double>>",
     )
     return whole.where(F.size("ring") > 2)
+
+
+def ring_area(ring: Column) -> Column:
+    """The area within a ring of corners in counter-clockwise order, in square degrees. Corners
+    are taken from the first one on, so that little is lost to rounding."""
+    x = lambda c: c["lon"] - ring[0]["lon"]
+    y = lambda c: c["lat"] - ring[0]["lat"]
+    turned = F.concat(F.slice(ring, 2, F.size(ring) - 1), F.slice(ring, 1, 1))
+    parts = F.zip_with(ring, turned, lambda a, b: x(a) * y(b) - x(b) * y(a))
+    return F.aggregate(parts, F.lit(0.0), lambda total, part: total + part) / 2

@@ -447,14 +447,16 @@ def _(t: Tables) -> DataFrame:
     return geo.hulls(_pairs(t)).select("centre", F.size("ring").alias("corners"))
 
 
-# A point is a corner if all others of its centre lie within less than half a turn.
-@query("G2_hull_corners", f"""WITH {_GEO}, y AS (SELECT DISTINCT x.centre, v.lon, v.lat FROM x JOIN v ON v.name = x.point AND v.kind = 'Customer'),
+# A point is a corner if all others of its centre lie within less than half a turn. Points on a line between two
+# corners may count as corners or not by a last bit, so the rings are held by their areas.
+@query("G2_hull_areas", f"""WITH {_GEO}, y AS (SELECT DISTINCT x.centre, v.lon, v.lat FROM x JOIN v ON v.name = x.point AND v.kind = 'Customer'),
 a AS (SELECT p.centre, p.lon, p.lat, atan2(q.lat - p.lat, q.lon - p.lon) AS angle FROM y p JOIN y q ON p.centre = q.centre AND (p.lon <> q.lon OR p.lat <> q.lat)),
 b AS (SELECT *, coalesce(lead(angle) OVER o, min(angle) OVER (PARTITION BY centre, lon, lat) + 2 * pi()) - angle AS gap FROM a WINDOW o AS (PARTITION BY centre, lon, lat ORDER BY angle)),
-c AS (SELECT centre, lon, lat FROM b GROUP BY ALL HAVING max(gap) > pi() + 1e-9)
-SELECT centre, lon, lat FROM (SELECT *, count(*) OVER (PARTITION BY centre) AS n FROM c) WHERE n > 2""", "geo_points")
+c AS (SELECT centre, lon, lat FROM b GROUP BY ALL HAVING max(gap) > pi() + 1e-9), m AS (SELECT centre, lon - avg(lon) OVER o AS lon, lat - avg(lat) OVER o AS lat FROM c WINDOW o AS (PARTITION BY centre)),
+r AS (SELECT *, coalesce(lead(lon) OVER o, first_value(lon) OVER o) AS lon2, coalesce(lead(lat) OVER o, first_value(lat) OVER o) AS lat2 FROM m WINDOW o AS (PARTITION BY centre ORDER BY atan2(lat, lon)))
+SELECT centre, round(sum(lon * lat2 - lon2 * lat) / 2, 6) AS area FROM r GROUP BY centre HAVING area > 0""", "geo_points")
 def _(t: Tables) -> DataFrame:
-    return geo.hulls(_pairs(t)).select("centre", F.inline("ring").alias("lon", "lat"))
+    return geo.hulls(_pairs(t)).select("centre", F.round(geo.ring_area(F.col("ring")), 6).alias("area")).where("area > 0")
 
 
 @query("G3_rings", "SELECT name, i, round(lon + 50 / 111.0 * cos(radians(i * 10)), 6) AS lon, round(lat + 50 / 111.0 * sin(radians(i * 10)), 6) AS lat FROM (SELECT name, try_cast(lat_raw AS DOUBLE) AS lat, try_cast(lon_raw AS DOUBLE) AS lon FROM geo_points WHERE kind = 'Agro-Dealer'), range(37) r(i) WHERE lat BETWEEN -5 AND 5 AND lon BETWEEN 28 AND 42 AND NOT (lat = 0 AND lon = 0)", "geo_points")
