@@ -8,8 +8,12 @@ that explain the label are found without being labelled; they are returned.
 
 The fit sees a sample of labelled rows of at most ``SAMPLE`` of each label, taken by
 a hash of the id, out of the rows outside the held-out fold; one task fits it, and the
-weights (hashed, of fixed size) are broadcast. Scoring is one pass over the texts
-without a shuffle, by the same noisy-or that was fitted. Arrow cuts and numbers a
+weights (hashed, of fixed size) are broadcast. Where labels are few, scores of texts
+that were not learnt from are too low; so each half of the sample is also scored by a
+model of the other half, and all log odds are shifted by one number so that
+``THRESHOLD`` parts these scores best. There a label counts by its share of all
+labelled rows, not of the sample. Scoring is one pass over the texts without a shuffle,
+by the same noisy-or that was fitted, then the shift. Arrow cuts and numbers a
 batch's words, and the worker remembers a stem's summed weight.
 
 Defined cases: a null or empty text has no sentence and score 0; labels that are
@@ -87,11 +91,9 @@ def sentence_scores(z: np.ndarray) -> np.ndarray:
     return (1 / (1 + np.exp(-np.clip(z, -30, 30)))) ** POWER
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights of the features and the bias, by gradient steps on one document at a time."""
-    weights, bias = np.zeros(1 << LOG_FEATURES, np.float64), _START_BIAS
-    if len(set(labels)) < 2:
-        return weights.astype(np.float32), -50.0
+def cut_features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """For each text its features, the place among them and the sentence of each word's
+    feature, and the number of sentences."""
     stems, order, counts, starts = cut(pa.array(texts, pa.string()))
     own = [features(x) for x in stems]
     many = np.fromiter(map(len, own), np.int64, len(own))
@@ -100,14 +102,35 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     ends = np.cumsum(counts)
     edges = np.searchsorted(starts, np.append(0, ends))
     documents = []
-    seen = np.zeros(len(weights), np.int32)
     for d, (end, n) in enumerate(zip(ends.tolist(), counts.tolist())):
         words = order[end - n : end]
         times = many[words]
         inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         which, inverse = np.unique(flat[np.repeat(at[words], times) + inside], return_inverse=True)
-        seen[which] += 1
         documents.append((which, inverse.astype(np.int32), np.repeat(sentence[end - n : end] - edges[d], times).astype(np.int32), int(edges[d + 1] - edges[d])))
+    return documents
+
+
+def noisy_or(document: tuple, weights: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
+    """The scores of a text's sentences, and the chance that none is toxic."""
+    which, inverse, owner, n = document
+    p = sentence_scores(np.bincount(owner, weights[which][inverse], n) + bias)
+    return p, float(np.exp(np.log1p(-np.minimum(p, 1 - 1e-12)).sum()))
+
+
+def slopes(p: np.ndarray, clean: float, label: int) -> np.ndarray:
+    """How the document's loss, the log of its label's chance with a minus, changes with each
+    sentence's log odds."""
+    grown = POWER * p * (1 - p ** (1 / POWER)) / np.maximum(1 - p, 1e-12)  # p'(z) / (1 - p)
+    return -grown * clean / max(1 - clean, 1e-9) if label else grown
+
+
+def descend(documents: list[tuple], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> tuple[np.ndarray, float]:
+    """Weights of the features and the bias, by gradient steps on one document at a time."""
+    weights, bias = np.zeros(1 << LOG_FEATURES, np.float64), _START_BIAS
+    seen = np.zeros(len(weights), np.int32)
+    for which, *_ in documents:
+        seen[which] += 1
     usual = seen >= MIN_DOCUMENTS  # features of a document or two stay at no weight
     squares, bias_square = np.full(len(weights), 1e-2), 1e-2
     shuffled = np.random.default_rng(seed)
@@ -116,16 +139,55 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
             which, inverse, owner, n = documents[d]
             if not n:
                 continue
-            p = sentence_scores(np.bincount(owner, weights[which][inverse], n) + bias)
-            clean = np.exp(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
-            grown = POWER * p * (1 - p ** (1 / POWER)) / np.maximum(1 - p, 1e-12)  # p'(z) / (1 - p)
-            slope = -grown * clean / max(1 - clean, 1e-9) if labels[d] else grown
+            p, clean = noisy_or(documents[d], weights, bias)
+            slope = slopes(p, clean, labels[d])
             total = np.bincount(inverse, slope[owner], len(which)) * usual[which] + DECAY * weights[which]
             squares[which] += total * total
             weights[which] -= RATE * total / np.sqrt(squares[which])
             bias_square += slope.sum() ** 2
             bias -= RATE * slope.sum() / np.sqrt(bias_square)
-    return weights.astype(np.float32), float(bias)
+    return weights, float(bias)
+
+
+def log_odds(scores: np.ndarray) -> np.ndarray:
+    held = np.clip(scores, 1e-9, 1 - 1e-9)
+    return np.log(held) - np.log1p(-held)
+
+
+def shift_for(scores: np.ndarray, labels: np.ndarray, shares: np.ndarray) -> float:
+    """What to add to the scores' log odds so that ``THRESHOLD`` cuts where precision and
+    recall have the greatest harmonic mean, each row counting by its share; the cut lies
+    midway between two scores."""
+    order = np.argsort(-scores, kind="stable")
+    z = log_odds(scores[order])
+    toxic = np.where(labels[order] == 1, shares[order], 0.0)
+    found, taken = np.cumsum(toxic), np.cumsum(shares[order])
+    mean = 2 * found / (taken + toxic.sum())
+    edge = np.flatnonzero((z[:-1] > z[1:]) & (scores[order][:-1] > 0))  # equal scores fall on one side
+    if not len(edge):
+        return 0.0
+    best = edge[np.argmax(mean[edge])]
+    return float(log_odds(np.array([THRESHOLD]))[0] - (z[best] + z[best + 1]) / 2)
+
+
+def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7, shares: tuple[float, float] = (1.0, 1.0)) -> tuple[np.ndarray, float, float]:
+    """Weights, bias, and the shift of the scores. ``shares``: how many labelled rows one row
+    of the sample stands for, of label 0 and of label 1."""
+    if len(set(labels)) < 2:
+        return np.zeros(1 << LOG_FEATURES, np.float32), -50.0, 0.0
+    documents = cut_features(texts)
+    weights, bias = descend(documents, labels, epochs, seed)
+    halves = np.random.default_rng(seed).permutation(len(texts)) % 2
+    scores = np.zeros(len(texts))
+    for half in (0, 1):
+        inside, outside = np.flatnonzero(halves != half), np.flatnonzero(halves == half)
+        if len({labels[d] for d in inside}) < 2:
+            return weights.astype(np.float32), bias, 0.0
+        model = descend([documents[d] for d in inside], [labels[d] for d in inside], epochs, seed)
+        for d in outside:
+            scores[d] = 1 - noisy_or(documents[d], *model)[1] if documents[d][3] else 0.0
+    known = np.array(labels)
+    return weights.astype(np.float32), bias, shift_for(scores, known, np.where(known == 1, shares[1], shares[0]))
 
 
 class _Sums(dict):
@@ -143,12 +205,12 @@ class _Sums(dict):
 class Scorer:
     """Scores batches of texts."""
 
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights, bias
+    def __init__(self, weights: np.ndarray, bias: float, shift: float = 0.0):
+        self.weights, self.bias, self.shift = weights, bias, shift
         self.held = _Sums(weights)
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, list[list[dict]]]:
-        """Each text's score, and its sentences of at least one half."""
+        """Each text's score, and its sentences of at least one half (before the shift)."""
         if len(self.held) > REMEMBERED:
             self.held = _Sums(self.weights)
         stems, order, counts, starts = cut(texts)
@@ -164,7 +226,8 @@ class Scorer:
         # Sums of each text's own sentences, not differences of running ones: equal texts score alike.
         scores = np.zeros(len(counts))
         some = np.flatnonzero(edges[1:] > edges[:-1])
-        scores[some] = 1 - np.exp(np.add.reduceat(np.diff(upto), edges[some]))
+        plain = 1 - np.exp(np.add.reduceat(np.diff(upto), edges[some]))
+        scores[some] = 1 / (1 + np.exp(-(log_odds(plain) + self.shift)))
         stops = np.append(starts[1:], len(order))
         for k in np.flatnonzero(p >= 0.5).tolist():
             text = int(np.searchsorted(edges, k, "right")) - 1
@@ -174,33 +237,38 @@ class Scorer:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """text, toxic of at most ``sample`` rows of each label. Of several texts with one id
+    """text, toxic of at most ``sample`` rows of each label, and how many labelled rows each
+    stands for. Of several texts with one id
     the one with the least hash is taken, of several labels the greater."""
     rows = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_in_fold("doc_id", FOLDS, HELD_OUT)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    n = rows.groupBy("toxic").agg(F.greatest(F.count("*") / sample, F.lit(1.0)).alias("stands_for"))  # two rows
     picked = [rows.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id", F.lit("toxicity")), "doc_id").limit(sample) for y in (0, 1)]
-    few = picked[0].unionByName(picked[1])  # at most 2 * sample rows of two numbers
+    few = picked[0].unionByName(picked[1]).join(F.broadcast(n), "toxic").select("doc_id", "toxic", "stands_for")  # at most 2 * sample rows of three numbers
     found = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").where("text IS NOT NULL")
-    return found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "toxic")).alias("one")).select("doc_id", "one.text", "one.toxic")
+    return found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "toxic", "stands_for")).alias("one")).select("doc_id", "one.text", "one.toxic", "one.stands_for")
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS) -> tuple[np.ndarray, float, float]:
     """The model, fitted by one task on the bounded sample; the driver gets its weights (4 MB)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: list[str] = []
         toxic: list[int] = []
+        shares = [1.0, 1.0]
         for batch in batches:
             texts += batch.column(1).to_pylist()
             toxic += batch.column(2).to_pylist()
-        weights, bias = fit(texts, toxic, epochs)
-        yield pa.record_batch([pa.array([weights.astype("<f4").tobytes()], pa.binary()), pa.array([bias], pa.float64())], names=["weights", "bias"])
+            for y, share in set(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                shares[y] = share
+        weights, *numbers = fit(texts, toxic, epochs, shares=(shares[0], shares[1]))
+        yield pa.record_batch([pa.array([weights.astype("<f4").tobytes()], pa.binary())] + [pa.array([x], pa.float64()) for x in numbers], names=["weights", "bias", "shift"])
 
     few = training_sample(docs, labels, sample).repartition(1).sortWithinPartitions("doc_id", "text")
-    got = few.mapInArrow(tidy(run), "weights binary, bias double").first()
-    return (np.frombuffer(got["weights"], "<f4"), got["bias"]) if got else (np.zeros(1 << LOG_FEATURES, np.float32), -50.0)
+    got = few.mapInArrow(tidy(run), "weights binary, bias double, shift double").first()
+    return (np.frombuffer(got["weights"], "<f4"), got["bias"], got["shift"]) if got else (np.zeros(1 << LOG_FEATURES, np.float32), -50.0, 0.0)
 
 
-def score_documents(docs: DataFrame, model: tuple[np.ndarray, float], keep_rows: float | None = None) -> DataFrame:
+def score_documents(docs: DataFrame, model: tuple[np.ndarray, float, float], keep_rows: float | None = None) -> DataFrame:
     """doc_id, score, sentences (first word, after the last, score of those of at least
     one half); with ``keep_rows``, the rows of ``docs`` that score less."""
     sent = docs.sparkSession.sparkContext.broadcast(model)

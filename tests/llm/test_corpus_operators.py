@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridmill.llm import decontamination, links, media, mixing, perplexity, pii, repeats, secrets, similarity, tokens, toxicity
@@ -247,6 +248,60 @@ def test_toxicity_finds_the_sentence(spark, none):
     assert len(few) == 40 and sum(r.toxic for r in few) == 20
 
 
+def test_toxicity_scores_are_noisy_or():
+    """Scores against sentences cut and summed up one by one."""
+    rng = random.Random(6)
+    words = ["Fool", "you", "zork!", "end.", "(why?)", "--", "x", "Ünder", "long" * 5, "ok"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice([0, 1, 7, 60, 300]))) for _ in range(60)] + ["", None, "  ", "..."]
+    weights = np.random.default_rng(3).normal(0, 0.4, 1 << toxicity.LOG_FEATURES).astype(np.float32)
+    got, _ = toxicity.Scorer(weights, -2.0, 0.7).score(pa.array(texts, pa.string()))
+    for text, score in zip(texts, got):
+        sentences, open_ = [], False
+        for w in (text or "").split():
+            if not open_ or len(sentences[-1]) == toxicity.LONGEST:
+                sentences.append([])
+            sentences[-1].append(w)
+            open_ = not re.search(r"""[.!?]["')*$%&#]*$""", w)
+        clean = 1.0
+        for words_ in sentences:
+            z = -2.0 + sum(float(weights[f]) for w in words_ for f in toxicity.features(re.sub(r"^[\W_]+|[\W_]+$", "", w.lower())))
+            clean *= 1 - (1 / (1 + math.exp(-z))) ** toxicity.POWER
+        odds = math.log((1 - clean) / clean) if 0 < clean < 1 else None
+        assert score == pytest.approx(1 / (1 + math.exp(-odds - 0.7)) if odds is not None else 0.0, rel=1e-4, abs=1e-8)
+
+
+def test_toxicity_slopes_are_the_gradient():
+    z = np.array([-2.0, -0.3, 0.4, 1.2])
+
+    def loss(z, label):
+        clean = np.prod(1 - toxicity.sentence_scores(z))
+        return -math.log(1 - clean if label else clean)
+
+    p = toxicity.sentence_scores(z)
+    for label in (0, 1):
+        for k, slope in enumerate(toxicity.slopes(p, float(np.prod(1 - p)), label)):
+            step = np.eye(4)[k] * 1e-6
+            assert slope == pytest.approx((loss(z + step, label) - loss(z - step, label)) / 2e-6, rel=1e-5)
+
+
+def test_toxicity_shift_is_the_best_cut():
+    rng = np.random.default_rng(8)
+
+    def mean(taken, labels, shares):
+        hit = shares[taken & (labels == 1)].sum()
+        return 2 * hit / (shares[taken].sum() + shares[labels == 1].sum())
+
+    for _ in range(30):
+        labels = rng.integers(0, 2, 40)
+        scores = np.round(np.clip(rng.normal(0.3 + 0.2 * labels, 0.2), 0, 1), 1)  # with ties, zeros and ones
+        shares = np.where(labels == 1, 1.0, 3.5)
+        shift = toxicity.shift_for(scores, labels, shares)
+        kept = toxicity.log_odds(scores) + shift >= toxicity.log_odds(np.array([toxicity.THRESHOLD]))[0]
+        assert mean(kept, labels, shares) == pytest.approx(max(mean(scores > c, labels, shares) for c in set(scores.tolist()) - {scores.max()}))
+    assert toxicity.shift_for(np.zeros(5), np.array([0, 1, 0, 1, 1]), np.ones(5)) == 0
+    assert toxicity.fit([], [])[1:] == toxicity.fit(["a", None], [1, 1])[1:] == (-50.0, 0.0)
+
+
 def test_media(spark, docs, none, tmp_path):
     media.write_archives(docs, str(tmp_path / "a"))
     got = media.media_features(spark.read.format("media_archive").option("path", str(tmp_path / "a")).load()).collect()
@@ -262,8 +317,6 @@ def test_media(spark, docs, none, tmp_path):
 
 def test_members_are_tried_again_by_offset(tmp_path):
     writer = media.ArchiveWriter(str(tmp_path))
-    import pyarrow as pa
-
     name = writer.write(iter([pa.record_batch([pa.array([1, 2, 3]), pa.array(["a", "b" * 5000, "c"])], names=["doc_id", "text"])])).archive
     path, opened = tmp_path / name, []
 
