@@ -8,7 +8,10 @@ candidates, and only candidates are verified by the expression. A rule without
 mandatory trigrams (a bare run of hexadecimal digits) is verified everywhere.
 
 Postings are grouped by document and branch, never by trigram, so that a trigram
-that stands in every document makes no large group.
+that stands in every document makes no large group. A bitmap of fixed size says
+which documents may be candidates; only their texts are shuffled to meet their
+rules. Where a corpus has far more candidates than the bitmap has places, more
+texts are shuffled, with the same result.
 
 Defined cases: a null text is empty; a null id is an id like any other; repeated
 rows (same id and text) are handled alike, each row gets its result; an empty
@@ -17,6 +20,7 @@ table gives an empty result; only the id and the text are read.
 
 from __future__ import annotations
 
+import re
 import re._parser as rx
 from functools import reduce
 from itertools import product
@@ -25,9 +29,13 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import table, text_hash
+from gridmill.llm.common import keep, scratch, table, text_hash
 
 MAX_BRANCHES = 64
+#: Places of the bitmap of candidates: 2 MB, in rows of 4 KB.
+LOG_BITS = 24
+#: Matches of a text are placed in chunks of so many.
+CHUNK = 256
 
 
 class Rule(NamedTuple):
@@ -117,7 +125,7 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
         if len(joined) * len(branches) > MAX_BRANCHES:
             break
         joined = {a | b for a, b in product(joined, branches)}
-    return sorted(joined, key=sorted)
+    return sorted((b for b in joined if not any(a < b for a in joined)), key=sorted)  # what holds b holds a
 
 
 def trigram_index(docs: DataFrame, trigrams: list[str], keys: list[str], text: str = "text") -> DataFrame:
@@ -136,20 +144,45 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...], keys: list[str]) -> Da
     return met.where("found = needed").groupBy(*keys).agg(F.collect_set("kind").alias("kinds"))
 
 
+def may_be_candidates(rows: DataFrame, hits: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with ``_maybe``: true for all rows whose keys are in ``hits``, and for some
+    others. What is broadcast has 2**LOG_BITS bits, whatever the number of candidates."""
+    place = (F.xxhash64(*keys).bitwiseAND(F.lit((1 << LOG_BITS) - 1)) + 1).alias("_place")
+    bits = hits.select(place).groupBy(F.expr("bitmap_bucket_number(_place)").alias("_bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_place))").alias("_bits"))
+    byte = F.expr("CAST(conv(hex(substring(_bits, CAST(bitmap_bit_position(_place) DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)")
+    bit = F.expr("CAST(bitmap_bit_position(_place) % 8 AS INT)")
+    joined = rows.select("*", place).join(F.broadcast(bits), F.expr("bitmap_bucket_number(_place)") == F.col("_bucket"), "left")
+    return joined.select(*rows.columns, F.coalesce(F.call_function("getbit", byte, bit) == 1, F.lit(False)).alias("_maybe"))
+
+
+def _strict(rule: Rule) -> str:
+    """The pattern, or for a bare run of one class the runs that are long enough: all its
+    matches that count, without the many short ones."""
+    return f"{rule.pattern[:-1]}{{{rule.least},}}" if re.fullmatch(r"\[[^\]]+\]\+", rule.pattern) else rule.pattern
+
+
 def _spans(text: Column, rule: Rule, number: int) -> Column:
-    """Spans of the rule's matches, in code points: what lies between matches gives their places."""
-    matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    measured = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    between = F.split(text, rule.pattern, -1)
+    """Spans of the rule's matches, in code points: what lies between matches gives their
+    places. They are added up in chunks, since an array is copied when it grows."""
+    pattern = _strict(rule)
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    measured = F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group))
+    between = F.split(text, pattern, -1)
     steps = F.zip_with(F.slice(between, F.lit(1), F.size(matches)), F.arrays_zip(matches.alias("all"), measured.alias("part")), lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m["all"]).alias("size"), F.length(m["part"]).alias("part")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,rule:int,end:int,part:int>>").alias("out"))
+    none = F.array().cast("array<struct<start:int,rule:int,end:int,part:int>>")
 
     def add(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["gap"]
         one = F.struct(begin.alias("start"), F.lit(number).alias("rule"), (begin + x["size"]).alias("end"), x["part"].alias("part"))
         return F.struct((begin + x["size"]).alias("at"), F.array_append(acc["out"], one).alias("out"))
 
-    return F.filter(F.aggregate(steps, start, add)["out"], lambda s: s["part"] >= rule.least)
+    def add_chunk(acc: Column, x: Column) -> Column:
+        done = F.aggregate(x, F.struct(acc["at"].alias("at"), none.alias("out")), add)
+        return F.struct(done["at"].alias("at"), F.array_append(acc["out"], done["out"]).alias("out"))
+
+    chunks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(steps) - 1) / CHUNK).cast("int"))), lambda i: F.slice(steps, i * CHUNK + 1, F.lit(CHUNK)))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,rule:int,end:int,part:int>>>").alias("out"))
+    return F.filter(F.flatten(F.aggregate(chunks, start, add_chunk)["out"]), lambda s: s["part"] >= rule.least)
 
 
 def _written(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -163,14 +196,16 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
     rows = docs.select(F.col("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), text_hash(text).alias("_hash"))
     keys = ["doc_id", "_hash"]
     asked = sorted({t for r in rules for branch in trigram_query(r.pattern) for t in branch})
-    hits = candidates(trigram_index(rows, asked, keys), rules, keys).withColumnsRenamed({"doc_id": "_of", "_hash": "_of_hash"})
-    joined = rows.join(hits, rows["doc_id"].eqNullSafe(hits["_of"]) & (rows["_hash"] == hits["_of_hash"]), "left")
+    hits = keep(candidates(trigram_index(rows, asked, keys), rules, keys), scratch(docs.sparkSession, "secrets"))
+    flagged = may_be_candidates(rows, hits, keys)
+    met = hits.withColumnsRenamed({"doc_id": "_of", "_hash": "_of_hash"})
+    possible = flagged.where("_maybe")
+    possible = possible.join(met, possible["doc_id"].eqNullSafe(met["_of"]) & (possible["_hash"] == met["_of_hash"]), "left").select("doc_id", "text", "kinds")
+    joined = possible.unionByName(flagged.where(~F.col("_maybe")).select("doc_id", "text", F.lit(None).cast("array<string>").alias("kinds")))
     kinds = F.coalesce(F.col("kinds"), F.array().cast("array<string>"))
     checks = [(i, r, F.array_contains(kinds, r.kind) if trigram_query(r.pattern) else F.lit(True)) for i, r in enumerate(rules)]
     none = F.array().cast("array<struct<start:int,rule:int,end:int,part:int>>")
-    # A full scan goes by a stricter form first: a run of n characters holds n of them in a row.
-    quick = {i: F.col("text").rlike(r.pattern.removesuffix("+") + "{%d,}" % r.least) if r.group == 0 and not trigram_query(r.pattern) else F.col("text").rlike(r.pattern) for i, r, _ in checks}
-    found = [F.when(check & quick[i], _spans(F.col("text"), r, i)).otherwise(none) for i, r, check in checks]
+    found = [F.when(check & F.col("text").rlike(_strict(r)), _spans(F.col("text"), r, i)).otherwise(none) for i, r, check in checks]
     checked = F.array_compact(F.array(*[F.when(check, F.lit(r.kind)) for _, r, check in checks]))
     return joined.select("doc_id", "text", F.array_sort(reduce(lambda a, b: F.concat(a, b), found)).alias("found"), checked.alias("checked"))
 

@@ -348,6 +348,7 @@ def test_members_are_tried_again_by_offset(tmp_path):
 
 def test_secrets(spark, none):
     texts = [(1, 'x password="abc123" y'), (2, "PassWord : token: abc123"), (3, "AKIA" + "A" * 16 + " AKIAshort"), (4, "f" * 24 + " é🙂 " + "0" * 30), (5, None), (6, "my ghp_" + "a1" * 20), (1, 'x password="abc123" y'), (None, "api_key=zzzzzz" * 40)]
+    texts += [(7, "é api_key=zzzzzz" * 700 + "g" + "ab" * 12), (8, "a fed bead " * 40000 + "0" * 23 + "g" + "0f" * 12 + "g" + "c" * 25), (9, "AKIAAKIA AKIA" + "B" * 15 + "-AKIA" + "C" * 30)]
 
     def brute(t):
         out = []
@@ -359,6 +360,18 @@ def test_secrets(spark, none):
     assert sorted(got, key=str) == sorted([(d, brute(t)) for d, t in texts], key=str)
     assert secrets.scan_secrets(none).count() == 0 and secrets.trigram_query(r"[0-9a-f]+") == []
     assert {frozenset({"pas", "ass", "ssw", "swd"}) <= b for b in secrets.trigram_query("[Pp]asswd")} == {True}
+    for r in secrets.RULES:
+        branches = secrets.trigram_query(r.pattern)
+        assert not any(x < y for x in branches for y in branches)
+
+
+def test_secrets_candidates(spark):
+    rows = spark.createDataFrame([(i if i else None, i % 3) for i in range(400)], "doc_id bigint, _hash bigint")
+    hits = rows.where("doc_id % 20 = 0 OR doc_id IS NULL")
+    said = {(r.doc_id, r._hash): r._maybe for r in secrets.may_be_candidates(rows, hits, ["doc_id", "_hash"]).collect()}
+    sure = {(r.doc_id, r._hash) for r in hits.collect()}
+    assert len(said) == 400 and all(said[k] for k in sure) and sum(said.values()) <= len(sure) + 2
+    assert not any(r._maybe for r in secrets.may_be_candidates(rows, hits.limit(0), ["doc_id", "_hash"]).collect())
 
 
 def test_decontamination(spark, docs, none):
