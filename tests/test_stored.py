@@ -97,3 +97,22 @@ def test_duplicates_of_earlier_batches(spark, tmp_path):
     assert got == want
     assert got[5] == ("duplicate", "Duplicate mobilePhone within batch: 1") and got[6][0] == "duplicate" and got[7][0] == "inserted"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_load_runs_no_python_for_each_lead(spark, tmp_path):
+    plans, seen = [], []
+    loaded = spark.createDataFrame([("L", "x")], "leadId string, mobilePhone string")
+    staged = leads(spark, *[(i, f"I{i % 70}", "Ann", f"{i % 50}") for i in range(100)])
+
+    def classify(rows):
+        out = first_seen.stream_leads(rows, loaded, "n")
+        seen.append(rows.isStreaming)
+        plans.append(out._jdf.queryExecution().toString())
+        return out
+
+    for part in ("n < 60", "n >= 60"):
+        staged.where(part).write.mode("append").parquet(f"{tmp_path}/in")
+        first_seen.resume_stateful(spark, f"{tmp_path}/in", staged.schema, f"{tmp_path}/out", f"{tmp_path}/state", classify)
+    assert seen == [False, False] and not any("TransformWithState" in p or "Python" in p for p in plans)
+    got = {r.n: (r.outcome, r.failure_reason) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {r.n: (r.outcome, r.failure_reason) for r in migration.migrate_leads(staged, loaded, "n").collect()}
