@@ -41,21 +41,34 @@ def quadtree(points: DataFrame, size: float, leaf_points: int = LEAF_POINTS, lev
     return found.groupBy("row", "col").agg(F.max(F.struct("level", "slices")).alias("leaf")).select("row", "col", "leaf.level", "leaf.slices")
 
 
-def within_distance(points: DataFrame, centres: DataFrame, km: float, point: str, centre: str, leaf_points: int = LEAF_POINTS) -> DataFrame:
-    """Pairs of a point and a centre at most ``km`` apart, by the leaves of a quadtree over the
-    points: each point lies in one leaf (or in one of its slices, by hash), and a centre is
-    sent to the leaves that its square of ``km`` around touches. So however densely points
-    lie, about ``leaf_points`` of them share a key."""
+#: Tasks of a join of places for each core: its rows may be many times what is shuffled for it.
+JOIN_TASKS = 32
+
+
+def _join_tasks(df: DataFrame) -> int:
+    return JOIN_TASKS * df.sparkSession.sparkContext.defaultParallelism
+
+
+def _places(df: DataFrame, side: str) -> DataFrame:
+    """The different places, and how many rows stand at each."""
+    return df.groupBy(F.col("lat").alias(f"{side}_lat"), F.col("lon").alias(f"{side}_lon")).agg(F.count("*").alias(f"{side}_n"))
+
+
+def near_places(points: DataFrame, centres: DataFrame, km: float, leaf_points: int = LEAF_POINTS) -> DataFrame:
+    """p_lat, p_lon, p_n, c_lat, c_lon, km: the different places of points and of centres at most
+    ``km`` apart, by the leaves of a quadtree over the points: each place lies in one leaf (or
+    in one of its slices, by hash), and a centre is sent to the leaves that its square of
+    ``km`` around touches. So however densely points lie, about ``leaf_points`` of them share a key."""
     size = km / KM_PER_DEGREE / 4
-    place = [_smallest("lat", size, 90.0).alias("row"), _smallest("lon", size, 180.0).alias("col")]
-    p = points.select(F.col(point).alias("point"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), *place)
+    place = [_smallest("p_lat", size, 90.0).alias("row"), _smallest("p_lon", size, 180.0).alias("col")]
+    p = _places(points, "p").select("p_lat", "p_lon", "p_n", *place)
     cells = quadtree(p, size, leaf_points)
     key = ["level", "leaf_row", "leaf_col", "slice"]
     leaf = [F.expr("shiftright(row, level)").alias("leaf_row"), F.expr("shiftright(col, level)").alias("leaf_col")]
-    slice_ = F.expr("pmod(xxhash64(point, p_lat, p_lon), slices)").cast("int").alias("slice")
-    p = p.join(cells, ["row", "col"]).select("point", "p_lat", "p_lon", "level", *leaf, slice_)
+    slice_ = F.expr("pmod(xxhash64(p_lat, p_lon), slices)").cast("int").alias("slice")
+    p = p.join(cells, ["row", "col"]).select("p_lat", "p_lon", "p_n", "level", *leaf, slice_)
     leaves = cells.select("level", *leaf, "slices").distinct()
-    c = centres.select(F.col(centre).alias("centre"), F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"))
+    c = _places(centres, "c").select("c_lat", "c_lon")
     c = c.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(TREE_LEVELS - 1))))
     # A hair more than the distance, so that rounding at a cell's edge loses nothing.
     reach = 4 * size * (1 + 1e-9) + 1e-9
@@ -64,12 +77,31 @@ def within_distance(points: DataFrame, centres: DataFrame, km: float, point: str
         c = c.withColumn("_low", low).withColumn("_high", high)
         c = c.withColumn(f"leaf_{axis}", F.explode(F.expr("sequence(shiftright(_low, level), shiftright(_high, level))"))).drop("_low", "_high")
     c = c.join(leaves, key[:3]).withColumn("slice", F.explode(F.expr("sequence(0, slices - 1)")))
-    pairs = p.join(c, key).withColumn("km", distance_km(F.col("p_lat"), F.col("p_lon"), F.col("c_lat"), F.col("c_lon")))
-    return pairs.where(F.col("km") <= km).select("centre", "point", "p_lat", "p_lon", "km")
+    pairs = p.repartition(_join_tasks(p), *key).join(c, key).withColumn("km", distance_km(F.col("p_lat"), F.col("p_lon"), F.col("c_lat"), F.col("c_lon")))
+    return pairs.where(F.col("km") <= km).select("p_lat", "p_lon", "p_n", "c_lat", "c_lon", "km")
 
 
-def coverage(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("centre").agg(F.count("*").alias("n_points"))
+def within_distance(points: DataFrame, centres: DataFrame, km: float, point: str, centre: str, leaf_points: int = LEAF_POINTS) -> DataFrame:
+    """Pairs of a point and a centre at most ``km`` apart. Distances are taken between places
+    that differ; a pair of places gives a row for each point and centre that stand there,
+    the points of one place in slices of ``leaf_points``."""
+    near = near_places(points, centres, km, leaf_points)
+    c = centres.select(F.col(centre).alias("centre"), F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"))
+    p = points.select(F.col(point).alias("point"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+    slices = F.ceil(F.col("p_n") / leaf_points).cast("int")
+    sizes = _places(points, "p").select("p_lat", "p_lon", slices.alias("slices"))
+    key, tasks = ["p_lat", "p_lon", "slice"], _join_tasks(points)
+    p = p.join(sizes, key[:2]).select("point", "p_lat", "p_lon", F.expr("pmod(xxhash64(point), slices)").cast("int").alias("slice"))
+    named = near.join(c, ["c_lat", "c_lon"]).select("centre", "p_lat", "p_lon", "km", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+    return named.repartition(tasks, *key).join(p.repartition(tasks, *key), key).select("centre", "point", "p_lat", "p_lon", "km")
+
+
+def coverage(points: DataFrame, centres: DataFrame, km: float, centre: str) -> DataFrame:
+    """centre, n_points: how many points lie at most ``km`` away, of centres that have any.
+    Counts by place are summed; points are not paired."""
+    counts = near_places(points, centres, km).groupBy("c_lat", "c_lon").agg(F.sum("p_n").alias("n"))
+    c = centres.select(F.col(centre).alias("centre"), F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"))
+    return c.join(counts, ["c_lat", "c_lon"]).groupBy("centre").agg(F.sum("n").alias("n_points"))
 
 
 def hexagon_counts(points: DataFrame, size: float) -> DataFrame:
@@ -101,33 +133,37 @@ def hull_of(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return ring if len(ring) > 2 else []
 
 
-def hulls(pairs: DataFrame, bands: int = 64) -> DataFrame:
-    """centre, ring: the convex hull of each centre's points.
+def _fewer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each centre in a batch of rows only the hull's corners."""
+    for f in frames:
+        kept = []
+        for centre, g in f.groupby("centre", sort=False):
+            points = set(zip(g["p_lon"], g["p_lat"]))
+            kept += [(centre, x, y) for x, y in hull_of(list(points)) or points]
+        yield pd.DataFrame(kept, columns=["centre", "p_lon", "p_lat"])
 
-    A centre's points are dealt into bands by hash first; a hull of the bands' hulls is the
-    hull of all, so that no task holds more than a band of one centre and the corners.
-    """
 
-    def corners(keys: list[str]):
-        def run(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for g in groups:
-                ring = hull_of(list(zip(g["p_lon"], g["p_lat"])))
-                held = ring or sorted(set(zip(g["p_lon"], g["p_lat"])))
-                yield pd.DataFrame({**{k: g[k].iloc[0] for k in keys}, "p_lon": [x for x, _ in held], "p_lat": [y for _, y in held]})
-
-        return run
-
-    def one(g: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat(corners(["centre"])(iter([g])))
-
-    kind = pairs.schema["centre"].dataType.simpleString()
-    banded = pairs.select("centre", "p_lon", "p_lat", F.pmod(F.xxhash64("p_lon", "p_lat"), F.lit(bands)).alias("band"))
-    few = banded.groupBy("centre", "band").applyInPandas(one, f"centre {kind}, p_lon double, p_lat double")
-    whole = few.groupBy("centre").applyInPandas(
-        lambda g: pd.DataFrame({"centre": [g["centre"].iloc[0]], "ring": [[{"lon": x, "lat": y} for x, y in hull_of(list(zip(g["p_lon"], g["p_lat"])))]]}),
-        f"centre {kind}, ring array<struct<lon:double,lat:double>>",
-    )
-    return whole.where(F.size("ring") > 2)
+def _ring(g: pd.DataFrame) -> pd.DataFrame:
+    ring = hull_of(list(zip(g["p_lon"], g["p_lat"])))
+    return pd.DataFrame({"centre": [g["centre"].iloc[0]], "ring": [[{"lon": x, "lat": y} for x, y in ring]]})
+
+
+def hulls(points: DataFrame, centres: DataFrame, km: float, centre: str, bands: int = 64) -> DataFrame:
+    """centre, ring: the convex hull of the points at most ``km`` from each centre.
+
+    Only places count, and centres at the same places share a hull. A centre's points are
+    dealt into bands by hash and sorted by centre; batches of them are cut to their hulls'
+    corners, so that the task that ends a hull holds few.
+    """
+    kind = centres.schema[centre].dataType.simpleString()
+    at = centres.groupBy(F.col(centre).alias("centre")).agg(F.sort_array(F.collect_set(F.struct(F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon")))).alias("places"))
+    first = at.groupBy("places").agg(F.min("centre").alias("first"))
+    near = near_places(points, centres, km).select("c_lat", "c_lon", "p_lon", "p_lat")
+    pairs = near.join(first.select(F.col("first").alias("centre"), F.inline("places")), ["c_lat", "c_lon"]).select("centre", "p_lon", "p_lat")
+    dealt = pairs.repartition(_join_tasks(pairs) // 4, "centre", F.pmod(F.xxhash64("p_lon", "p_lat"), F.lit(bands))).sortWithinPartitions("centre")
+    few = dealt.mapInPandas(_fewer, f"centre {kind}, p_lon double, p_lat double")
+    whole = few.groupBy("centre").applyInPandas(_ring, f"centre {kind}, ring array<struct<lon:double,lat:double>>").where(F.size("ring") > 2)
+    return at.join(first, "places").join(whole.withColumnRenamed("centre", "first"), "first").select("centre", "ring")
 
 
 def ring_area(ring: Column) -> Column:

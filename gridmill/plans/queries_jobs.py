@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridmill.operators import diff, geo, sampling, segment, sweep
 from gridmill.plans import migration, telemetry, transform, workflow
 from gridmill.plans.fixtures import Tables
-from gridmill.plans.queries_tables import _GEO, CRM, MASHUP, _ntz, _pairs, mashed
+from gridmill.plans.queries_tables import _GEO, CRM, MASHUP, _customers_dealers, _ntz, mashed
 from gridmill.plans.registry import query
 
 _SNAPSHOTS = ("snapshot_old", "snapshot_new")
@@ -439,12 +439,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("G2_coverage", f"WITH {_GEO} SELECT centre, count(*) AS n_points FROM x GROUP BY centre", "geo_points")
 def _(t: Tables) -> DataFrame:
-    return geo.coverage(_pairs(t))
+    return geo.coverage(*_customers_dealers(t), 50.0, "name")
 
 
 @query("G2_hulls")
 def _(t: Tables) -> DataFrame:
-    return geo.hulls(_pairs(t)).select("centre", F.size("ring").alias("corners"))
+    return geo.hulls(*_customers_dealers(t), 50.0, "name").select("centre", F.size("ring").alias("corners"))
 
 
 # A point is a corner if all others of its centre lie within less than half a turn. Points on a line between two
@@ -456,7 +456,7 @@ c AS (SELECT centre, lon, lat FROM b GROUP BY ALL HAVING max(gap) > pi() + 1e-9)
 r AS (SELECT *, coalesce(lead(lon) OVER o, first_value(lon) OVER o) AS lon2, coalesce(lead(lat) OVER o, first_value(lat) OVER o) AS lat2 FROM m WINDOW o AS (PARTITION BY centre ORDER BY atan2(lat, lon)))
 SELECT centre, round(sum(lon * lat2 - lon2 * lat) / 2, 6) AS area FROM r GROUP BY centre HAVING area > 0""", "geo_points")
 def _(t: Tables) -> DataFrame:
-    return geo.hulls(_pairs(t)).select("centre", F.round(geo.ring_area(F.col("ring")), 6).alias("area")).where("area > 0")
+    return geo.hulls(*_customers_dealers(t), 50.0, "name").select("centre", F.round(geo.ring_area(F.col("ring")), 6).alias("area")).where("area > 0")
 
 
 @query("G3_rings", "SELECT name, i, round(lon + 50 / 111.0 * cos(radians(i * 10)), 6) AS lon, round(lat + 50 / 111.0 * sin(radians(i * 10)), 6) AS lat FROM (SELECT name, try_cast(lat_raw AS DOUBLE) AS lat, try_cast(lon_raw AS DOUBLE) AS lon FROM geo_points WHERE kind = 'Agro-Dealer'), range(37) r(i) WHERE lat BETWEEN -5 AND 5 AND lon BETWEEN 28 AND 42 AND NOT (lat = 0 AND lon = 0)", "geo_points")

@@ -173,14 +173,14 @@ w AS (SELECT d.name AS centre, c.name AS point, sqrt(power(c.lon - d.lon, 2) + p
 x AS (SELECT * FROM w WHERE km <= 50)"""
 
 
-def _pairs(t: Tables) -> DataFrame:
+def _customers_dealers(t: Tables) -> tuple[DataFrame, DataFrame]:
     points = geo.normal_points(t.geo_points, "lat_raw", "lon_raw", "name", "kind")
-    return geo.within_distance(points.where("kind = 'Customer'"), points.where("kind = 'Agro-Dealer'"), 50.0, "name", "name")
+    return points.where("kind = 'Customer'"), points.where("kind = 'Agro-Dealer'")
 
 
 @query("J13_distance_join", f"WITH {_GEO} SELECT centre, point, round(km, 6) AS km FROM x", "geo_points")
 def _(t: Tables) -> DataFrame:
-    return _pairs(t).select("centre", "point", F.round("km", 6).alias("km"))
+    return geo.within_distance(*_customers_dealers(t), 50.0, "name", "name").select("centre", "point", F.round("km", 6).alias("km"))
 
 
 @query("J14_look_back", "SELECT account_ref, status FROM accounts WHERE account_id % 7 = 0 ORDER BY account_ref", "accounts")

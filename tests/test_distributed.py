@@ -86,3 +86,27 @@ def test_a_cell_with_half_of_all_points_is_split(spark):
         got = geo.within_distance(p, c, 50.0, "name", "name", leaf_points)
         assert sorted((r.centre, r.point) for r in got.collect()) == want
     assert geo.within_distance(p.limit(0), c, 50.0, "name", "name").count() == 0
+
+
+def test_places_are_compared_once(spark, monkeypatch):
+    """Many rows at few places: the distances, coverage and hulls of the plain way, and no more
+    rows are compared than there are pairs of places."""
+    random.seed(9)
+    spots = [(random.uniform(-2, 2), random.uniform(30, 34)) for _ in range(60)]
+    p = spark.createDataFrame([(f"C{i}", *random.choice(spots)) for i in range(900)], "name string, lat double, lon double")
+    c = spark.createDataFrame([(f"D{i % 37}", *random.choice(spots[:20])) for i in range(40)], "name string, lat double, lon double")  # three names stand twice
+    near = geo.near_places(p, c, 50.0)
+    assert near.count() == near.select("p_lat", "p_lon", "c_lat", "c_lon").distinct().count() <= 60 * 20
+    plain = c.selectExpr("name AS centre", "lat AS a", "lon AS b").crossJoin(p).where(F.sqrt(F.pow(F.col("lat") - F.col("a"), 2) + F.pow(F.col("lon") - F.col("b"), 2)) * 111.0 <= 50)
+    rows = [(r.centre, r.name, r.lon, r.lat) for r in plain.collect()]
+    assert sorted((r.centre, r.point) for r in geo.within_distance(p, c, 50.0, "name", "name", 7).collect()) == sorted(r[:2] for r in rows)
+    counts = {k: sum(r[0] == k for r in rows) for k in {r[0] for r in rows}}
+    assert {r.centre: r.n_points for r in geo.coverage(p, c, 50.0, "name").collect()} == counts
+    want = {k: geo.hull_of([r[2:] for r in rows if r[0] == k]) for k in counts}
+    assert {r.centre: [(x.lon, x.lat) for x in r.ring] for r in geo.hulls(p, c, 50.0, "name").collect()} == {k: v for k, v in want.items() if v}
+
+
+def test_distance_join_has_many_tasks(spark):
+    p = spark.range(1, 500, 1, 1).selectExpr("concat('C', id) AS name", "CAST(id % 3 AS DOUBLE) AS lat", "30.0D AS lon")
+    joined = geo.within_distance(p, p, 50.0, "name", "name", 10)
+    assert joined.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
