@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,11 +67,19 @@ def component_clusters(numbers: Sequence[str], k: int = 5, components: int = 2,
     ])
 
 
+def _different(df: DataFrame, features: str = "features") -> DataFrame:
+    """The different points, and how often each stands, in ``weight``: what every pass of a fit
+    reads. Points of equal weight in sum give the same centres and costs."""
+    counted = df.select(vector_to_array(F.col(features)).alias("_x")).groupBy("_x").agg(F.count("*").cast("double").alias("weight"))
+    return counted.select(array_to_vector("_x").alias(features), "weight")
+
+
 def _best_of(rows: DataFrame, ks: Sequence[int], seed: int, starts: int, features: str = "features") -> dict:
-    """For each k the model of lowest cost of several starts, the first seed's on ties."""
+    """For each k the model of lowest cost of several starts, the first seed's on ties. ``rows``
+    are :func:`_different` points."""
 
     def fit(task):
-        return KMeans(k=task[0], seed=task[1], featuresCol=features, predictionCol="cluster").fit(rows)
+        return KMeans(k=task[0], seed=task[1], featuresCol=features, weightCol="weight", predictionCol="cluster").fit(rows)
 
     tasks = [(k, seed + i) for k in ks for i in range(starts)]
     with ThreadPoolExecutor(_FITS) as pool:
@@ -83,7 +91,7 @@ def _best_of(rows: DataFrame, ks: Sequence[int], seed: int, starts: int, feature
 
 def best_kmeans(df: DataFrame, k: int, seed: int = 42, starts: int = STARTS, features: str = "features"):
     """The best of several starts by cost."""
-    rows = df.select(features).persist()
+    rows = _different(df, features).persist()
     try:
         return _best_of(rows, [k], seed, starts, features)[k]
     finally:
@@ -91,13 +99,15 @@ def best_kmeans(df: DataFrame, k: int, seed: int = 42, starts: int = STARTS, fea
 
 
 def total_variance(df: DataFrame) -> float:
-    """The cost of one cluster, which KMeans does not take: squared distances from the mean."""
-    values = df.select(F.posexplode(vector_to_array("features")).alias("i", "x"))
-    return values.groupBy("i").agg((F.var_pop("x") * F.count("x")).alias("s")).agg(F.sum("s")).first()[0]
+    """The cost of one cluster, which KMeans does not take: squared distances of weighted points
+    from the mean."""
+    values = df.select("weight", F.posexplode(vector_to_array("features")).alias("i", "x"))
+    means = values.groupBy("i").agg((F.sum(F.col("weight") * F.col("x")) / F.sum("weight")).alias("mean"))
+    return values.join(F.broadcast(means), "i").agg(F.sum(F.col("weight") * F.pow(F.col("x") - F.col("mean"), 2))).first()[0]
 
 
 def elbow(df: DataFrame, ks: Sequence[int], seed: int = 42, starts: int = STARTS) -> DataFrame:
-    rows = df.select("features").persist()
+    rows = _different(df).persist()
     try:
         best = _best_of(rows, [k for k in ks if k > 1], seed, starts)
         costs = [(k, float(total_variance(rows) if k == 1 else best[k].summary.trainingCost)) for k in ks]
@@ -107,8 +117,8 @@ def elbow(df: DataFrame, ks: Sequence[int], seed: int = 42, starts: int = STARTS
 
 
 def silhouettes(df: DataFrame, ks: Sequence[int], seed: int = 42, starts: int = STARTS) -> DataFrame:
-    judge = ClusteringEvaluator(predictionCol="cluster")
-    rows = df.select("features").persist()
+    judge = ClusteringEvaluator(predictionCol="cluster", weightCol="weight")
+    rows = _different(df).persist()
     try:
         found = [(k, float(judge.evaluate(model.transform(rows)))) for k, model in _best_of(rows, ks, seed, starts).items()]
     finally:

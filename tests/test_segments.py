@@ -93,3 +93,23 @@ def test_component_clusters_are_nearest(spark):
     distance = ((z[:, None] - np.array([z[of == c].mean(axis=0) for c in range(5)])) ** 2).sum(axis=2)
     # One start of at most twenty rounds: all but a few rows at borders lie nearest their own mean.
     assert (distance[np.arange(len(z)), of] <= distance.min(axis=1) + 1e-2).mean() > 0.97
+
+
+def test_fits_read_different_points_once(spark, monkeypatch):
+    """A fit's passes read each different point once, with its weight; costs and silhouettes count all rows."""
+    sizes, real = [], segment.KMeans
+
+    class Spy(real):
+        def _fit(self, dataset):
+            sizes.append(dataset.count())
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(segment, "KMeans", Spy)
+    spots = [(10.0 * (i % 3), float(i % 2)) for i in range(6)]
+    df = spark.createDataFrame([(Vectors.dense(*spots[i % 6 if i < 60 else 0]),) for i in range(90)], ["features"])
+    x = np.array([spots[i % 6 if i < 60 else 0] for i in range(90)])
+    cost = {r.k: r.cost for r in segment.elbow(df, range(1, 4), starts=3).collect()}
+    assert set(sizes) == {6}
+    assert cost[1] == pytest.approx(((x - x.mean(axis=0)) ** 2).sum())
+    of = (x[:, 0] / 10).astype(int)
+    assert cost[3] == pytest.approx(sum(((x[of == c] - x[of == c].mean(axis=0)) ** 2).sum() for c in range(3)))
