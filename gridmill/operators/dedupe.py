@@ -57,37 +57,49 @@ def average_ranks(df: DataFrame, value: str, out: str) -> DataFrame:
 
 
 _PLAIN = (T.IntegralType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
-#: Places of a key filter: 2 MB of bits, in rows of 4 KB.
+#: Places of a key filter: 2 MB of bits, in words of 64.
 FILTER_BITS = 24
+#: Rows of a task of ``dealt``.
+TASK_ROWS = 500_000
 
 
 def _places(keys: Sequence[str], log_bits: int) -> list[Column]:
-    return [F.xxhash64(F.lit(i), *keys).bitwiseAND(F.lit((1 << log_bits) - 1)) + 1 for i in (1, 2)]
+    return [F.xxhash64(F.lit(i), *keys).bitwiseAND(F.lit((1 << log_bits) - 1)) for i in (1, 2)]
 
 
 def possible(large: DataFrame, small: DataFrame, keys: Sequence[str], log_bits: int = FILTER_BITS) -> DataFrame:
     """Rows of ``large`` whose keys may be in ``small``: all that are, and some others. A
-    Bloom filter of two places a key is put together where the small side's rows lie, and
-    is broadcast: its size is given by ``log_bits``, whatever the number of keys. Where equal
-    keys could have different hashes (other types, collations, doubles), and for a stream's
-    small side, ``large`` stays as it is."""
+    Bloom filter of two places a key is put together where the small side's rows lie, word
+    by word in a hash table of at most ``2 ** log_bits / 64`` rows, and is broadcast: its
+    size is given by ``log_bits``, whatever the number of keys. Where equal keys could have
+    different hashes (other types, collations, doubles), and for a stream's small side,
+    ``large`` stays as it is."""
     kinds = [(large.schema[k].dataType, small.schema[k].dataType) for k in keys]
     if small.isStreaming or any(a != b or not isinstance(a, _PLAIN) or isinstance(a, T.StringType) and not a.isUTF8BinaryCollation() for a, b in kinds):
         return large
-    places = small.select(*keys).select(F.explode(F.array(*_places(keys, log_bits))).alias("place"))
-    bits = places.groupBy(F.expr("bitmap_bucket_number(place)").alias("_bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("_bits"))
+    places = small.select(*keys).select(F.explode(F.array(*_places(keys, log_bits))).alias("_place"))
+    bits = places.groupBy(F.expr("shiftright(_place, 6)").alias("_word")).agg(F.expr("bit_or(shiftleft(1L, CAST(_place & 63 AS INT)))").alias("_bits"))
     out = large
     for place in _places(keys, log_bits):
         out = out.withColumn("_place", place)
-        set_ = F.expr("shiftright(CAST(conv(hex(substring(_bits, CAST(bitmap_bit_position(_place) DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), CAST(bitmap_bit_position(_place) % 8 AS INT)) & 1 = 1")
-        out = out.join(F.broadcast(bits), (F.expr("bitmap_bucket_number(_place)") == F.col("_bucket")) & set_, "left_semi").drop("_place")
+        set_ = F.expr("shiftright(_bits, CAST(_place & 63 AS INT)) & 1L = 1L")
+        out = out.join(F.broadcast(bits), (F.expr("shiftright(_place, 6)") == F.col("_word")) & set_, "left_semi").drop("_place")
     return out
 
 
-def not_loaded(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def dealt(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """``df`` of ``rows`` rows by its keys, a task for each ``TASK_ROWS``. Adaptive execution
+    sizes tasks by compressed bytes, which short keys keep small however many rows they are;
+    what a task sorts or hashes then grows with the table."""
+    return df.repartition(max(1, -(-rows // TASK_ROWS)), *keys)
+
+
+def not_loaded(df: DataFrame, target: DataFrame, keys: Sequence[str], rows: int = 0) -> DataFrame:
     """Rows whose key the target lacks. Of the target, which may be far larger than a batch,
-    only rows that may match one are shuffled."""
-    return df.join(possible(target.select(*keys), df, keys), list(keys), "left_anti")
+    only rows that may match one are shuffled; where the batch is known to have so many
+    ``rows`` that the filter would let most keys through, none is made."""
+    sought = target.select(*keys)
+    return df.join(sought if rows > 1 << FILTER_BITS - 2 else possible(sought, df, keys), list(keys), "left_anti")
 
 
 def loaded_reason(df: DataFrame, tests: Sequence[tuple[DataFrame, Sequence[str], Column]]) -> DataFrame:

@@ -110,3 +110,28 @@ def test_distance_join_has_many_tasks(spark):
     p = spark.range(1, 500, 1, 1).selectExpr("concat('C', id) AS name", "CAST(id % 3 AS DOUBLE) AS lat", "30.0D AS lon")
     joined = geo.within_distance(p, p, 50.0, "name", "name", 10)
     assert joined.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_key_filter_keeps_a_hash_table(spark):
+    """Sorting the places of all keys took memory with the number of keys."""
+    small, large = spark.range(3000).withColumnRenamed("id", "k"), spark.range(50_000).withColumnRenamed("id", "k")
+    plan = _plan(dedupe.possible(large, small, ["k"]))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_not_loaded_in_parts(spark, monkeypatch):
+    """Short keys are dealt by their number, and a filter that is too full is not made."""
+    batch = spark.range(9000).selectExpr("IF(id % 30 = 0, NULL, id % 5000) AS k", "concat('t', id % 5000) AS t")
+    target = spark.range(0, 10_000, 3).selectExpr("id AS k", "concat('t', id) AS t")
+    want = sorted(map(str, dedupe.not_loaded(batch, target, ["k", "t"]).collect()))
+    monkeypatch.setattr(dedupe, "TASK_ROWS", 1000)
+    assert dedupe.dealt(batch, ["k", "t"], 9000).rdd.getNumPartitions() == 9
+    assert dedupe.dealt(batch.limit(0), ["k"], 0).count() == 0
+    assert sorted(map(str, dedupe.not_loaded(dedupe.dealt(batch, ["k", "t"], 9000), target, ["k", "t"], rows=9000).collect())) == want
+    monkeypatch.setattr(dedupe, "FILTER_BITS", 10)
+    unfiltered = dedupe.not_loaded(batch, target, ["k", "t"], rows=9000)
+    assert "_word" not in _plan(unfiltered) and sorted(map(str, unfiltered.collect())) == want
