@@ -19,6 +19,8 @@ OWN_CHANNEL, OWN_CHANNEL_ID = "SALESAPP", 8
 SOURCE_SYSTEM = "SALESFORCE"
 EMPLOYEE_SOURCE = "engineer referral"
 COLLATION = "UNICODE_CI_AI"
+#: A dimension of at most so many rows is broadcast.
+LOOKUP_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -35,29 +37,46 @@ class Dimensions:
     channels: DataFrame
 
 
+def lookup_pairs(dimension: DataFrame, key: str, value: str, collation: str | None = COLLATION) -> DataFrame:
+    """Different (``_key``, ``_value``) of a dimension, which is counted: with at most
+    ``LOOKUP_ROWS`` rows it is broadcast."""
+    cased = F.collate(F.col(key), collation) if collation else F.col(key)
+    pairs = dimension.where(F.col(key).isNotNull()).select(cased.alias("_key"), F.col(value).alias("_value")).distinct()
+    return F.broadcast(pairs) if dimension.count() <= LOOKUP_ROWS else pairs
+
+
+def with_pair(df: DataFrame, by: str, pairs: DataFrame, out: str, collation: str | None = COLLATION) -> DataFrame:
+    """``df`` with the ``_value`` of the pair whose ``_key`` equals ``by`` as ``out``. Both
+    sides of the condition are columns, not expressions: only then are collated keys joined
+    by hash, and can small pairs be broadcast; else every lookup shuffles ``df`` and sorts it."""
+    by_ = F.collate(F.col(by), collation) if collation else F.col(by)
+    return df.withColumn("_by", by_).join(pairs, F.col("_by") == F.col("_key"), "left").drop("_by", "_key").withColumnRenamed("_value", out)
+
+
 def looked_up(df: DataFrame, by: str, dimension: DataFrame, key: str, value: str, out: str, collation: str | None = COLLATION) -> DataFrame:
     """``df`` with ``value`` of the row of ``dimension`` whose ``key`` equals ``by``, whatever
     its case and accents, as ``out``; null where none does. A key that has several values
-    gives a row for each. A dimension that is small is broadcast by the planner; a large
-    one is not."""
-    cased = (lambda x: F.collate(x, collation)) if collation else (lambda x: x)
-    pairs = dimension.where(F.col(key).isNotNull()).select(cased(F.col(key)).alias("_key"), F.col(value).alias(out)).distinct()
-    return df.join(pairs, cased(F.col(by)) == F.col("_key"), "left").drop("_key")
+    gives a row for each."""
+    return with_pair(df, by, lookup_pairs(dimension, key, value, collation), out, collation)
 
 
 def mashup(leads: DataFrame, surveys: DataFrame, d: Dimensions) -> DataFrame:
     """A row per lead with its latest survey, its users and the ids of what it names: ten
-    left joins. Equal rows appear once: leads are told apart right after the join with the
-    surveys, whose partitioning by lead they keep, and dimensions before they are joined,
-    so nothing wide is shuffled for it. Both of a survey's users go by who created it."""
+    left joins. Equal rows appear once: leads are told apart right after the joins by lead,
+    whose partitioning they keep, and dimensions before they are joined, so nothing wide is
+    shuffled for it. Referrals, which match a lead's id whatever its case, are looked up for
+    the ids alone, and join the leads by the exact id as surveys do: leads move once for
+    both. Both of a survey's users go by who created it."""
     latest = one_per_key(surveys, ["lead_id"], [F.col("modified_at").desc(), F.col("seq").desc(), F.col("part_ref").desc()])
     kin = latest.select(F.col("lead_id").alias("_lead"), "kin_name", "kin_surname", "relation", "kin_phone", F.col("created_at").alias("kin_created_at"), F.col("modified_at").alias("kin_modified_at"), F.col("created_by_id").alias("kin_created_by_id"))
+    referred = looked_up(leads.select("lead_id"), "lead_id", d.referrals, "lead_id", "referral_id", "referral_id").where("referral_id IS NOT NULL").distinct()
     named = leads.withColumns({c: F.coalesce(c, F.lit(OTHERS)) for c in ("lead_source", "channel")})
-    out = named.join(kin, named["lead_id"] == kin["_lead"], "left").drop("_lead").distinct()
-    out = looked_up(out, "lead_id", d.referrals, "lead_id", "referral_id", "referral_id")
+    out = named.join(kin, named["lead_id"] == kin["_lead"], "left").drop("_lead")
+    out = out.join(referred, "lead_id", "left").distinct()
     out = looked_up(out, "agent_id", d.agents, "agent_id", "employee_id", "agent_employee")
+    users = lookup_pairs(d.users, "user_id", "employee_id")
     for by, role in (("created_by_id", "created_by"), ("modified_by_id", "modified_by"), ("kin_created_by_id", "kin_created_by"), ("kin_created_by_id", "kin_modified_by")):
-        out = looked_up(out, by, d.users, "user_id", "employee_id", role)
+        out = with_pair(out, by, users, role)
     out = looked_up(out, "id_number", d.customers, "id_number", "customer_id", "customer_id", collation=None)
     out = looked_up(out, "lead_source", d.sources, "name", "source_id", "source_id")
     out = looked_up(out, "channel", d.channels, "name", "channel_id", "channel_id")

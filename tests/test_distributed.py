@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridmill.operators import dedupe, diff, digests, geo, sampling
+from gridmill.plans import transform
 
 
 def test_equal_tables_join_no_rows(spark):
@@ -135,3 +136,39 @@ def test_not_loaded_in_parts(spark, monkeypatch):
     monkeypatch.setattr(dedupe, "FILTER_BITS", 10)
     unfiltered = dedupe.not_loaded(batch, target, ["k", "t"], rows=9000)
     assert "_word" not in _plan(unfiltered) and sorted(map(str, unfiltered.collect())) == want
+
+
+@pytest.mark.parametrize("rows", [0, 500_000])
+def test_lookups_by_hash(spark, monkeypatch, rows):
+    """A small dimension is broadcast, whatever its collation; before, each lookup shuffled
+    and sorted the rows looked up for. Large ones give the same."""
+    monkeypatch.setattr(transform, "LOOKUP_ROWS", rows)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([("é1", 1), ("E1", 2), ("u2", 3), (None, 4), ("u9", 5)], "user string, n int")
+        users = spark.createDataFrame([("e1", 10), ("E1", 10), ("e1", 11), ("U2", 12), (None, 13)], "id string, v int")
+        out = transform.looked_up(df, "user", users, "id", "v", "found")
+        assert ("SortMergeJoin" in _plan(out)) == (rows == 0) and out.columns == ["user", "n", "found"]
+        assert sorted((r.n, r.found or 0) for r in out.collect()) == [(1, 10), (1, 11), (2, 10), (2, 11), (3, 12), (4, 0), (5, 0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
+def test_leads_move_once_for_surveys_and_referrals(spark):
+    """Of the exchanges of the mashup only one holds the leads' wide rows, with every dimension small."""
+    leads = spark.createDataFrame([("L1", "A1", "u1", "u2", "I1", None, "Web", None, "Ann"), ("L1", "A1", "u1", "u2", "I1", None, "Web", None, "Ann"), ("l1", "a1", "U1", None, None, "X", None, 7, "Bo"), (None, None, None, None, "I9", "x", "SALESAPP", None, "Cy")],
+                                  "lead_id string, agent_id string, created_by_id string, modified_by_id string, id_number string, lead_source string, channel string, employee_id bigint, wide_name string")
+    surveys = spark.createDataFrame([("L1", 1, 1, 1, 0, "u2", None, "k", None, "p"), ("L1", 2, 1, 1, 0, "U1", None, "m", None, "q")], "lead_id string, modified_at int, seq int, part_ref int, created_at int, created_by_id string, relation string, kin_name string, kin_surname string, kin_phone string")
+    pairs = lambda k, v, *rows: spark.createDataFrame(list(rows), f"{k} string, {v} bigint")
+    d = transform.Dimensions(pairs("user_id", "employee_id", ("U1", 1), ("U2", 2)), pairs("agent_id", "employee_id", ("a1", 5)), pairs("lead_id", "referral_id", ("l1", 30), ("L1", 31), ("zz", 32)), pairs("id_number", "customer_id", ("I1", 40)), pairs("name", "source_id", ("OTHERS", 50), ("x", 51)), pairs("name", "channel_id", ("web", 60), ("others", 61)))
+    out = transform.mashup(leads, surveys, d)
+    got = sorted((str(r.lead_id), r.wide_name, r.referral_id, r.created_by, r.modified_by, r.kin_created_by, r.kin_modified_by, r.kin_name, r.customer_id, r.source_id, r.channel_id, r.agent) for r in out.collect())
+    assert got == [("L1", "Ann", 30, 1, 2, 1, 1, "m", 40, 50, 60, 5), ("L1", "Ann", 31, 1, 2, 1, 1, "m", 40, 50, 60, 5), ("None", "Cy", None, None, None, None, None, None, None, 51, 8, None), ("l1", "Bo", 30, 1, None, None, None, None, None, 51, 61, 7), ("l1", "Bo", 31, 1, None, None, None, None, None, 51, 61, 7)]
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(transform.mashup(leads, surveys, d))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert plan.count("SortMergeJoin") == 2 and plan.count("BroadcastHashJoin") == 9
