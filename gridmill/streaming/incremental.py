@@ -31,10 +31,12 @@ def batch_statistics(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).groupBy("batch", "outcome").agg(F.count("*").alias("n")).orderBy("batch", "outcome")
 
 
-def sync_updates(spark: SparkSession, source: str, schema: T.StructType, versions: str, checkpoint: str, key: str, updated: str) -> None:
+def sync_updates(spark: SparkSession, source: str, schema: T.StructType, versions: str | MergedTable, checkpoint: str, key: str, updated: str) -> None:
     """Bring a table, kept as numbered versions under ``versions`` with version 0 to start
     from, up to date with new files. Each batch reads the version before its own and writes
-    a whole one; :func:`sync_stored` rewrites only what changes."""
+    a whole one. A stored table goes to :func:`sync_stored`, which rewrites only what changes."""
+    if isinstance(versions, MergedTable):
+        return sync_stored(spark, source, schema, versions, checkpoint, key, updated)
 
     def batch(rows: DataFrame, number: int) -> None:
         target = spark.read.parquet(f"{versions}/version={number}")
