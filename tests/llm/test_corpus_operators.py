@@ -428,6 +428,47 @@ def test_repeats(spark, docs, none, large, monkeypatch):
     assert repeats.remove_repeats(none).count() == 0
 
 
+def test_repeats_return_what_is_left(spark):
+    """The text without its repeats, also where a run ends within a character; null stays null."""
+    passage = " ".join("word%03d" % i for i in range(60))
+    rows = [(1, "first " + passage + "é end"), (2, passage + "è other"), (3, "untouched é"), (4, None)]
+    got = {r["doc_id"]: (r["n_removed"], r["text"]) for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    n = len(passage) + 1  # é and è begin with the same byte
+    assert got == {1: (n, "first  end"), 2: (n, " other"), 3: (0, "untouched é"), 4: (0, None)}
+
+
+@pytest.mark.parametrize("step", ["meeting", "counted"])
+def test_repeats_split_a_hot_key(spark, step, monkeypatch):
+    """A passage in all texts is one key, and few strings, of most rows: adaptive execution can split the joins by them."""
+    rng, plans, real = random.Random(8), [], repeats.keep
+    words = lambda n: " ".join("%06x" % rng.randrange(1 << 24) for _ in range(n))
+    passage = words(58)
+    pairs = [words(140) for _ in range(60)]
+    texts = [f"{words(60)} {passage} {words(60)}" for _ in range(500)] + [x for p in pairs for x in (p, p[1:])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+
+    def kept(df, path):
+        out = real(df, path)
+        if path.endswith(f"/{step}") or step == "counted" and path.endswith("/spans"):
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(repeats, "keep", kept)
+    monkeypatch.setattr(repeats, "LARGE", 100)
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        repeats.repeated_spans(docs).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plans[0]
+
+
 def test_pii_recall_of_planted_identifiers(spark):
     """Identifiers of no base form, some long, in brackets, or set off by signs, stand in
     contexts that base forms also stand in; decoys stand in running text."""
