@@ -113,3 +113,32 @@ def test_fits_read_different_points_once(spark, monkeypatch):
     assert cost[1] == pytest.approx(((x - x.mean(axis=0)) ** 2).sum())
     of = (x[:, 0] / 10).astype(int)
     assert cost[3] == pytest.approx(sum(((x[of == c] - x[of == c].mean(axis=0)) ** 2).sum() for c in range(3)))
+
+
+@pytest.fixture
+def parts(spark, monkeypatch):
+    """Number of partitions that each fit reads, with many shuffle partitions."""
+    found, real, before = [], segment.KMeans, spark.conf.get("spark.sql.shuffle.partitions")
+
+    class Spy(real):
+        def _fit(self, dataset):
+            found.append(dataset.rdd.getNumPartitions())
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(segment, "KMeans", Spy)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    yield found
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_elbow_passes_go_by_points(spark, parts, monkeypatch):
+    """A pass has a task for each TASK_POINTS different points, not for each shuffle partition; costs stay."""
+    x = np.array([(float(i % 30), float(i % 2 * 50)) for i in range(300)])
+    df = spark.createDataFrame([(Vectors.dense(*p),) for p in x.tolist()], ["features"])
+    cost = [r.cost for r in segment.elbow(df, [1, 2], starts=2).collect()]
+    assert parts == [1, 1]
+    monkeypatch.setattr(segment, "TASK_POINTS", 8)  # 30 different points
+    assert [r.cost for r in segment.elbow(df, [1, 2], starts=2).collect()] == pytest.approx(cost)
+    assert parts[2:] == [4, 4]
+    halves = [x[x[:, 1] == y] for y in (0, 50)]
+    assert cost == pytest.approx([((x - x.mean(axis=0)) ** 2).sum(), sum(((h - h.mean(axis=0)) ** 2).sum() for h in halves)])
