@@ -7,16 +7,17 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from math import ceil
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridmill.operators import sweep
 from gridmill.operators.dedupe import average_rank
 from gridmill.operators.quantiles import modes, value_counts, wide_quantiles
 from gridmill.sources.tables import scratch_folder
@@ -132,10 +133,13 @@ def elbow(df: DataFrame, ks: Sequence[int], seed: int = 42, starts: int = STARTS
 
 
 def silhouettes(df: DataFrame, ks: Sequence[int], seed: int = 42, starts: int = STARTS) -> DataFrame:
-    judge = ClusteringEvaluator(predictionCol="cluster", weightCol="weight")
+    """Mean silhouette of each k's best model over all rows. ClusteringEvaluator would leave out all
+    copies of a point, not only the point itself, from its own cluster's distances."""
     with _held(df) as rows:
-        found = [(k, float(judge.evaluate(model.transform(rows)))) for k, model in _best_of(rows, ks, seed, starts).items()]
-    return df.sparkSession.createDataFrame(found, "k int, silhouette double")
+        best = _best_of(rows, ks, seed, starts)
+        points = rows.select(vector_to_array("features").alias("x"), "weight", F.lit(0).cast("long").alias("draw"))
+        values = sweep.silhouettes(points, [sweep.Model(k, seed, np.array(m.clusterCenters())) for k, m in best.items()])
+    return df.sparkSession.createDataFrame(list(zip(best, values)), "k int, silhouette double")
 
 
 def components_for(df: DataFrame, share: float = 0.95) -> DataFrame:

@@ -142,3 +142,20 @@ def test_elbow_passes_go_by_points(spark, parts, monkeypatch):
     assert parts[2:] == [4, 4]
     halves = [x[x[:, 1] == y] for y in (0, 50)]
     assert cost == pytest.approx([((x - x.mean(axis=0)) ** 2).sum(), sum(((h - h.mean(axis=0)) ** 2).sum() for h in halves)])
+
+
+def test_silhouette_passes_go_by_points(spark, parts, monkeypatch):
+    """As for the elbow; the silhouettes count all rows."""
+    df = spark.createDataFrame([(Vectors.dense(float(i % 12 + i % 2 * 50)),) for i in range(120)], ["features"])
+    found = {r.k: r.silhouette for r in segment.silhouettes(df, [2, 3], starts=2).collect()}
+    assert parts == [1] * 4
+    monkeypatch.setattr(segment, "TASK_POINTS", 5)  # 12 different points
+    again = {r.k: r.silhouette for r in segment.silhouettes(df, [2, 3], starts=2).collect()}
+    assert parts[4:] == [3] * 4 and again[2] == pytest.approx(found[2])
+    x = np.array([i % 12 + i % 2 * 50 for i in range(120)], float)
+    apart = (x[:, None] - x[None]) ** 2
+    own = (x > 30)[:, None] == (x > 30)[None]
+    a, b = (apart * own).sum(1) / (own.sum(1) - 1), (apart * ~own).sum(1) / (~own).sum(1)
+    assert found[2] == pytest.approx(((b - a) / np.maximum(a, b)).mean())
+    copies = spark.createDataFrame([(Vectors.dense(float(i % 2)),) for i in range(10)], ["features"])
+    assert [r.silhouette for r in segment.silhouettes(copies, [2], starts=2).collect()] == [1.0]
