@@ -84,11 +84,14 @@ def _different(df: DataFrame, features: str = "features") -> DataFrame:
 def _held(df: DataFrame, features: str = "features") -> Iterator[DataFrame]:
     """:func:`_different` points, cached in partitions of ``TASK_POINTS`` whatever the session's
     number of shuffle partitions: a fit takes dozens of passes, and each starts a task for every
-    partition. They are stored first, for their number."""
-    path = scratch_folder(df.sparkSession, "points")
-    _different(df, features).write.parquet(path)
-    stored = df.sparkSession.read.parquet(path)
-    rows = stored.repartition(max(1, ceil(stored.count() / TASK_POINTS))).sortWithinPartitions(vector_to_array(features)).persist()
+    partition. They are stored, for their number, and again as dealt: what is cached from a
+    shuffle is planned adaptively by every fit, with jobs and threads of the driver for each."""
+    spark = df.sparkSession
+    counted, dealt = scratch_folder(spark, "points"), scratch_folder(spark, "points")
+    _different(df, features).write.parquet(counted)
+    stored = spark.read.parquet(counted)
+    stored.repartition(max(1, ceil(stored.count() / TASK_POINTS))).sortWithinPartitions(vector_to_array(features)).write.parquet(dealt)
+    rows = spark.read.parquet(dealt).persist()
     try:
         rows.count()
         yield rows
